@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("q_claims",)
+MODULES = ("q_claims", "q_visits")
 
 
 def load() -> None:
