@@ -7,7 +7,7 @@ window never holds more rows than a member has months.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,8 +17,9 @@ from claimspark.functions.compat import nvl
 from claimspark.functions.dates import as_date, month_start, period_label
 from claimspark.jobs.visits import MEMBER_KEY, active_members, member_months, practice_dim, provider_dim
 from claimspark.operators.joins import broadcast_if_small, join_role, null_tolerant_join, range_join
-from claimspark.operators.project import stack, with_rolling_period
+from claimspark.operators.project import with_rolling_period
 from claimspark.operators.ranking import keep_best
+from claimspark.session import materialize
 
 PERSON = [*MEMBER_KEY, "mrn"]
 FLAGS = ("pcp_npi_visit", "pcp_practice_visit", "pcp_pod_visit", "mt_sinai_visit")
@@ -102,25 +103,23 @@ def enrolled_months(raw: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def monthly_visits(visits: DataFrame, periods: DataFrame, practice_periods: str) -> DataFrame:
-    """Visit flags and counts per person and month: one row each, whatever the number of visits."""
+def monthly_visits(visits: DataFrame, periods: DataFrame, histories: Sequence[str]) -> DataFrame:
+    """Visit flags and counts per person and month: one row each, whatever the number of visits.
+
+    For each period name in ``histories`` there is one ``known_practice_<i>`` flag: the servicing
+    practice was a historical practice of the person in some period of that name.
+    """
     c = F.col
-    rows = visits.select(
-        *PERSON,
-        month_start(c("date_of_service")).alias("month"),
-        "servicing_pcp_npi", "historical_pcp_npi", "servicing_pcp_practice", "historical_pcp_practice", "servicing_pcp_pod",
-        "historical_pcp_pod", "servicing_prov_pcp_spc", "servicing_prov_cms_pcp_spc",
-    )
-    span = periods.where(c("measurement_period_desc") == practice_periods)
-    history = (
-        range_join(rows.where(c("historical_pcp_practice").isNotNull()).select(*PERSON, "month", "historical_pcp_practice").distinct(), span, "month")
-        .select(*PERSON, "historical_pcp_practice")
-        .distinct()
-        .withColumnRenamed("historical_pcp_practice", "known_practice")
-        .withColumn("_known", F.lit(1))
+    known = [f"known_practice_{i}" for i in range(len(histories))]
+    past = visits.where(c("historical_pcp_practice").isNotNull()).select(*PERSON, "month", "historical_pcp_practice").distinct()
+    spans = periods.where(c("measurement_period_desc").isin(*histories))
+    past = (
+        range_join(past, spans, "month")
+        .groupBy(*PERSON, c("historical_pcp_practice").alias("past_practice"))
+        .agg(*[F.max(F.when(c("measurement_period_desc") == h, 1)).alias(k) for h, k in zip(histories, known)])
     )
-    keys = {k: k for k in PERSON} | {"servicing_pcp_practice": "known_practice"}
-    rows = null_tolerant_join(rows, history, keys, never_on_null=["servicing_pcp_practice"])
+    keys = {k: k for k in PERSON} | {"servicing_pcp_practice": "past_practice"}
+    rows = null_tolerant_join(visits, past, keys, never_on_null=["servicing_pcp_practice"])
 
     def same(what: str) -> Column:
         return F.when(c(f"servicing_{what}") == c(f"historical_{what}"), 1).otherwise(0)
@@ -132,7 +131,7 @@ def monthly_visits(visits: DataFrame, periods: DataFrame, practice_periods: str)
         F.max(same("pcp_npi")).alias("pcp_npi_visit"),
         F.max(same("pcp_practice")).alias("pcp_practice_visit"),
         F.max(same("pcp_pod")).alias("pcp_pod_visit"),
-        F.max(F.coalesce("_known", F.lit(0))).alias("mt_sinai_visit"),
+        *[F.max(F.coalesce(k, F.lit(0))).alias(k) for k in known],
         F.sum(same("pcp_npi")).alias("count_pcp_npi_visits"),
         F.sum(same("pcp_practice")).alias("count_pcp_practice_visits"),
         F.sum(is_pcp("servicing_prov_pcp_spc")).alias("count_any_pcp_npi_visits"),
@@ -153,22 +152,42 @@ def running_visit_measures(df: DataFrame, keys: list, order: str) -> DataFrame:
     return df.withColumns(measures)
 
 
+def narrow_visits(visits: DataFrame) -> DataFrame:
+    """The visit columns the report reads, written once: three steps below scan them."""
+    return materialize(
+        visits.select(
+            *PERSON, "date_of_service", "visit_status_type", month_start(F.col("date_of_service")).alias("month"),
+            "servicing_pcp_npi", "historical_pcp_npi", "servicing_pcp_practice", "historical_pcp_practice", "servicing_pcp_pod",
+            "historical_pcp_pod", "servicing_prov_pcp_spc", "servicing_prov_cms_pcp_spc",
+        )
+    )
+
+
+def window_periods(periods: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
+    """Periods of the requested windows from their first year on."""
+    c = F.col
+    wanted = F.lit(False)
+    for w in windows:
+        mine = c("measurement_period_desc") == w.name
+        wanted = wanted | ((mine & (c("effyear") >= w.from_year)) if w.from_year else mine)
+    return periods.where(wanted)
+
+
 def unified_member(
     t: Mapping[str, DataFrame],
     visits: DataFrame,
-    window: ReportWindow,
     bounds: tuple[dt.date, dt.date],
     as_of: dt.date | str,
+    windows: Sequence[ReportWindow] = WINDOWS,
 ) -> DataFrame:
-    """One reporting window, before duplicate MRNs are resolved."""
+    """All reporting windows in one pass, before duplicate MRNs are resolved."""
     c = F.col
     periods = with_rolling_period(t["meas_period"], as_date(bounds[0]), as_date(bounds[1]))
-    mine = periods.where(c("measurement_period_desc") == window.name)
-    if window.from_year:
-        mine = mine.where(c("effyear") >= window.from_year)
+    mine = window_periods(periods, windows)
+    histories = sorted({w.practice_periods or w.name for w in windows})
 
     months = enrolled_months(t["member_months"], t["fact_member"])
-    seen = monthly_visits(visits, periods, window.practice_periods or window.name)
+    seen = monthly_visits(visits, periods, histories)
     df = null_tolerant_join(months, seen, {**{k: k for k in PERSON}, "effper_dt": "month"}, never_on_null=["effper_dt"])
 
     upcoming = (
@@ -186,16 +205,23 @@ def unified_member(
     df = null_tolerant_join(df, upcoming, {**{k: k for k in MEMBER_KEY}, "_visit_mrn": "visit_mrn"})
 
     df = range_join(df, mine, "effper_dt").withColumn("reporting_period", period_label(c("start_dt"), c("end_dt")))
-    keys = [*PERSON, "reporting_period"] if window.restart_per_period else PERSON
-    df = running_visit_measures(df, keys, "effper_dt")
+    name = c("measurement_period_desc")
+    sinai, restart = F.lit(None).cast("int"), F.lit(None).cast("string")
+    for w in windows:
+        flag = c(f"known_practice_{histories.index(w.practice_periods or w.name)}")
+        sinai = F.when(name == w.name, flag).otherwise(sinai)
+        if w.restart_per_period:
+            restart = F.when(name == w.name, c("reporting_period")).otherwise(restart)
+    df = df.withColumns({"mt_sinai_visit": sinai, "_restart": restart})
+    df = running_visit_measures(df, [*PERSON, "measurement_period_desc", "_restart"], "effper_dt")
 
     # month number inside a period: ranked over the distinct months, not over all rows
     calendar = range_join(months.select("effper_dt").distinct(), mine, "effper_dt").select(
-        period_label(c("start_dt"), c("end_dt")).alias("reporting_period"), "effper_dt"
+        "measurement_period_desc", period_label(c("start_dt"), c("end_dt")).alias("reporting_period"), "effper_dt"
     ).distinct()
-    rank = F.dense_rank().over(Window.partitionBy("reporting_period").orderBy("effper_dt"))
+    rank = F.dense_rank().over(Window.partitionBy("measurement_period_desc", "reporting_period").orderBy("effper_dt"))
     calendar = calendar.withColumn("reporting_month", rank)
-    df = df.join(broadcast_if_small(calendar), ["reporting_period", "effper_dt"], "left")
+    df = df.join(broadcast_if_small(calendar), ["measurement_period_desc", "reporting_period", "effper_dt"], "left")
 
     ext = active_members(t["active_members"], t["id_xwalk"]).select(
         *MEMBER_KEY, c("attributed_pcp_npi").alias("ext_npi"), "currently_active"
@@ -218,7 +244,7 @@ def unified_member(
         "pcp_practice": c("p_lvl4_practice"),
         "epic_status": c("p_epic_status"),
         "provider_attribution_type": F.when(current, "Currently Attributed").otherwise("Historically Attributed"),
-        "reporting_window": F.lit(window.name),
+        "reporting_window": name,
         "currently_attributed": nvl(c("currently_active"), "N"),
         "upcoming_appointments_rolling": nvl(c("_upcoming"), 0),
         "upcoming_appointments_ytd": F.lit(0),
@@ -243,4 +269,4 @@ def member_reporting(
 ) -> DataFrame:
     """All three reporting windows, deduplicated."""
     bounds = rolling_bounds(previous, as_of, legacy_bounds)
-    return resolve_duplicates(stack([unified_member(t, visits, w, bounds, as_of) for w in WINDOWS]))
+    return resolve_duplicates(unified_member(t, narrow_visits(visits), bounds, as_of))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.session import ensure_checkpoint_dir
+from claimspark.session import materialize
 
 # A key with more rows than this is not ranked by a single task.
 HOT_ROWS = 2_000_000
@@ -55,12 +55,10 @@ def number_rows(
     The ranges are written to the checkpoint folder first, so both uses below see the same
     split. Rows equal on the whole order are interchangeable; ``_tie`` spreads such copies.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.withColumn("_tie", F.monotonically_increasing_id())
     full_order = [*[F.col(g).asc() for g in groups], *order, F.col("_tie").asc()]
-    ranged = tagged.repartitionByRange(n, *full_order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    ranged = materialize(tagged.repartitionByRange(n, *full_order).withColumn("_part", F.spark_partition_id()))
 
     # one row per (range, group): a group only spans neighbouring ranges
     counts = ranged.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs in this package rely on. A cluster sets its own memory, cores and
 # shuffle width; AQE coalesces the width down, so it should be set generously.
@@ -46,3 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate that several later steps read, in the reliable checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
