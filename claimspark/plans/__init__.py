@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("q_claims", "q_visits")
+MODULES = ("q_claims", "q_visits", "q_drugs", "q_ops", "q_scripts")
 
 
 def load() -> None:

@@ -11,7 +11,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+BASE_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "benchmark", "pages",
+    "conversations", "embeddings",
+)
 
 
 def npi(expr: str) -> str:
@@ -281,6 +284,72 @@ TABLES: dict[str, str] = {
               || substr(cast(cast(l_shipdate as date) as string), 9, 2) end as npt_datec,
           l_orderkey as row_a, l_linenumber as row_b
         from {{lineitem}}""",
+    "ndc_master": """
+        select cast(p_partkey as string) as ndc, cast(p_partkey % 300 as string) as gcn_seqno, 'L' || cast(p_partkey % 40 as string) as lblrid,
+          p_name as ln, p_name || ' 60' as ln60, p_brand as bn,
+          case p_partkey % 4 when 0 then 'F' when 1 then 'O' when 2 then 'Q' else cast(null as string) end as cl,
+          cast(p_partkey % 5 as string) as df, cast(p_size % 8 as string) as dea, 'B' || cast(p_partkey % 9 as string) as obc,
+          cast(p_partkey % 2 as string) as maint, cast(p_partkey % 3 as string) as ndcgi1, cast(p_partkey % 2 as string) as gpi,
+          cast(p_partkey % 6 as string) as gti, case when p_partkey % 13 = 0 then cast(null as string) else cast(p_partkey % 4 as string) end as gni,
+          cast(p_size % 3 as string) as innov, cast(p_partkey % 2 as string) as repack, cast(p_partkey % 3 as string) as stpk,
+          'SP' as shlf_pck, p_type as pd, cast(p_partkey % 3 as string) as uu, cast(p_size % 2 as string) as ud, cast(p_size as string) as ps,
+          case when p_partkey % 10 = 0 then '00000000' else '2020' || lpad(cast(p_partkey % 12 + 1 as string), 2, '0') || '15' end as daddnc,
+          case when p_partkey % 7 = 0 then cast(null as string) else '20210' || cast(p_partkey % 9 + 1 as string) || '01' end as dupdc,
+          case when p_partkey % 5 = 0 then '20221231' else '00000000' end as obsdtec
+        from {part}""",
+    "ndc_medid": "select cast(p_partkey as string) as ndc, cast(p_partkey % 500 as string) as medid from {part} where p_partkey % 11 <> 0",
+    "med": """
+        select cast(p_partkey as string) as medid, 'MED ' || p_name as med_medid_desc, 'MG' as med_strength_uom,
+          cast(p_partkey % 200 as string) as routed_dosage_form_med_id, cast(p_partkey % 90 as string) as generic_medid
+        from {part} where p_partkey < 450""",
+    "routed_df_med": """
+        select cast(p_partkey as string) as routed_dosage_form_med_id, 'RDF ' || p_name as med_routed_df_med_id_desc,
+          cast(p_partkey % 100 as string) as routed_med_id from {part} where p_partkey < 190""",
+    "routed_med": "select cast(p_partkey as string) as routed_med_id, 'RM ' || p_name as med_routed_med_id_desc from {part} where p_partkey < 95",
+    "routed_gen_ndc": "select cast(p_partkey as string) as ndc, cast(p_partkey % 150 as string) as routed_gen_id from {part} where p_partkey % 3 <> 1",
+    "routed_gen": "select cast(p_partkey as string) as routed_gen_id, 'RG ' || p_name as routed_gen_desc from {part} where p_partkey < 140",
+    "labeler": "select 'L' || cast(n_nationkey as string) as lblrid, n_name as mfg, cast(n_nationkey % 2 as string) as lblrind from {nation}",
+    "gcn_link": "select cast(p_partkey as string) as gcn_seqno, cast(p_partkey * 3 as string) as gcn from {part} where p_partkey < 280",
+    "gcn_master": """
+        select cast(p_partkey as string) as gcn_seqno, cast(p_partkey % 20 as string) as tc, 'H' || cast(p_partkey % 25 as string) as hic3,
+          cast(p_partkey % 120 as string) as hicl_seqno, 'G' || cast(p_partkey % 15 as string) as gtc, 'DF' || cast(p_partkey % 12 as string) as gcdf,
+          'RT' || cast(p_partkey % 8 as string) as gcrt, 'STR' || cast(p_partkey % 30 as string) as str,
+          'S60' || cast(p_partkey % 30 as string) as str60, cast(p_partkey % 6 as string) as dcc
+        from {part} where p_partkey < 290""",
+    "hicl": "select cast(p_partkey as string) as hicl_seqno, 'GEN ' || p_name as gnn60 from {part} where p_partkey < 110",
+    "strength": """
+        select 'S60' || cast(n_nationkey as string) as str60, cast(n_nationkey as string) as strnum, 'MG' as strun50,
+          cast(n_nationkey * 2 as string) as volnum, 'ML' as volun50 from {nation}""",
+    "dose": "select 'DF' || cast(n_nationkey as string) as gcdf, 'DOSE ' || n_name as gcdf_desc, 'D' || n_name as dose from {nation} where n_nationkey < 11",
+    "route": "select 'RT' || cast(n_nationkey as string) as gcrt, 'R' || n_name as rt, 'ROUTE ' || n_name as gcrt_desc from {nation} where n_nationkey < 7",
+    "drug_cat": "select cast(r_regionkey as string) as dcc, 'CAT ' || r_name as dcc_desc from {region}",
+    "atc_link": "select cast(p_partkey as string) as gcn_seqno, 'A' || cast(p_partkey % 30 as string) as atc from {part} where p_partkey < 250",
+    "atc_desc": "select 'A' || cast(n_nationkey as string) as atc, 'ATC ' || n_name as atc_desc from {nation}",
+    "gtc": "select 'G' || cast(n_nationkey as string) as gtc, 'GTC ' || n_name as gtc_desc from {nation} where n_nationkey < 14",
+    "tc": "select cast(n_nationkey as string) as tc, 'TC ' || n_name as tc_desc from {nation} where n_nationkey < 18",
+    "hic3": "select 'H' || cast(n_nationkey as string) as hic3, 'HIC ' || n_name as hic3_desc from {nation} where n_nationkey < 22",
+    "ahfs_link": """
+        select cast(p_partkey as string) as gcn_seqno, cast(8000000 + p_partkey % 40 as string) as ahfs8, p_partkey % 2 as ahfs_rel from {part} where p_partkey < 300
+        union all select cast(p_partkey as string), '9999', 2 from {part} where p_partkey < 300""",
+    "ahfs_desc": """
+        select cast(8000000 + n_nationkey as string) as ahfs8, 'AHFS ' || n_name as ahfs_desc from {nation}
+        union all select '08000000', 'AHFS FAMILY' from {region} where r_regionkey = 0""",
+    "etc_ndc": "select cast(p_partkey as string) as ndc, cast(p_partkey % 24 as string) as etc_id, p_partkey % 2 as etc_common_use_ind from {part}",
+    "etc": "select cast(n_nationkey as string) as etc_id, 'ETC ' || n_name as etc_name from {nation} where n_nationkey < 20",
+    "obc": """
+        select 'B' || cast(r_regionkey as string) as obc, 1 as obc_sn, 'OB1 ' || r_name as obc_desc from {region}
+        union all select 'B' || cast(r_regionkey as string), 2, 'OB2 ' || r_name from {region} where r_regionkey < 3""",
+    "fda_link": """
+        select cast(p_partkey as string) as ndc, cast(p_partkey % 2 as string) as nda_ind, cast(p_partkey % 3 as string) as anda_ind,
+          cast(p_partkey * 11 as string) as listing_seq_no, 'TRADE ' || p_name as tradename from {part} where p_partkey % 4 <> 3""",
+    "ndc_attribute": """
+        select cast(l_partkey as string) as ndc, 19 as ndc_attribute_type_cd, '2019' || lpad(cast(l_suppkey % 12 + 1 as string), 2, '0') || '10' as ndc_attribute_value
+        from {lineitem} where l_suppkey % 7 = 0
+        union all select cast(p_partkey as string), 58, cast(p_partkey % 5 as string) from {part} where p_partkey % 3 = 0
+        union all select cast(p_partkey as string), 59, case when p_partkey % 2 = 0 then '00000000' else '20200229' end from {part} where p_partkey % 6 < 4""",
+    "ndc_attribute_desc": """
+        select 58 as ndc_attribute_type_cd, cast(r_regionkey as string) as ndc_attribute_value, 'COD ' || r_name as ndc_attribute_value_dsc
+        from {region} where r_regionkey < 4""",
     "rx_fills": """
         select user_id as member, case event_type when 'purchase' then '0169-7501-12' when 'click' then '0169-3935-11'
           when 'view' then '00002-8215-01' else 'OTHER' end as ndc, cast(ts as date) as fill_date, event_id
@@ -289,6 +358,39 @@ TABLES: dict[str, str] = {
         select o_custkey as member, case o_orderpriority when '1-URGENT' then 'E11.9' when '2-HIGH' then 'E08.1' when '3-MEDIUM' then 'E12.0'
           when '4-NOT SPECIFIED' then cast(null as string) else 'I10' end as dx_code, {shifted('o_orderdate')} as service_date
         from {{orders}} where cast(o_orderdate as date) < date '1996-01-01'""",
+    # JSON replies in several drifted shapes, one per event
+    "review_json": """
+        select event_id, case event_id % 6
+          when 0 then '{{"is_valid": true, "issues": [], "summary": "' || event_type || '"}}'
+          when 1 then '{{"overall_verdict": " Pass ", "review_summary": "' || event_type || '"}}'
+          when 2 then '{{"is_valid": false, "issues": [{{"file": "m' || cast(user_id as string) || '.sql", "issue": "' || event_type || '", "severity": "ERROR"}}, 7, "note"]}}'
+          when 3 then '{{"issues": ["' || event_type || '"]}}'
+          when 4 then '["' || event_type || '"]'
+          else '{{"overall_verdict": "fail", "issues": [{{"cell": "c' || cast(user_id as string) || '", "message": "' || event_type || '", "recommendation": "fix"}}]}}' end as reply
+        from {events}""",
+    "file_json": """
+        select event_id, case event_id % 4
+          when 0 then '{{"models": [{{"path": "models/m' || cast(user_id as string) || '.sql", "content": "select ' || cast(event_id as string) || '"}}, "junk"]}}'
+          when 1 then '{{"models": [{{"path": "models/m' || cast(user_id as string) || '.sql"}}]}}'
+          when 2 then '{{"models": "none"}}'
+          else '{{"models": [{{"content": "x", "path": "macros/a' || cast(user_id as string) || '.sql"}}, {{"content": null, "path": "p"}}]}}' end as reply
+        from {events}""",
+    "analysis_json": """
+        select event_id, case event_id % 3
+          when 0 then '{{"source_tables": [{{"name": "T' || cast(user_id as string) || '", "schema": "raw", "columns_used": ["a", "b"]}}, "skip"], "macro_variables": [{{"name": "v", "value": ["x", "' || event_type || '"]}}]}}'
+          when 1 then '{{"source_tables": [{{"table": " ", "table_name": "U' || cast(user_id as string) || '", "access_method": "view"}}], "transformation_blocks": [{{"output_table": ["o1", "o2"]}}, {{"block_id": ' || cast(event_id as string) || ', "output_table": null}}]}}'
+          else '{{"source_tables": null, "transformation_blocks": [{{"name": "' || event_type || '", "type": "join", "output_table": "out"}}], "macro_variables": [{{"name": "n", "value": 5}}, {{"name": "z"}}]}}' end as reply
+        from {events}""",
+    "mapping": """
+        select 'DW' as source_schema, upper(p_type) || '_' || replace(p_brand, '#', '_') as source_table, 'COL_' || cast(p_size as string) as source_column,
+          'lake' as target_schema, 't_' || lower(replace(p_brand, '#', '_')) as target_table, 'c' || cast(p_partkey as string) as target_column, p_partkey as pos
+        from {part}""",
+    "column_refs": """
+        select case p_partkey % 3 when 0 then 'dw' when 1 then 'Dw' else 'other' end as schema_name,
+          case when p_partkey % 5 = 0 then p_type || 'S_' || replace(p_brand, '#', '') when p_partkey % 7 = 0 then 'tmp_' || cast(p_size as string)
+            else p_type || '_' || replace(p_brand, '#', '_') end as table_name,
+          case when p_partkey % 4 = 0 then 'column_' || cast(p_size as string) when p_partkey % 9 = 0 then 'zz' else 'col_' || cast(p_size as string) end as column_name
+        from {part}""",
     # scripts: every document becomes the body of a legacy script
     "scripts": """
         select cast(doc_id as string) as script,
@@ -341,9 +443,14 @@ def oracle(sql: str, **more: str) -> str:
                 ordered.append(ref)
 
     visit(sql)
-    names = {r: r for r in _refs(sql)} | {r: r for n in ordered for r in _refs(pool[n])}
-    names = {k: (f"d_{k}" if k in pool else k) for k in names}
-    sub = lambda text: re.sub(r"\{(\w+)\}", lambda m: names[m.group(1)], text)
+
+    def sub(text: str) -> str:
+        def name(m: re.Match) -> str:
+            ref = m.group(1)
+            return f"d_{ref}" if ref in pool else ref if ref in BASE_TABLES else m.group(0)
+
+        return re.sub(r"\{(\w+)\}", name, text).replace("{{", "{").replace("}}", "}")
+
     ctes = [f"d_{n} as ({sub(pool[n])})" for n in ordered]
     body = sub(sql)
     return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body

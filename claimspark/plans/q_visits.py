@@ -397,7 +397,7 @@ MONTHS = """
     select m.*, f.mrn from {mm} m left join (select distinct payer, lob, member_id, fact as mrn from {fact_member}
       where fact_shortdescr = 'PRI-MRN') f on m.payer = f.payer and m.lob = f.lob and m.member_id = f.member_id where m.member_months > 0"""
 UV3 = f"""
-    select distinct payer, lob, member_id, mrn from {{visits}} where visit_status_type = 'SCHEDULED'
+    select distinct payer, lob, member_id, mrn from {{legacy}} where visit_status_type = 'SCHEDULED'
       and date_of_service between date '{AS_OF}' and date '{AS_OF}' + 180"""
 COUNTS_SQL = {
     "npi": "uv.servicing_pcp_npi = uv.historical_pcp_npi",
@@ -436,10 +436,10 @@ def _window_sql(name: str, from_year: str | None, part: str, history: str) -> st
         left join {{provider}} p on stg.attributed_pcp_npi = p.npi
         left join {{practice_status}} e on p.lvl4_practice = e.lvl4_practice
         left join {{active_members}} x on stg.payer = x.payer and stg.lob = x.lob and stg.member_id = x.member_id
-        left join {{visits}} uv on stg.payer is not distinct from uv.payer and stg.lob is not distinct from uv.lob
+        left join {{legacy}} uv on stg.payer is not distinct from uv.payer and stg.lob is not distinct from uv.lob
           and stg.member_id is not distinct from uv.member_id and stg.mrn is not distinct from uv.mrn
           and stg.effper_dt = date_trunc('month', uv.date_of_service)
-        left join (select distinct payer, lob, member_id, mrn, historical_pcp_practice from {{visits}} a join {{periods}} b
+        left join (select distinct payer, lob, member_id, mrn, historical_pcp_practice from {{legacy}} a join {{periods}} b
             on date_trunc('month', a.date_of_service) between b.start_dt and b.end_dt and b.measurement_period_desc = '{history}') uv2
           on uv.payer is not distinct from uv2.payer and uv.lob is not distinct from uv2.lob and uv.member_id is not distinct from uv2.member_id
           and uv.mrn is not distinct from uv2.mrn and uv.servicing_pcp_practice = uv2.historical_pcp_practice
@@ -464,13 +464,14 @@ MEMBER = f"""
       select *, row_number() over (partition by {MEMBER_KEYS} order by {BEST}, mrn desc nulls last, {REST}) as pick2 from (
         select *, row_number() over (partition by {MEMBER_KEYS}, coalesce(mrn, 'M') order by {BEST}, {REST}) as pick1 from {{member_all}})
       where pick1 = 1) where pick2 = 1"""
-L_MEMBER = {**L_VISITS, "periods": PERIODS, "months": MONTHS, "uv3": UV3, "member_all": MEMBER_ALL, "member_rep": MEMBER}
+LEGACY = "select * from {visits} where visit_status_type in ('ARRIVED', 'SCHEDULED', 'COMPLETED')"
+L_MEMBER = {**L_VISITS, "legacy": LEGACY, "periods": PERIODS, "months": MONTHS, "uv3": UV3, "member_all": MEMBER_ALL, "member_rep": MEMBER}
 MEMBER_DATES = "replace (cast(reporting_date as varchar) as reporting_date, cast(load_dt as varchar) as load_dt)"
 
 
 @query("unified_member", f"select * {MEMBER_DATES} from {{member_rep}}", **L_MEMBER)
 def unified_member_query(dom):
-    return unified_member.member_reporting(_tables(dom), _visits(dom), AS_OF_DATE)
+    return unified_member.member_reporting(_tables(dom), visits.legacy_visits(_visits(dom)), AS_OF_DATE)
 
 
 @query(
