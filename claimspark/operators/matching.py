@@ -32,6 +32,11 @@ def gestalt_ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
     return pd.Series([score(a, b) for a, b in zip(candidate, word)], dtype="float64")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Scoring costs far more than its few bytes suggest, so it is not left to size-based coalescing."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _best_of(names: list[str], cutoff: float):
     @F.pandas_udf(T.StringType())
     def best(words: pd.Series) -> pd.Series:
@@ -102,9 +107,9 @@ def fuzzy_match(
     names = dictionary.select(F.lower(F.col(name)).alias("name")).where(F.col("name").isNotNull()).distinct()
     head = names.limit(max_names + 1).collect()
     if len(head) <= max_names:
-        best = words.withColumn("match", _best_of(sorted(r["name"] for r in head), cutoff)("word"))
+        best = _spread(words).withColumn("match", _best_of(sorted(r["name"] for r in head), cutoff)("word"))
     else:
-        scored = candidate_pairs(words, names, cutoff).withColumn("score", gestalt_ratio("name", "word"))
+        scored = _spread(candidate_pairs(words, names, cutoff)).withColumn("score", gestalt_ratio("name", "word"))
         best = (
             scored.where(F.col("score") >= cutoff)
             .groupBy("word")

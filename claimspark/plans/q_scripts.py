@@ -63,22 +63,22 @@ SOURCE_RX = [f"(?i){HEAD}FROM{SP}+{NAME}", f"(?i){HEAD}JOIN{SP}+{NAME}"]
 
 def _refs_sql(patterns: list[str]) -> str:
     parts = [
-        f"select script, {k} as pattern, unnest(regexp_extract_all(text, '{rx}', 1)) as raw, generate_subscripts(regexp_extract_all(text, '{rx}', 1), 1) as at from {{scripts}}"
+        f"select script, {k} as pattern, unnest(regexp_extract_all(text, '{rx}', 1)) as raw, generate_subscripts(regexp_extract_all(text, '{rx}', 1), 1) as spot from {{scripts}}"
         for k, rx in enumerate(patterns)
     ]
     unq = "trim(trim({0}, '\"'), '`')"
     whole = unq.format("raw")
     part = lambda i: unq.format(f"string_split({whole}, '.')[{i}]")
-    return f"""select script, pattern, at, raw, if(instr({whole}, '.') > 0, {part(-2)}, '') as schema_name, {part(-1)} as table_name
+    return f"""select script, pattern, spot, raw, if(instr({whole}, '.') > 0, {part(-2)}, '') as schema_name, {part(-1)} as table_name
         from ({' union all '.join(parts)})"""
 
 
 L_REFS = {
-    "tgt": "select * from (" + _refs_sql(TARGET_RX) + ") qualify row_number() over (partition by script, lower(raw) order by pattern, at) = 1",
+    "tgt": "select * from (" + _refs_sql(TARGET_RX) + ") qualify row_number() over (partition by script, lower(raw) order by pattern, spot) = 1",
     "src": "select * from ("
     + _refs_sql(SOURCE_RX)
     + """) where table_name <> '' and lower(table_name) not in ('dual', 'select') qualify row_number() over (partition by script,
-        lower(if(schema_name <> '', schema_name || '.' || table_name, table_name)) order by pattern, at) = 1""",
+        lower(if(schema_name <> '', schema_name || '.' || table_name, table_name)) order by pattern, spot) = 1""",
 }
 
 
