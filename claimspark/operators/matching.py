@@ -32,6 +32,11 @@ def gestalt_ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
     return pd.Series([score(a, b) for a, b in zip(candidate, word)], dtype="float64")
 
 
+# Marked non-deterministic so that a filter on a score or match is not pushed below the
+# distinct, where it would run the scorer once per input row.
+gestalt_ratio = gestalt_ratio.asNondeterministic()
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """Scoring costs far more than its few bytes suggest, so it is not left to size-based coalescing."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -46,7 +51,7 @@ def _best_of(names: list[str], cutoff: float):
 
         return words.map(pick)
 
-    return best
+    return best.asNondeterministic()
 
 
 def best_in_list(word: Column, names: Column, cutoff: float) -> Column:
@@ -62,7 +67,7 @@ def best_in_list(word: Column, names: Column, cutoff: float) -> Column:
 
         return pd.Series([pick(w, x) for w, x in zip(words, lists)], dtype="object")
 
-    return best(word, names)
+    return best.asNondeterministic()(word, names)
 
 
 def _tokens(name: Column) -> Column:

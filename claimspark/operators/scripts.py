@@ -7,6 +7,7 @@ characters are Unicode ones.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,29 +59,64 @@ NOT_TABLES = ("dual", "select")
 FLAG_CHARS = 120
 # -----------------------------------------------------------------------------
 
-# (rule, pattern, severity, advice)
+# (rule, pattern, severity, advice, lower-case literals of which a match contains one)
 LINT_RULES = (
-    ("nvl", r"(?i)(^|[^A-Za-z0-9_])NVL\s*\(", "error", "use coalesce"),
-    ("decode", r"(?i)(^|[^A-Za-z0-9_])DECODE\s*\(", "error", "use when / otherwise"),
-    ("rowid", r"(?i)(^|[^A-Za-z0-9_])ROWID([^A-Za-z0-9_]|$)", "error", "use a keep-first window"),
-    ("forall", r"(?i)(^|[^A-Za-z0-9_])FORALL([^A-Za-z0-9_]|$)", "error", "use a set-based write"),
-    ("bulk_collect", r"(?i)(^|[^A-Za-z0-9_])BULK\s+COLLECT([^A-Za-z0-9_]|$)", "error", "use a set-based write"),
-    ("execute_immediate", r"(?i)(^|[^A-Za-z0-9_])EXECUTE\s+IMMEDIATE([^A-Za-z0-9_]|$)", "error", "run the statement directly"),
-    ("exception_block", r"(?i)(^|[^A-Za-z0-9_])EXCEPTION\s+WHEN([^A-Za-z0-9_]|$)", "error", "use the job log"),
-    ("collect", r"\.(collect|toPandas)\s*\(\s*\)", "error", "keep business data distributed"),
-    ("quoted_table_name", r"(table|saveAsTable|insertInto|forName)\s*\([^)]*`", "error", "use a plain dotted name"),
-    ("date_trunc", r"(?i)(^|[^A-Za-z0-9_])DATE_TRUNC\s*\(", "error", "use ANSI date arithmetic"),
-    ("to_date", r"(?i)(^|[^A-Za-z0-9_])TO_(DATE|CHAR)\s*\(", "error", "use CAST"),
-    ("btrim", r"(?i)(^|[^A-Za-z0-9_])BTRIM\s*\(", "error", "use TRIM"),
-    ("double_colon_cast", r"[A-Za-z0-9_)]::[A-Za-z]", "error", "use CAST"),
-    ("qualify", r"(?i)(^|[^A-Za-z0-9_])QUALIFY([^A-Za-z0-9_]|$)", "error", "filter a window subquery"),
-    ("is_missing", r"(?i)(^|[^A-Za-z0-9_])IS\s+MISSING([^A-Za-z0-9_]|$)", "error", "use IS NULL"),
-    ("cats_put", r"(?i)(^|[^A-Za-z0-9_])(CATS|PUT)\s*\(", "error", "use concat / CAST"),
-    ("sas_attribute", r"(?i)(^|[^A-Za-z0-9_])(FORMAT|LABEL)\s*=", "error", "drop the attribute"),
-    ("unquoted_var", r"(?i)CAST\s*\(\s*\{\{\s*var", "error", "quote the variable"),
+    ("nvl", r"(?i)(^|[^A-Za-z0-9_])NVL\s*\(", "error", "use coalesce", ("nvl",)),
+    ("decode", r"(?i)(^|[^A-Za-z0-9_])DECODE\s*\(", "error", "use when / otherwise", ("decode",)),
+    ("rowid", r"(?i)(^|[^A-Za-z0-9_])ROWID([^A-Za-z0-9_]|$)", "error", "use a keep-first window", ("rowid",)),
+    ("forall", r"(?i)(^|[^A-Za-z0-9_])FORALL([^A-Za-z0-9_]|$)", "error", "use a set-based write", ("forall",)),
+    ("bulk_collect", r"(?i)(^|[^A-Za-z0-9_])BULK\s+COLLECT([^A-Za-z0-9_]|$)", "error", "use a set-based write", ("bulk",)),
+    ("execute_immediate", r"(?i)(^|[^A-Za-z0-9_])EXECUTE\s+IMMEDIATE([^A-Za-z0-9_]|$)", "error", "run the statement directly", ("immediate",)),
+    ("exception_block", r"(?i)(^|[^A-Za-z0-9_])EXCEPTION\s+WHEN([^A-Za-z0-9_]|$)", "error", "use the job log", ("exception",)),
+    ("collect", r"\.(collect|toPandas)\s*\(\s*\)", "error", "keep business data distributed", ("collect", "topandas")),
+    ("quoted_table_name", r"(table|saveAsTable|insertInto|forName)\s*\([^)]*`", "error", "use a plain dotted name", ("`",)),
+    ("date_trunc", r"(?i)(^|[^A-Za-z0-9_])DATE_TRUNC\s*\(", "error", "use ANSI date arithmetic", ("date_trunc",)),
+    ("to_date", r"(?i)(^|[^A-Za-z0-9_])TO_(DATE|CHAR)\s*\(", "error", "use CAST", ("to_date", "to_char")),
+    ("btrim", r"(?i)(^|[^A-Za-z0-9_])BTRIM\s*\(", "error", "use TRIM", ("btrim",)),
+    ("double_colon_cast", r"[A-Za-z0-9_)]::[A-Za-z]", "error", "use CAST", ("::",)),
+    ("qualify", r"(?i)(^|[^A-Za-z0-9_])QUALIFY([^A-Za-z0-9_]|$)", "error", "filter a window subquery", ("qualify",)),
+    ("is_missing", r"(?i)(^|[^A-Za-z0-9_])IS\s+MISSING([^A-Za-z0-9_]|$)", "error", "use IS NULL", ("missing",)),
+    ("cats_put", r"(?i)(^|[^A-Za-z0-9_])(CATS|PUT)\s*\(", "error", "use concat / CAST", ("cats", "put")),
+    ("sas_attribute", r"(?i)(^|[^A-Za-z0-9_])(FORMAT|LABEL)\s*=", "error", "drop the attribute", ("format", "label")),
+    ("unquoted_var", r"(?i)CAST\s*\(\s*\{\{\s*var", "error", "quote the variable", ("cast",)),
 )
 
 
+# A literal, lower-cased, that any match of the pattern must contain: a cheap test before the regex.
+NEEDLES = {
+    "set define off": "define",
+    "set serveroutput": "serveroutput",
+    "show errors": "errors",
+    "sqlplus slash terminator": "/",
+    "INFILE data step": "infile",
+    "passthrough DDL/load": "execute",
+    "PROC APPEND": "append",
+    "PROC DELETE": "delete",
+    "PROC DATASETS": "datasets",
+    "PROC EXPORT": "export",
+    "ODS EXCEL": "excel",
+    "ODS close": "_all_",
+    "ODS listing": "listing",
+    "ODS HTML": "html",
+    "PROC REPORT": "report",
+    "PROC ODSTEXT": "odstext",
+    "PROC TEMPLATE": "template",
+    "email setup": "filename",
+    "email send": "mymail",
+    "TITLE statement": "title",
+    "FOOTNOTE statement": "footnote",
+}
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a table with fewer input partitions than cores to all cores before text work.
+
+    Few partitions means little data, so this shuffle is small; larger tables are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def java_flags(pattern: str) -> str:
     return pattern.replace("(?", "(?dU", 1) if pattern.startswith("(?") and not pattern.startswith("(?:") else "(?dU)" + pattern
 
@@ -94,17 +130,21 @@ def _strip_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], kind: st
     """Flag and remove each pattern in turn, each on the text the one before left."""
     for pattern, label in patterns:
         rx = java_flags(pattern)
-        hits = F.regexp_extract_all("clean", F.lit(rx), F.lit(0))
+        needle = NEEDLES.get(label)
+        present = F.lower("clean").contains(needle) if needle else F.lit(True)
+        hits = F.when(present, F.regexp_extract_all("clean", F.lit(rx), F.lit(0))).otherwise(F.array().cast("array<string>"))
         if cut is None:
             made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(m)))
         else:
             made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(F.substring(m, 1, cut)), F.lit("...")))
-        df = df.withColumn("flags", F.concat("flags", made)).withColumn("clean", F.regexp_replace("clean", rx, ""))
+        df = df.withColumn("flags", F.concat("flags", made)).withColumn(
+            "clean", F.when(present, F.regexp_replace("clean", rx, "")).otherwise(F.col("clean"))
+        )
     return df
 
 
 def _start(scripts: DataFrame) -> DataFrame:
-    return scripts.withColumns({"clean": F.col("text"), "flags": F.array().cast("array<string>")})
+    return spread_small(scripts).withColumns({"clean": F.col("text"), "flags": F.array().cast("array<string>")})
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -152,6 +192,7 @@ def extract_table_refs(scripts: DataFrame, text: str = "text") -> DataFrame:
 
     Sources leave out ``dual``, subqueries, and tables the script also writes.
     """
+    scripts = spread_small(scripts)
     first = F.min_by(F.struct("schema_name", "table_name"), F.struct("pattern", "at")).alias("_first")
     targets = (
         _named(scripts, TARGET_PATTERNS, text)
@@ -173,17 +214,18 @@ def extract_table_refs(scripts: DataFrame, text: str = "text") -> DataFrame:
     return targets.unionByName(sources)
 
 
-def lint_scripts(scripts: DataFrame, rules: Sequence[tuple[str, str, str, str]] = LINT_RULES) -> DataFrame:
+def lint_scripts(scripts: DataFrame, rules: Sequence[tuple] = LINT_RULES) -> DataFrame:
     """One row per line and rule that fires. The rules are one array expression, not a join."""
-    lines = scripts.select("script", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = spread_small(scripts).select("script", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lower = F.lower("line")
     hits = F.array_compact(
         F.array(
             *[
                 F.when(
-                    F.col("line").rlike(pattern),
+                    reduce(lambda a, b: a | b, [lower.contains(n) for n in needles]) & F.col("line").rlike(pattern),
                     F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.lit(advice).alias("fix_suggestion")),
                 )
-                for rule, pattern, severity, advice in rules
+                for rule, pattern, severity, advice, needles in rules
             ]
         )
     )

@@ -97,7 +97,7 @@ def table_refs(dom):
 LINT_SQL = " union all ".join(
     f"select script, line_no, line, '{rule}' as rule, '{severity}' as severity, '{advice}' as fix_suggestion from lines"
     f" where regexp_matches(line, '{pattern.replace(chr(39), chr(39) * 2).replace('{', '{{').replace('}', '}}')}')"
-    for rule, pattern, severity, advice in scripts.LINT_RULES
+    for rule, pattern, severity, advice, _ in scripts.LINT_RULES
 )
 
 
