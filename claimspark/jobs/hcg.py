@@ -12,10 +12,10 @@ from claimspark.functions import codes
 from claimspark.functions.compat import keep_if_len, lpad_code, pad_if, typed_null
 from claimspark.functions.dates import as_date, los_days
 from claimspark.operators.aggregate import claim_span
-from claimspark.operators.joins import broadcast_if_small
+from claimspark.operators.joins import broadcast_if_small, null_tolerant_join
 from claimspark.operators.project import stack
 from claimspark.operators.ranking import HOT_ROWS, rank_rows
-from claimspark.operators.reshape import dx_wide, primary_taxonomy, px_wide
+from claimspark.operators.reshape import dx_codes, dx_wide, primary_taxonomy, px_wide
 
 MEMBER_KEY = ["payer", "lob", "member_id"]
 CLAIM_KEY = [*MEMBER_KEY, "claim_id"]
@@ -83,12 +83,12 @@ def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str, hot_rows: int
         "milliman_specialty",
         F.substring("zip_code", 1, 5).alias("provider_zip"),
     )
-    # the four claim-level inputs share the claim key, so the lines are shuffled once for them
+    # Rows stay narrow until they are numbered: the 90 code columns join last, per claim and version.
+    versions = dx_codes(src["fact_dxpx"], CLAIM_KEY).select(*CLAIM_KEY, "icd_version").distinct()
     joined = (
         lines.join(header, CLAIM_KEY, "left")
         .join(claim_span(src["fact_service"], CLAIM_KEY, "service_dt"), CLAIM_KEY, "left")
-        .join(dx_wide(src["fact_dxpx"], CLAIM_KEY, SLOTS), CLAIM_KEY, "left")
-        .join(px_wide(src["fact_dxpx"], CLAIM_KEY, SLOTS), CLAIM_KEY, "left")
+        .join(versions, CLAIM_KEY, "left")
         .join(src["member"].select(*MEMBER_KEY, "dob", "gender", "zip"), MEMBER_KEY, "left")
         .join(member_facts(src["fact_member"], "Member Coverage", "Product", "product"), MEMBER_KEY, "left")
         .join(member_facts(src["fact_member"], "Group Identifiers", "Group Number", "group_id"), MEMBER_KEY, "left")
@@ -99,7 +99,14 @@ def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str, hot_rows: int
         for c in ("member_id", "claim_id", "rn", "icd_version", "product", "group_id")
     ]
     numbered = rank_rows(joined, ["payer", "lob"], order, "sequencenumber", hot_rows, counted=src["fact_service"])
-    return _extract_columns(numbered, as_of)
+    keys = {k: k for k in (*CLAIM_KEY, "icd_version")}
+    coded = null_tolerant_join(numbered, claim_codes(src["fact_dxpx"]), keys, never_on_null=CLAIM_KEY)
+    return _extract_columns(coded, as_of)
+
+
+def claim_codes(dxpx: DataFrame) -> DataFrame:
+    """Diagnosis and procedure slots per claim and ICD version; claims with procedures only have no version."""
+    return dx_wide(dxpx, CLAIM_KEY, SLOTS).join(px_wide(dxpx, CLAIM_KEY, SLOTS), CLAIM_KEY, "full")
 
 
 def _extract_columns(df: DataFrame, as_of: dt.date | str) -> DataFrame:

@@ -12,7 +12,7 @@ from claimspark.functions.codes import valid_member
 from claimspark.functions.compat import is_flag, to_id, typed_null
 from claimspark.functions.dates import as_date
 from claimspark.jobs.visits import VISIT_COLS
-from claimspark.operators.joins import join_role, semi_filter
+from claimspark.operators.joins import join_role, semi_filter, spread_nulls
 from claimspark.operators.project import stack
 from claimspark.operators.ranking import keep_best, keep_first, latest_by
 
@@ -302,13 +302,14 @@ def mart_rows(seen: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str)
     current = latest_by(reporting.select(*key, "effper", "npi", "prac_emp_status"), key, "effper", ties).select(
         *key, c("npi").alias("payer_current_npi")
     )
-    epic = t["epic_pcp"].select(c("mrn").alias("pri_mrn"), c("npi").alias("epic_npi"))
+    epic = t["epic_pcp"].select(c("mrn").alias("_mrn"), c("npi").alias("epic_npi"))
     death = t["member"].select(*key, "death_dt")
     df = (
         base.join(effper, [*key, "effper"], "left")
         .join(current, key, "left")
         .join(death, key, "left")
-        .join(epic, "pri_mrn", "left")
+        .join(epic, spread_nulls(c("pri_mrn"), c("encounter_id")) == c("_mrn"), "left")
+        .drop("_mrn")
     )
     provider = t["provider"].select(
         "npi",
@@ -318,7 +319,7 @@ def mart_rows(seen: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str)
         c("lvl5_prac_emp_status").alias("prac_emp_status"),
     )
     for side in ("payer_effper", "payer_current", "epic"):
-        df = join_role(df, provider, c(f"{side}_npi"), "npi", side, ["lvl4_practice", "full_name", "pod", "prac_emp_status"])
+        df = join_role(df, provider, c(f"{side}_npi"), "npi", side, ["lvl4_practice", "full_name", "pod", "prac_emp_status"], "encounter_id")
     return schedule_flags(exclusion_flags(match_flags(df)), as_of).withColumns(
         {
             "effmonth": F.substring("effper", 6, 7),

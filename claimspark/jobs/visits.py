@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from claimspark.functions import codes
 from claimspark.functions.compat import after_first, nvl, oracle_concat
 from claimspark.functions.dates import as_date, to_effper
-from claimspark.operators.joins import flag_exists, join_role
+from claimspark.operators.joins import flag_exists, join_role, spread_nulls
 from claimspark.operators.project import id_bridge, stack
 from claimspark.operators.ranking import keep_first
 
@@ -226,14 +226,16 @@ def attribute_visits(
     c = F.col
     pcols = ["lvl2_emp_status", "lvl3_subgroup", "lvl4_practice", "full_name", "pcp_spc", "cms_pcp_spc"]
     month_cols = months.select(
-        *MEMBER_KEY,
+        c("payer").alias("_payer"),
+        "lob",
+        "member_id",
         "effper",
         c("attributed_pcp_npi").alias("historical_pcp_npi"),
         c("attributed_pcp_tax_id").alias("historical_pcp_tin"),
         "member_months",
     )
     ext_cols = ext.select(
-        "payer",
+        c("payer").alias("_payer"),
         "lob",
         c("mem_id_ref").alias("member_id"),
         "currently_active",
@@ -243,16 +245,24 @@ def attribute_visits(
         "latest_active_month",
     )
     current_month = months.select(
-        *MEMBER_KEY, c("effper").alias("latest_active_month"), c("attributed_pcp_tax_id").alias("current_pcp_tin")
+        c("payer").alias("_payer"),
+        "lob",
+        "member_id",
+        c("effper").alias("latest_active_month"),
+        c("attributed_pcp_tax_id").alias("current_pcp_tin"),
     )
-    df = base.join(month_cols, [*MEMBER_KEY, "effper"], "left").join(ext_cols, MEMBER_KEY, "left")
-    df = df.join(current_month, [*MEMBER_KEY, "latest_active_month"], "left")
-    df = join_role(df, providers, c("historical_pcp_npi"), "npi", "h", pcols)
-    df = join_role(df, providers, c("ext_npi"), "npi", "c", pcols)
-    df = join_role(df, providers, c("servicing_pcp_npi"), "npi", "s", pcols)
-    df = join_role(df, practices, c("h_lvl4_practice"), "lvl4_practice", "h", ["epic_status"])
-    df = join_role(df, practices, c("pcp_lvl4_practice"), "lvl4_practice", "c", ["epic_status"])
-    df = join_role(df, practices, c("s_lvl4_practice"), "lvl4_practice", "s", ["epic_status"])
+    # visits without a member, provider or practice are common, and must not gather in one task
+    salt = "encounter_id"
+    key = ["_payer", "lob", "member_id"]
+    df = base.withColumn("_payer", spread_nulls(c("payer"), c(salt)))
+    df = df.join(month_cols, [*key, "effper"], "left").join(ext_cols, key, "left")
+    df = df.join(current_month, [*key, "latest_active_month"], "left")
+    df = join_role(df, providers, c("historical_pcp_npi"), "npi", "h", pcols, salt)
+    df = join_role(df, providers, c("ext_npi"), "npi", "c", pcols, salt)
+    df = join_role(df, providers, c("servicing_pcp_npi"), "npi", "s", pcols, salt)
+    df = join_role(df, practices, c("h_lvl4_practice"), "lvl4_practice", "h", ["epic_status"], salt)
+    df = join_role(df, practices, c("pcp_lvl4_practice"), "lvl4_practice", "c", ["epic_status"], salt)
+    df = join_role(df, practices, c("s_lvl4_practice"), "lvl4_practice", "s", ["epic_status"], salt)
     current_npi = F.when(c("currently_active") == "Y", c("ext_npi"))
 
     def role(prefix: str, out: str) -> dict[str, Column]:

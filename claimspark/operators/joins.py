@@ -21,13 +21,25 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small_enough(df, max_rows) else df
 
 
-def join_role(df: DataFrame, dim: DataFrame, key: Column, dim_key: str, prefix: str, cols: Sequence[str]) -> DataFrame:
+def spread_nulls(key: Column, salt_on: Column) -> Column:
+    """A text join key whose NULLs are spread over ``SALT`` values that match nothing.
+
+    In a left join NULL keys find no partner, but would all be sent to one task.
+    """
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(salt_on), F.lit(SALT)).cast("string")))
+
+
+def join_role(
+    df: DataFrame, dim: DataFrame, key: Column, dim_key: str, prefix: str, cols: Sequence[str], salt_on: str | None = None
+) -> DataFrame:
     """Left join a dimension in one role: its columns arrive as ``<prefix>_<name>``.
 
     A dimension used in several roles is prefixed each time, so no reference is ambiguous.
+    ``salt_on`` names a well-spread column of ``df``; with it, NULL keys are spread.
     """
     role = dim.select(F.col(dim_key).alias(f"_{prefix}_key"), *[F.col(c).alias(f"{prefix}_{c}") for c in cols])
-    return df.join(role, key == F.col(f"_{prefix}_key"), "left").drop(f"_{prefix}_key")
+    left = spread_nulls(key, F.col(salt_on)) if salt_on else key
+    return df.join(role, left == F.col(f"_{prefix}_key"), "left").drop(f"_{prefix}_key")
 
 
 def null_tolerant_join(

@@ -25,19 +25,25 @@ def spread(df: DataFrame, keys: Sequence[str], slot: Column, slots: Sequence, co
     return tagged.groupBy(*keys).agg(*aggs)
 
 
-def dx_wide(dxpx: DataFrame, keys: Sequence[str], n: int = 30) -> DataFrame:
-    """Diagnosis codes and present-on-admission flags by slot.
+def dx_codes(dxpx: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct diagnosis codes of each claim with their ICD version and slot.
 
-    A code's slot is its smallest slot label compared as text ('10' before '2'). The ICD version
-    is part of the key, so a claim coded in both versions gives two rows.
+    A code's slot is its smallest slot label compared as text ('10' before '2').
     """
     version = F.max(F.when(F.col("code_desc") == "DXICD9", "09").when(F.col("code_desc") == "DXICD10", "10"))
-    codes = (
+    return (
         dxpx.where(F.col("code_desc").like("DX%"))
         .groupBy(*keys, "code", "poa")
         .agg(version.alias("icd_version"), try_int(F.min("prmry_ind")).alias("slot"))
     )
-    return spread(codes, [*keys, "icd_version"], F.col("slot"), range(1, n + 1), {"code": "D{}_D", "poa": "D{}_P"})
+
+
+def dx_wide(dxpx: DataFrame, keys: Sequence[str], n: int = 30) -> DataFrame:
+    """Diagnosis codes and present-on-admission flags by slot.
+
+    The ICD version is part of the key, so a claim coded in both versions gives two rows.
+    """
+    return spread(dx_codes(dxpx, keys), [*keys, "icd_version"], F.col("slot"), range(1, n + 1), {"code": "D{}_D", "poa": "D{}_P"})
 
 
 def px_wide(dxpx: DataFrame, keys: Sequence[str], n: int = 30) -> DataFrame:
