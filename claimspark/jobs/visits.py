@@ -305,9 +305,8 @@ def unified_visits(t: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFram
     everyone = active_members(t["active_members"], t["id_xwalk"])
     active = active_members(t["active_members"], t["id_xwalk"], only_active=True)
     claims = attribute_visits(claim_visits(t["claim_header"], t["fact_service"]), months, providers, practices, everyone, as_of)
-    appts = attribute_visits(appointment_visits(t), months, providers, practices, active, as_of).distinct()
-    ryan = attribute_visits(ryan_visits(t), months, providers, practices, active, as_of).distinct()
-    return stack([claims, appts, ryan])
+    scheduled = stack([appointment_visits(t), ryan_visits(t)])
+    return stack([claims, attribute_visits(scheduled, months, providers, practices, active, as_of).distinct()])
 
 
 def legacy_visits(visits: DataFrame) -> DataFrame:

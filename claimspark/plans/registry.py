@@ -16,14 +16,13 @@ ORACLES: dict[str, str] = {}
 
 def portable(df: DataFrame) -> DataFrame:
     """Dates as ISO text and decimals as doubles, so that two engines compare by value."""
-    def fix(f: T.StructField):
+    casts = {}
+    for f in df.schema.fields:
         if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return F.col(f.name).cast("string").alias(f.name)
-        if isinstance(f.dataType, T.DecimalType):
-            return F.col(f.name).cast("double").alias(f.name)
-        return F.col(f.name)
-
-    return df.select(*[fix(f) for f in df.schema.fields])
+            casts[f.name] = F.col(f.name).cast("string")
+        elif isinstance(f.dataType, T.DecimalType):
+            casts[f.name] = F.col(f.name).cast("double")
+    return df.withColumns(casts) if casts else df
 
 
 def query(name: str, sql: str | None = None, **more: str):

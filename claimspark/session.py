@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide jobs build thousands of column objects; recording a call site for each is most of that time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
