@@ -199,7 +199,11 @@ def load_hcg(
     x_keys = broadcast_if_small(active.where(F.col("branch") != "B").select("payer", "lob"))
     y_keys = broadcast_if_small(active.where(F.col("branch") == "B").select("payer", "lob"))
 
+    all_keys = broadcast_if_small(active.select("payer", "lob"))
+
     def pick(name: str) -> DataFrame:
+        if x_family[name] is y_family[name]:  # one table serves both families: read it once
+            return x_family[name].join(all_keys, ["payer", "lob"], "left_semi")
         return stack(
             [
                 x_family[name].join(x_keys, ["payer", "lob"], "left_semi"),
