@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimspark.session import spread_small
+
 # --- fixed values: patterns in the order they are applied ---------------------
 PLSQL_WRAPPERS = (
     (r"(?im)^\s*set\s+define\s+off\s*;\s*$", "set define off"),
@@ -108,15 +110,6 @@ NEEDLES = {
 }
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give a table with fewer input partitions than cores to all cores before text work.
-
-    Few partitions means little data, so this shuffle is small; larger tables are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def java_flags(pattern: str) -> str:
     return pattern.replace("(?", "(?dU", 1) if pattern.startswith("(?") and not pattern.startswith("(?:") else "(?dU)" + pattern
 

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimspark.session import spread_small
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "benchmark", "pages",
     "conversations", "embeddings",
@@ -427,7 +429,9 @@ class Domain:
                 sql = TABLES[name]
                 self._made[name] = self.spark.sql(sql, **{r: self.table(r) for r in _refs(sql)})
             else:
-                self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                base = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                # a small file is one input split; the largest table then would be derived by one task
+                self._made[name] = spread_small(base) if name == "lineitem" else base
         return self._made[name]
 
 

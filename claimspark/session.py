@@ -54,3 +54,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate that several later steps read, in the reliable checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a table with fewer input partitions than cores to all cores before heavy work.
+
+    Few partitions means little data, so this shuffle is small; larger tables are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
