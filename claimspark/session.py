@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +25,9 @@ SESSION_CONF = {
 }
 
 
+_own_folders: dict[str, str] = {}
+
+
 def build_session(app_name: str = "claimspark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -31,22 +37,29 @@ def build_session(app_name: str = "claimspark", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Reliable checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor sees, as ``spark.checkpoint.dir`` names it.
 
-    Only a session without that setting (local tests) gets a temporary folder.
+    Only a session within one process (``local`` or ``local[...]``) that lacks the setting gets a folder of its own, which
+    is deleted when the process ends.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="claimspark-ckpt-"))
-    else:
+        return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if sc.applicationId not in _own_folders:
+        _own_folders[sc.applicationId] = folder = tempfile.mkdtemp(prefix="claimspark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return _own_folders[sc.applicationId]
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Reliable checkpoint folder, in the shared folder."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(spark))
     return sc.getCheckpointDir()
 
 
