@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspark.llm import fingerprint, simhash
+from claimspark.llm import bpe, fingerprint, language_id, simhash, token_counts, url_filter
 from claimspark.llm.common import read_table
 from claimspark.llm.registry import query
 
 
+def word_vocabulary() -> bytes:
+    return bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op4_url_filter")
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, folder, "pages"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(read_table(spark, folder, "documents"))
+
+
+@query("op6_bpe_encoding")
+def op6_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, folder, "documents"), word_vocabulary())
+
+
 @query("op7_document_fingerprints")
 def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edited_pairs(read_table(spark, folder, "documents"))
@@ -17,3 +37,8 @@ def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_simhash")
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, folder, "documents"), word_vocabulary())
