@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspark.llm import bpe, fingerprint, language_id, simhash, token_counts, url_filter
+from claimspark.llm import bpe, fingerprint, language_id, simhash, substring_dedup, suffix_dedup, token_counts, url_filter
 from claimspark.llm.common import read_table
 from claimspark.llm.registry import query
 
@@ -14,6 +14,11 @@ def word_vocabulary() -> bytes:
     return bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_suffix_array_dedup")
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes_digest(read_table(spark, folder, "documents"))
+
+
 @query("op4_url_filter")
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(read_table(spark, folder, "pages"))
@@ -42,3 +47,8 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, folder, "documents"), word_vocabulary())
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_words_digest(read_table(spark, folder, "documents"))
