@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspark.llm import bpe, fingerprint, language_id, line_dedup, simhash, substring_dedup, suffix_dedup, token_counts, url_filter
+from claimspark.llm import bpe, decontaminate, fingerprint, language_id, line_dedup, simhash, substring_dedup, suffix_dedup, token_counts, url_filter
 from claimspark.llm.common import read_table
 from claimspark.llm.registry import query
 
@@ -19,6 +19,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.kept_lines_digest(read_table(spark, folder, "documents"))
 
 
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 @query("op3_suffix_array_dedup")
 def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeated_bytes_digest(read_table(spark, folder, "documents"))
