@@ -19,6 +19,7 @@ from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -257,3 +258,24 @@ def round_trip(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return map_batches(texts(docs, id_col, text_col), batch, schema)
+
+
+def token_rows(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (doc_id, n_tokens, ids, decoded_sha256): the ids of each text, and the digest of the text they decode to.
+
+    NULLs, repeated rows and the empty table as in ``encode``.
+    """
+
+    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+        bpe = load(vocabulary)
+        counts, digests, flat, ends = [], [], [], [0]
+        for text in row_texts(rows.column(1)):
+            ids = bpe.encode(text)
+            counts.append(len(ids))
+            digests.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+            flat.append(np.array(ids, np.int32))
+            ends.append(ends[-1] + len(ids))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
+        return pa.record_batch([rows.column(0), pa.array(counts, pa.int64()), lists, pa.array(digests, pa.string())], ["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
