@@ -12,10 +12,11 @@ from claimspark.functions import codes
 from claimspark.functions.compat import keep_if_len, lpad_code, pad_if, typed_null
 from claimspark.functions.dates import as_date, los_days
 from claimspark.operators.aggregate import claim_span
-from claimspark.operators.joins import broadcast_if_small, null_tolerant_join
+from claimspark.operators.joins import null_tolerant_join
 from claimspark.operators.project import stack
-from claimspark.operators.ranking import HOT_ROWS, rank_rows
+from claimspark.operators.ranking import number_rows, rank_rows
 from claimspark.operators.reshape import dx_codes, dx_wide, primary_taxonomy, px_wide
+from claimspark.session import stored
 
 MEMBER_KEY = ["payer", "lob", "member_id"]
 CLAIM_KEY = [*MEMBER_KEY, "claim_id"]
@@ -43,10 +44,10 @@ def line_order(lines: DataFrame) -> list[Column]:
     return [first, *[F.col(c).desc_nulls_last() for c in LINE_ORDER], *[F.col(c).desc_nulls_last() for c in rest]]
 
 
-def rank_claim_lines(lines: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def rank_claim_lines(lines: DataFrame) -> DataFrame:
     """Rank of each line in its claim; the placeholder member is left out."""
     kept = lines.where(F.col("member_id") != codes.SENTINEL_MEMBER)
-    return rank_rows(kept, CLAIM_KEY, line_order(lines), "rn", hot_rows)
+    return rank_rows(kept, CLAIM_KEY, line_order(lines), "rn")
 
 
 def header_pays(payer: Column) -> Column:
@@ -69,9 +70,9 @@ def member_facts(facts: DataFrame, category: str, shortdescr: str, out: str) ->
     return facts.where(hit).select(*MEMBER_KEY, F.col("fact").alias(out)).distinct()
 
 
-def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
     """The extract over one family of source tables."""
-    lines = rank_claim_lines(src["fact_service"], hot_rows)
+    lines = rank_claim_lines(src["fact_service"])
     header = src["claim_header"].where(F.col("member_id") != codes.SENTINEL_MEMBER).select(
         *CLAIM_KEY, "admit_date", "discharge_date", "paid_date", "drg", "drg_desc", "claim_type", "servicing_npi",
         "bill_code_ub", "ip_admit_type", "discharge_disposition", "paid_status", "tcc_paid",
@@ -98,7 +99,7 @@ def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str, hot_rows: int
         F.col(c).asc_nulls_last()
         for c in ("member_id", "claim_id", "rn", "icd_version", "product", "group_id")
     ]
-    numbered = rank_rows(joined, ["payer", "lob"], order, "sequencenumber", hot_rows, counted=src["fact_service"])
+    numbered = number_rows(joined, ["payer", "lob"], order, "sequencenumber")
     keys = {k: k for k in (*CLAIM_KEY, "icd_version")}
     coded = null_tolerant_join(numbered, claim_codes(src["fact_dxpx"]), keys, never_on_null=CLAIM_KEY)
     return _extract_columns(coded, as_of)
@@ -192,14 +193,13 @@ def load_hcg(
     x_family: Mapping[str, DataFrame],
     y_family: Mapping[str, DataFrame],
     as_of: dt.date | str,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Control-driven load as one plan: every active (payer, LOB) at once, no driver loop."""
-    active = control_branches(control)
-    x_keys = broadcast_if_small(active.where(F.col("branch") != "B").select("payer", "lob"))
-    y_keys = broadcast_if_small(active.where(F.col("branch") == "B").select("payer", "lob"))
-
-    all_keys = broadcast_if_small(active.select("payer", "lob"))
+    # written, so that Spark knows its size and the fact tables stay where they are
+    active = stored(control_branches(control), "control")
+    x_keys = active.where(F.col("branch") != "B").select("payer", "lob")
+    y_keys = active.where(F.col("branch") == "B").select("payer", "lob")
+    all_keys = active.select("payer", "lob")
 
     def pick(name: str) -> DataFrame:
         if x_family[name] is y_family[name]:  # one table serves both families: read it once
@@ -212,4 +212,4 @@ def load_hcg(
         )
 
     merged = {**x_family, **{name: pick(name) for name in FAMILY_TABLES}}
-    return hcg_claims(merged, as_of, hot_rows)
+    return hcg_claims(merged, as_of)

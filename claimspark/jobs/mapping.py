@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.operators.matching import best_in_list, fuzzy_match
+from claimspark.operators.matching import fuzzy_match
 from claimspark.operators.ranking import keep_first
-from claimspark.session import materialize
+from claimspark.session import stored
 
 # --- fixed values -----------------------------------------------------------
 TABLE_CUTOFF = 0.6
@@ -92,11 +92,11 @@ def resolve_columns(refs: DataFrame, tables: DataFrame, mapping: DataFrame) -> D
 
 
 def _fuzzy_within_table(refs: DataFrame, columns: DataFrame) -> DataFrame:
-    """Each open column meets its table's column list as one value, so no pairs are produced."""
+    """Each open column meets the columns of its table that can reach the cutoff."""
     key = ["map_schema", "map_table"]
-    widths = columns.groupBy(*key).agg(F.array_sort(F.collect_set("map_column")).alias("_names"))
-    wanted = refs.select(*key, "map_column").distinct().join(widths, key)
-    guessed = wanted.select(*key, "map_column", best_in_list(F.col("map_column"), F.col("_names"), COLUMN_CUTOFF).alias("match"))
+    wanted = refs.select(*key, "map_column").distinct()
+    names = columns.select(*key, F.col("map_column").alias("_name"))
+    guessed = fuzzy_match(wanted, "map_column", names, "_name", COLUMN_CUTOFF, key)
     found = columns.withColumnRenamed("map_column", "match")
     best = guessed.join(found, [*key, "match"]).drop("match")
     how = F.when(F.col("target_column").isNotNull(), "fuzzy").otherwise("unresolved")
@@ -109,7 +109,7 @@ def resolve_mappings(refs: DataFrame, intermediates: DataFrame, mapping: DataFra
     ``how`` is ``exact``, ``fuzzy``, ``unresolved`` (names kept) or ``skipped``.
     """
     kept, skipped = split_skipped(refs, intermediates)
-    tables = materialize(resolve_tables(kept, mapping))  # names are scored once; three steps read the result
+    tables = stored(resolve_tables(kept, mapping), "tables")  # names are scored once; three steps read the result
     out = resolve_columns(kept, tables, mapping).withColumns(
         {
             "target_schema": F.coalesce("target_schema", "schema_name"),

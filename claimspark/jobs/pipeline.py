@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimspark.jobs import hcg, patient_seen, unified_member, visits
 from claimspark.jobs.publish import publish_copy
-from claimspark.sinks.load import JobLog, overwrite, overwrite_partitions
+from claimspark.session import stored
+from claimspark.sinks.load import JobLog, drop_partition, overwrite, overwrite_partitions
 from claimspark.sources.tables import read_table
 
 CLAIMS_TARGET = "hcg_input_claims"
@@ -27,11 +30,28 @@ def _path(root: str, name: str) -> str:
 def load_claims(
     log: JobLog, root: str, control: DataFrame, x_family: Mapping[str, DataFrame], y_family: Mapping[str, DataFrame], as_of: dt.date
 ) -> bool:
-    """Replace the (payer, LOB) partitions named by the control table; all other partitions stay."""
-    def job() -> int:
-        return overwrite_partitions(hcg.load_hcg(control, x_family, y_family, as_of), _path(root, CLAIMS_TARGET), ["payer", "srclob"])
+    """Replace the (payer, LOB) partitions named by the control table; all other partitions stay.
 
-    return log.run(CLAIMS_TARGET, job)
+    An active pair that now has no rows is emptied. Each pair is logged with its own count; a pair that fails is logged with
+    its error and keeps its old rows. True if all pairs were loaded. The pairs are a few rows of control data.
+    """
+    spark, path, cols = control.sparkSession, _path(root, CLAIMS_TARGET), ["payer", "srclob"]
+    pairs = [(r["payer"], r["lob"]) for r in hcg.control_branches(control).orderBy("payer", "lob").collect()]
+
+    def write(chosen: DataFrame, named: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
+        result = stored(hcg.load_hcg(chosen, x_family, y_family, as_of), CLAIMS_TARGET)
+        counts = {(r["payer"], r["srclob"]): r["count"] for r in result.groupBy(*cols).count().collect()}
+        if counts:
+            overwrite_partitions(result, path, cols)
+        for payer, lob in set(named) - set(counts):
+            drop_partition(spark, path, {"payer": payer, "srclob": lob})
+        return counts
+
+    def write_one(pair: tuple[str, str]) -> int:
+        chosen = control.where((F.col("payer") == pair[0]) & (F.col("lob") == pair[1]))
+        return write(chosen, [pair]).get(pair, 0)
+
+    return all(log.run_pairs(CLAIMS_TARGET, pairs, lambda: write(control, pairs), write_one).values())
 
 
 def load_members(log: JobLog, spark: SparkSession, root: str, t: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, bool]:
@@ -72,9 +92,10 @@ def load_members(log: JobLog, spark: SparkSession, root: str, t: Mapping[str, Da
 
 
 def _previous(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
+    """The last report, or None if there is none yet; any other trouble with it is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

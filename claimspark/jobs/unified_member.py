@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 from claimspark.functions.compat import nvl
 from claimspark.functions.dates import as_date, month_start, period_label
 from claimspark.jobs.visits import MEMBER_KEY, active_members, member_months, practice_dim, provider_dim
-from claimspark.operators.joins import broadcast_if_small, join_role, null_tolerant_join, range_join
+from claimspark.operators.joins import join_role, null_tolerant_join, range_join
 from claimspark.operators.project import with_rolling_period
 from claimspark.operators.ranking import keep_best
-from claimspark.session import materialize
 
 PERSON = [*MEMBER_KEY, "mrn"]
 FLAGS = ("pcp_npi_visit", "pcp_practice_visit", "pcp_pod_visit", "mt_sinai_visit")
@@ -153,13 +152,11 @@ def running_visit_measures(df: DataFrame, keys: list, order: str) -> DataFrame:
 
 
 def narrow_visits(visits: DataFrame) -> DataFrame:
-    """The visit columns the report reads, written once: three steps below scan them."""
-    return materialize(
-        visits.select(
-            *PERSON, "date_of_service", "visit_status_type", month_start(F.col("date_of_service")).alias("month"),
-            "servicing_pcp_npi", "historical_pcp_npi", "servicing_pcp_practice", "historical_pcp_practice", "servicing_pcp_pod",
-            "historical_pcp_pod", "servicing_prov_pcp_spc", "servicing_prov_cms_pcp_spc",
-        )
+    """The visit columns the report reads. Three steps scan them, so ``visits`` should be a written table."""
+    return visits.select(
+        *PERSON, "date_of_service", "visit_status_type", month_start(F.col("date_of_service")).alias("month"),
+        "servicing_pcp_npi", "historical_pcp_npi", "servicing_pcp_practice", "historical_pcp_practice", "servicing_pcp_pod",
+        "historical_pcp_pod", "servicing_prov_pcp_spc", "servicing_prov_cms_pcp_spc",
     )
 
 
@@ -221,7 +218,7 @@ def unified_member(
     ).distinct()
     rank = F.dense_rank().over(Window.partitionBy("measurement_period_desc", "reporting_period").orderBy("effper_dt"))
     calendar = calendar.withColumn("reporting_month", rank)
-    df = df.join(broadcast_if_small(calendar), ["measurement_period_desc", "reporting_period", "effper_dt"], "left")
+    df = df.join(calendar, ["measurement_period_desc", "reporting_period", "effper_dt"], "left")
 
     ext = active_members(t["active_members"], t["id_xwalk"]).select(
         *MEMBER_KEY, c("attributed_pcp_npi").alias("ext_npi"), "currently_active"
@@ -251,7 +248,7 @@ def unified_member(
         "upcoming_appointments_mssp": F.lit(0),
         "load_dt": as_date(as_of),
     }
-    return df.select(*[made[n].alias(n) if n in made else c(n) for n in MEMBER_COLS]).distinct()
+    return df.select(*[made[n].alias(n) if n in made else c(n) for n in MEMBER_COLS])
 
 
 def resolve_duplicates(df: DataFrame) -> DataFrame:

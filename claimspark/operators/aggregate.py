@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.operators.joins import broadcast_if_small
-
 # --- fixed values -----------------------------------------------------------
 INPUT_USD_PER_MILLION = 1.25
 OUTPUT_USD_PER_MILLION = 10.0
@@ -41,7 +39,7 @@ def rolling_range_agg(
         .withColumn("_p", F.date_format("_p", "yyyyMM").cast("int"))
     )
     return (
-        partial.join(broadcast_if_small(windows), F.col(period) == F.col("_p"))
+        partial.join(windows, F.col(period) == F.col("_p"))
         .groupBy(begin, end, *keys)
         .agg(*[F.sum(out).alias(out) for out in sums])
     )

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, role dims, NULL-tolerant keys, period ranges."""
+"""Join helpers: role dims, NULL-tolerant keys, period ranges. Which side is broadcast is left to Spark's size check."""
 
 from __future__ import annotations
 
@@ -7,20 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after a count shows it has no more rows than this.
-BROADCAST_ROWS = 50_000
 SALT = 64
 
 
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the row count is within the bound; otherwise a plain shuffle join."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
-
 def spread_nulls(key: Column, salt_on: Column) -> Column:
     """A text join key whose NULLs are spread over ``SALT`` values that match nothing.
 
@@ -89,22 +78,13 @@ def period_months(periods: DataFrame, start: str = "start_dt", end: str = "end_d
     return periods.where(F.col(start) <= F.col(end)).withColumn("_month", F.explode(months))
 
 
-def range_join(
-    df: DataFrame, periods: DataFrame, col: str, start: str = "start_dt", end: str = "end_dt", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def range_join(df: DataFrame, periods: DataFrame, col: str, start: str = "start_dt", end: str = "end_dt") -> DataFrame:
     """``df JOIN periods ON df.col BETWEEN start AND end`` as a hash join on the month.
 
-    The periods side is broadcast when its month rows are within the bound. Otherwise the fact
-    side is spread over ``SALT`` sub-keys of each month and the periods are repeated per sub-key,
-    so no month is one task.
+    The fact side is spread over ``SALT`` sub-keys of each month and the periods are repeated for each, so no month is one
+    task when both sides are shuffled; periods small enough are broadcast by Spark, and then nothing moves.
     """
-    months = period_months(periods, start, end)
-    fact = df.withColumn("_fact_month", F.trunc(col, "MM"))
-    inside = F.col(col).between(F.col(start), F.col(end))
-    if small_enough(months, max_rows):
-        cond = (F.col("_fact_month") == F.col("_month")) & inside
-        return fact.join(F.broadcast(months), cond).drop("_fact_month", "_month")
-    fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALT)).cast("int"))
-    months = months.withColumn("_msalt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    cond = (F.col("_fact_month") == F.col("_month")) & (F.col("_salt") == F.col("_msalt")) & inside
+    months = period_months(periods, start, end).withColumn("_msalt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    fact = df.withColumns({"_fact_month": F.trunc(col, "MM"), "_salt": F.pmod(F.xxhash64(*df.columns), F.lit(SALT)).cast("int")})
+    cond = (F.col("_fact_month") == F.col("_month")) & (F.col("_salt") == F.col("_msalt")) & F.col(col).between(F.col(start), F.col(end))
     return fact.join(months, cond).drop("_fact_month", "_month", "_salt", "_msalt")

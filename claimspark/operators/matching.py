@@ -1,20 +1,20 @@
 """Name matching: longest-common-block similarity and best match above a cutoff.
 
 Score: twice the matched characters over both lengths, matched by repeatedly taking the longest
-common block (the standard library's ``SequenceMatcher``).
+common block (the standard library's ``SequenceMatcher``). Only pairs that can reach the cutoff are scored.
 """
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher, get_close_matches
+from collections.abc import Sequence
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dictionary of at most this many names travels to the tasks as one value.
-DICTIONARY_ROWS = 5_000
+from claimspark.session import stored
 
 
 @F.pandas_udf(T.DoubleType())
@@ -42,83 +42,67 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _best_of(names: list[str], cutoff: float):
-    @F.pandas_udf(T.StringType())
-    def best(words: pd.Series) -> pd.Series:
-        def pick(word):
-            found = get_close_matches(word, names, n=1, cutoff=cutoff) if word is not None else []
-            return found[0] if found else None
-
-        return words.map(pick)
-
-    return best.asNondeterministic()
-
-
-def best_in_list(word: Column, names: Column, cutoff: float) -> Column:
-    """The best of a row's own list of names at or above the cutoff; NULL when none reaches it."""
-
-    @F.pandas_udf(T.StringType())
-    def best(words: pd.Series, lists: pd.Series) -> pd.Series:
-        def pick(w, found):
-            if w is None or found is None:
-                return None
-            hits = get_close_matches(w, list(found), n=1, cutoff=cutoff)
-            return hits[0] if hits else None
-
-        return pd.Series([pick(w, x) for w, x in zip(words, lists)], dtype="object")
-
-    return best.asNondeterministic()(word, names)
-
-
-def _tokens(name: Column) -> Column:
-    """Characters with their occurrence number, repeats first: a multiset as a sorted set."""
+def _characters(name: Column) -> Column:
+    """A name's characters, each with its occurrence number: a multiset as a set of texts."""
     at = F.sequence(F.lit(1), F.length(name))
     upto = lambda i: F.substring(name, F.lit(1), i)
     char = lambda i: F.substring(name, i, F.lit(1))
     nth = lambda i: F.length(upto(i)) - F.length(F.replace(upto(i), char(i), F.lit("")))
-    made = F.transform(at, lambda i: F.struct((-nth(i)).alias("nth"), char(i).alias("ch")))
-    return F.when(F.length(name) > 0, F.array_sort(made))
+    made = F.transform(at, lambda i: F.concat(char(i), nth(i).cast("string")))
+    return F.when(F.length(name) > 0, made).otherwise(F.array().cast("array<string>"))
+
 
+def _ordered(df: DataFrame, by: Sequence[str], text: str, seen: DataFrame) -> DataFrame:
+    """``df`` with ``_all``: the characters of ``text``, the rarest of the whole dictionary first, as sortable texts."""
+    each = df.select(*by, text, F.explode(_characters(F.col(text))).alias("_ch"))
+    ranked = each.join(seen, "_ch", "left")
+    place = F.concat(F.lpad(F.coalesce("_seen", F.lit(0)).cast("string"), 12, "0"), F.lit(":"), "_ch")
+    return ranked.groupBy(*by, text).agg(F.array_sort(F.collect_list(place)).alias("_all"))
 
-def _prefix(df: DataFrame, name: str, cutoff: float) -> DataFrame:
-    """The leading tokens of which one must be shared by any partner that reaches the cutoff.
+
+def _prefix(df: DataFrame, text: str, cutoff: float) -> DataFrame:
+    """One row for each leading character of which one must be shared by any partner that reaches the cutoff.
 
     A partner needs at least ``ceil(n * c / (2 - c))`` shared characters with a name of length n.
     """
-    n = F.length(name)
+    n = F.length(text)
     need = F.greatest(F.ceil(n * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)), F.lit(1))
-    return df.withColumn("_token", F.explode(F.slice(_tokens(F.col(name)), F.lit(1), (n - need + 1).cast("int"))))
+    return df.withColumn("_token", F.explode(F.slice("_all", F.lit(1), (n - need + 1).cast("int"))))
+
 
+def candidate_pairs(words: DataFrame, names: DataFrame, cutoff: float, by: Sequence[str] = ()) -> DataFrame:
+    """Every (word, name) pair, within equal ``by``, that can reach the cutoff, once.
 
-def candidate_pairs(words: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
-    """Every (word, name) pair that can reach the cutoff: shared prefix token and fitting lengths."""
-    left = _prefix(words.select("word"), "word", cutoff)
-    right = _prefix(names.select("name"), "name", cutoff).withColumnRenamed("_token", "_rtoken")
+    Names meet on a shared leading character, the rarest first; only at the first one they share are the exact bounds
+    tested: the lengths, and the number of characters in common.
+    """
+    either = names.select(F.explode(_characters(F.col("name"))).alias("_ch"))
+    seen = stored(either.groupBy("_ch").agg(F.count(F.lit(1)).alias("_seen")), "characters")
+    left = _prefix(_ordered(words, by, "word", seen), "word", cutoff)
+    right = _prefix(_ordered(names, by, "name", seen), "name", cutoff)
+    right = right.select(*(F.col(k).alias(f"_r_{k}") for k in by), "name", F.col("_all").alias("_rall"), F.col("_token").alias("_rtoken"))
     lw, ln = F.length("word"), F.length("name")
     fits = 2.0 * F.least(lw, ln) / (lw + ln) >= F.lit(cutoff - 1e-9)
-    return left.join(right, (F.col("_token") == F.col("_rtoken")) & fits).select("word", "name").distinct()
+    shared = F.array_intersect("_all", "_rall")
+    reach = (2.0 * F.size(shared) / (lw + ln) >= F.lit(cutoff - 1e-9)) & (F.get(shared, F.lit(0)) == F.col("_token"))
+    same = F.col("_token") == F.col("_rtoken")
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(right, same & fits & reach).select(*by, "word", "name")
 
 
-def fuzzy_match(
-    left: DataFrame, word: str, dictionary: DataFrame, name: str, cutoff: float, max_names: int = DICTIONARY_ROWS
-) -> DataFrame:
+def fuzzy_match(left: DataFrame, word: str, dictionary: DataFrame, name: str, cutoff: float, by: Sequence[str] = ()) -> DataFrame:
     """``left`` plus ``match``: the best dictionary name at or above the cutoff, greatest name on a tie.
 
-    Names are compared lower-cased; each distinct word is scored once. A dictionary within
-    ``max_names`` is carried to the tasks; a larger one is joined on shared characters, which
-    loses no pair that reaches the cutoff.
+    Names are compared lower-cased; each distinct word is scored once. With ``by``, columns of both sides, a word only
+    meets the names with the same values there.
     """
-    words = left.select(F.lower(F.col(word)).alias("word")).where(F.col("word").isNotNull()).distinct()
-    names = dictionary.select(F.lower(F.col(name)).alias("name")).where(F.col("name").isNotNull()).distinct()
-    head = names.limit(max_names + 1).collect()
-    if len(head) <= max_names:
-        best = _spread(words).withColumn("match", _best_of(sorted(r["name"] for r in head), cutoff)("word"))
-    else:
-        scored = _spread(candidate_pairs(words, names, cutoff)).withColumn("score", gestalt_ratio("name", "word"))
-        best = (
-            scored.where(F.col("score") >= cutoff)
-            .groupBy("word")
-            .agg(F.max_by("name", F.struct("score", "name")).alias("match"))
-        )
-    best = best.where(F.col("match").isNotNull()).withColumnRenamed("word", "_word")
-    return left.join(best, F.lower(F.col(word)) == F.col("_word"), "left").drop("_word")
+    words = left.select(*by, F.lower(F.col(word)).alias("word")).where(F.col("word").isNotNull()).distinct()
+    names = dictionary.select(*by, F.lower(F.col(name)).alias("name")).where(F.col("name").isNotNull()).distinct()
+    scored = _spread(candidate_pairs(words, names, cutoff, by)).withColumn("score", gestalt_ratio("name", "word"))
+    best = scored.where(F.col("score") >= cutoff).groupBy(*by, "word").agg(F.max_by("name", F.struct("score", "name")).alias("match"))
+    best = best.select(*(F.col(k).alias(f"_b_{k}") for k in by), F.col("word").alias("_word"), "match")
+    cond = F.lower(F.col(word)) == F.col("_word")
+    for k in by:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
+    return left.join(best, cond, "left").drop("_word", *(f"_b_{k}" for k in by))

@@ -3,8 +3,8 @@
 ``keep_first`` and ``top_n`` filter on the rank, so Spark prunes each map task to the first
 ``n`` rows of a key before the shuffle: a hot key sends at most ``n`` rows per task.
 
-Full numbering cannot be pruned. ``rank_rows`` sends ordinary keys through a window and hot
-keys through ``number_rows``, which range-partitions on the whole sort key, numbers each
+Full numbering cannot be pruned. ``rank_rows`` is a window, for keys that bound their rows.
+``number_rows`` is for all other keys: it range-partitions on the whole sort key, numbers each
 range on its own and adds the row counts of the ranges before it.
 """
 
@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from claimspark.session import materialize
 
-# A key with more rows than this is not ranked by a single task.
-HOT_ROWS = 2_000_000
-
 
 def top_n(df: DataFrame, keys: Sequence, order: Sequence[Column], n: int, rank_col: str = "rn") -> DataFrame:
     """The first ``n`` rows per key, with their rank."""
@@ -42,11 +39,6 @@ def nodupkey(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None
     return keep_first(df, keys, order) if order else df.select(*keys).distinct()
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most total/hot_rows of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
-
-
 def number_rows(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], out: str, partitions: int | None = None
 ) -> DataFrame:
@@ -80,30 +72,9 @@ def number_rows(
     )
 
 
-def rank_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    out: str = "rn",
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Rank of every row within its key. Which keys are hot is counted, not assumed.
-
-    ``counted`` is a cheaper frame with the same keys to count on, such as the base table of a
-    long join; it only decides the route, both routes give the same ranks.
-    """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    hot = hot_keys(df if counted is None else counted, keys, hot_rows)
-    if hot.isEmpty():
-        return df.withColumn(out, F.row_number().over(window).cast("long"))
-    marks = hot.select(*[F.col(k).alias(f"_h_{i}") for i, k in enumerate(keys)])
-    on = F.lit(True)
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_h_{i}"))
-    cold_rows = df.join(marks, on, "left_anti").withColumn(out, F.row_number().over(window).cast("long"))
-    hot_rows_df = number_rows(df.join(marks, on, "left_semi"), keys, order, out)
-    return cold_rows.unionByName(hot_rows_df)
+def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rn") -> DataFrame:
+    """Rank of every row within its key, for keys that bound their rows, such as a claim. Others take ``number_rows``."""
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
 
 
 def keep_best(df: DataFrame, passes: Sequence[tuple[Sequence, Sequence[Column]]]) -> DataFrame:

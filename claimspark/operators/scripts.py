@@ -12,8 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.session import spread_small
-
 # --- fixed values: patterns in the order they are applied ---------------------
 PLSQL_WRAPPERS = (
     (r"(?im)^\s*set\s+define\s+off\s*;\s*$", "set define off"),
@@ -58,7 +56,7 @@ TARGET_PATTERNS = (
 )
 SOURCE_PATTERNS = (r'(?im)\bFROM\s+([A-Z0-9_$."`]+)', r'(?im)\bJOIN\s+([A-Z0-9_$."`]+)')
 NOT_TABLES = ("dual", "select")
-FLAG_CHARS = 120
+PREVIEW_CHARS = 120
 # -----------------------------------------------------------------------------
 
 # (rule, pattern, severity, advice, lower-case literals of which a match contains one)
@@ -119,25 +117,31 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)\A\s+|\s+\z", "")
 
 
-def _strip_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], kind: str, cut: int | None) -> DataFrame:
-    """Flag and remove each pattern in turn, each on the text the one before left."""
+def _strip_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], kind: str, preview: int | None) -> DataFrame:
+    """Flag and remove each pattern in turn, each on the text the one before left; removed blocks are kept whole."""
     for pattern, label in patterns:
         rx = java_flags(pattern)
         needle = NEEDLES.get(label)
         present = F.lower("clean").contains(needle) if needle else F.lit(True)
         hits = F.when(present, F.regexp_extract_all("clean", F.lit(rx), F.lit(0))).otherwise(F.array().cast("array<string>"))
-        if cut is None:
+        if preview is None:
             made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(m)))
         else:
-            made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(F.substring(m, 1, cut)), F.lit("...")))
-        df = df.withColumn("flags", F.concat("flags", made)).withColumn(
+            made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(F.substring(m, 1, preview)), F.lit("...")))
+        df = df.withColumns({"flags": F.concat("flags", made), "removed": F.concat("removed", hits)}).withColumn(
             "clean", F.when(present, F.regexp_replace("clean", rx, "")).otherwise(F.col("clean"))
         )
     return df
 
 
+def _dealt(scripts: DataFrame) -> DataFrame:
+    """Regexes cost far more than a text's bytes suggest, so the scripts are dealt out by name first."""
+    return scripts.repartition(int(scripts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "script")
+
+
 def _start(scripts: DataFrame) -> DataFrame:
-    return spread_small(scripts).withColumns({"clean": F.col("text"), "flags": F.array().cast("array<string>")})
+    none = F.array().cast("array<string>")
+    return _dealt(scripts).withColumns({"clean": F.col("text"), "flags": none, "removed": none})
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -145,14 +149,17 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def clean_plsql(scripts: DataFrame) -> DataFrame:
-    """Strip client wrapper lines, flag each, squeeze blank lines: ``(script, clean, flags)``."""
+    """Strip client wrapper lines, flag each, squeeze blank lines: ``(script, clean, flags, removed)``."""
     return _finish(_strip_patterns(_start(scripts), PLSQL_WRAPPERS, "WRAPPER", None))
 
 
 def clean_sas(scripts: DataFrame) -> DataFrame:
-    """Strip ingestion and reporting blocks, flag each by its first characters, drop block comments."""
-    df = _strip_patterns(_start(scripts), SAS_INGESTION, "INGESTION", FLAG_CHARS)
-    df = _strip_patterns(df, SAS_REPORTING, "REPORTING", FLAG_CHARS)
+    """Strip ingestion and reporting blocks, drop block comments: ``(script, clean, flags, removed)``.
+
+    A flag previews the first characters of its block; ``removed`` has each block whole, in the same order.
+    """
+    df = _strip_patterns(_start(scripts), SAS_INGESTION, "INGESTION", PREVIEW_CHARS)
+    df = _strip_patterns(df, SAS_REPORTING, "REPORTING", PREVIEW_CHARS)
     return _finish(df.withColumn("clean", F.regexp_replace("clean", java_flags(BLOCK_COMMENT), "")))
 
 
@@ -185,7 +192,7 @@ def extract_table_refs(scripts: DataFrame, text: str = "text") -> DataFrame:
 
     Sources leave out ``dual``, subqueries, and tables the script also writes.
     """
-    scripts = spread_small(scripts)
+    scripts = _dealt(scripts)
     first = F.min_by(F.struct("schema_name", "table_name"), F.struct("pattern", "at")).alias("_first")
     targets = (
         _named(scripts, TARGET_PATTERNS, text)
@@ -209,7 +216,7 @@ def extract_table_refs(scripts: DataFrame, text: str = "text") -> DataFrame:
 
 def lint_scripts(scripts: DataFrame, rules: Sequence[tuple] = LINT_RULES) -> DataFrame:
     """One row per line and rule that fires. The rules are one array expression, not a join."""
-    lines = spread_small(scripts).select("script", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = _dealt(scripts).select("script", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lower = F.lower("line")
     hits = F.array_compact(
         F.array(

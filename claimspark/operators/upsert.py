@@ -23,7 +23,7 @@ def upsert(
     """Merge ``new`` into ``old``.
 
     ``replace``: a present new row always wins, even with an empty value. ``prefer_nonempty``: a
-    blank new value keeps the old one. ``append_distinct``: new array items not already there are
+    blank new value keeps the old one, also an empty old one; only an inserted row takes it. ``append_distinct``: new array items not already there are
     added at the end. ``last_by`` picks the surviving row when ``new`` repeats a key.
     """
     unknown = set(policy.values()) - set(POLICIES)
@@ -51,7 +51,7 @@ def upsert(
             return F.when(F.col("_hit"), newer).otherwise(F.col(c)).alias(c)
         if rule == "prefer_nonempty":
             blank = newer.isNull() | (F.regexp_replace(newer.cast("string"), r"(?U)\s+", "") == "")
-            return F.when(blank, F.coalesce(F.col(c), newer)).otherwise(newer).alias(c)
+            return F.when(blank & F.col("_known"), F.col(c)).otherwise(newer).alias(c)
         empty = F.array().cast(old.schema[c].dataType)
         base, extra = F.coalesce(F.col(c), empty), F.array_distinct(F.coalesce(newer, empty))
         return F.concat(base, F.filter(extra, lambda x: ~F.coalesce(F.array_contains(base, x), F.lit(False)))).alias(c)

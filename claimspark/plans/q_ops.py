@@ -137,7 +137,7 @@ def range_join_periods(dom):
        from {claim_header} m join {meas_period} p on m.date_of_service between p.start_dt and p.end_dt group by 1, 2""",
 )
 def range_join_salted(dom):
-    joined = joins.range_join(dom.claim_header, dom.meas_period, "date_of_service", max_rows=0)
+    joined = joins.range_join(dom.claim_header, dom.meas_period, "date_of_service")
     return joined.groupBy("measurement_period_desc", "start_dt").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -169,14 +169,14 @@ def rolling_range_agg(dom):
     "null_tolerant_join",
     """select a.cpt_modifier1, a.cpt_modifier2, a.cap_claim_ind, a.n, b.members
        from (select cpt_modifier1, cpt_modifier2, cap_claim_ind, count(*) as n from {fact_service} group by 1, 2, 3) a
-       left join (select cpt_modifier1, cpt_modifier2, cap_claim_ind, count(distinct member_id) as members from {fact_service} where line < 4 group by 1, 2, 3) b
+       left join (select cpt_modifier1, cpt_modifier2, cap_claim_ind, count(distinct member_id) as members from {fact_service} group by 1, 2, 3) b
          on a.cpt_modifier1 is not distinct from b.cpt_modifier1 and a.cpt_modifier2 is not distinct from b.cpt_modifier2
          and a.cap_claim_ind = b.cap_claim_ind""",
 )
 def null_tolerant_join(dom):
     key = ["cpt_modifier1", "cpt_modifier2", "cap_claim_ind"]
     left = dom.fact_service.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    right = dom.fact_service.where(c("line") < 4).groupBy(*key).agg(F.countDistinct("member_id").alias("members"))
+    right = dom.fact_service.groupBy(*key).agg(F.countDistinct("member_id").alias("members"))
     return joins.null_tolerant_join(left, right, {k: k for k in key}, never_on_null=["cap_claim_ind"])
 
 
@@ -363,9 +363,8 @@ def keep_best(dom):
     """select payer, lob, member_id, claim_id, row_number() over (partition by payer, lob order by member_id, claim_id) as seq from {claim_header}""",
 )
 def sequence_numbers(dom):
-    """The route for groups too large for one task, taken by every group here."""
     df = dom.claim_header.select("payer", "lob", "member_id", "claim_id")
-    return ranking.rank_rows(df, ["payer", "lob"], [c("member_id").asc(), c("claim_id").asc()], "seq", hot_rows=0)
+    return ranking.number_rows(df, ["payer", "lob"], [c("member_id").asc(), c("claim_id").asc()], "seq")
 
 
 @query(
@@ -420,7 +419,7 @@ def upsert_replace(dom):
 
 @query(
     "upsert_prefer_nonempty",
-    """select coalesce(o.path, n.path) as path, case when n.content is null or trim(n.content) = '' then coalesce(o.content, n.content) else n.content end as content, o.note
+    """select coalesce(o.path, n.path) as path, case when o.path is not null and (n.content is null or trim(n.content) = '') then o.content else n.content end as content, o.note
        from {old} o full join {new} n on o.path = n.path""",
     old=OLD,
     new=NEW,

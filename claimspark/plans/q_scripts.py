@@ -40,12 +40,12 @@ def _clean_sql() -> str:
 
 @query("clean_plsql", _clean_sql())
 def clean_plsql(dom):
-    return scripts.clean_plsql(dom.scripts).withColumn("flags", F.array_join("flags", "\n"))
+    return scripts.clean_plsql(dom.scripts).withColumn("flags", F.array_join("flags", "\n")).drop("removed")
 
 
 @query("clean_sas")
 def clean_sas(dom):
-    return scripts.clean_sas(dom.scripts).withColumn("flags", F.array_join("flags", "\n"))
+    return scripts.clean_sas(dom.scripts).withColumns({"flags": F.array_join("flags", "\n"), "removed": F.array_join("removed", "\n")})
 
 
 # --------------------------------------------------------------------------- table references
@@ -271,9 +271,11 @@ def fuzzy_match(dom):
 
 @query("fuzzy_match_joined")
 def fuzzy_match_joined(dom):
-    """The route for a dictionary too large to carry: candidates joined on shared characters."""
-    refs = dom.column_refs.select("table_name").distinct()
-    return matching.fuzzy_match(refs, "table_name", _dictionary(dom), "source_table", 0.6, max_names=0)
+    """Column names against those of one source table each."""
+    key = F.lower("table_name").alias("table")
+    refs = dom.column_refs.select(key, "column_name").distinct()
+    names = dom.mapping.select(F.lower("source_table").alias("table"), "source_column").distinct()
+    return matching.fuzzy_match(refs, "column_name", names, "source_column", 0.7, ["table"])
 
 
 @query(

@@ -11,6 +11,7 @@ from claimspark.jobs import patient_seen, unified_member, visits
 from claimspark.jobs.publish import publish_copy
 from claimspark.operators.project import id_bridge
 from claimspark.plans.registry import query
+from claimspark.session import stored
 
 AS_OF = "2024-01-20"
 AS_OF_DATE = dt.date(2024, 1, 20)
@@ -471,7 +472,7 @@ MEMBER_DATES = "replace (cast(reporting_date as varchar) as reporting_date, cast
 
 @query("unified_member", f"select * {MEMBER_DATES} from {{member_rep}}", **L_MEMBER)
 def unified_member_query(dom):
-    return unified_member.member_reporting(_tables(dom), visits.legacy_visits(_visits(dom)), AS_OF_DATE)
+    return unified_member.member_reporting(_tables(dom), stored(visits.legacy_visits(_visits(dom)), "legacy-visits"), AS_OF_DATE)
 
 
 @query(

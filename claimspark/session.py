@@ -6,6 +6,7 @@ import atexit
 import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,16 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A small or reused intermediate as a written table, so that later plans know its size and prune its columns."""
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate that several later steps read, in the reliable checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give a table with fewer input partitions than cores to all cores before heavy work.
-
-    Few partitions means little data, so this shuffle is small; larger tables are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

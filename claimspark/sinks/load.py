@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,6 @@ ERROR_LOG = T.StructType(
         T.StructField("reprocessed", T.StringType()),
     ]
 )
-MESSAGE_CHARS = 200
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -64,6 +63,14 @@ def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> int:
     return int(seen.get["n"])
 
 
+def drop_partition(spark: SparkSession, path: str, values: Mapping[str, str]) -> None:
+    """Remove one partition's files; nothing happens if there are none."""
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{k}={escape(v)}" for k, v in values.items())]))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append(df: DataFrame, path: str) -> int:
     counted, seen = _counted(df)
     counted.write.mode("append").parquet(path)
@@ -78,6 +85,7 @@ class JobLog:
     root: str
     category: str
     clock: Callable[[], dt.datetime] = dt.datetime.now
+    held: list[Exception] = field(default_factory=list)
 
     @property
     def runs_path(self) -> str:
@@ -87,38 +95,89 @@ class JobLog:
     def errors_path(self) -> str:
         return f"{self.root}/error_log"
 
-    def _add(self, path: str, schema: T.StructType, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    def _add(self, path: str, schema: T.StructType, *rows: tuple) -> None:
+        if rows:
+            self.spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
+
+    def _head(self, table: str, payer: str, category: str, start: dt.datetime) -> tuple:
+        return (table, payer, category, "N/A", start)
+
+    def _failed(self, head: tuple, err: Exception) -> None:
+        table, payer, category, _, start = head
+        now = self.clock()
+        detail = "".join(traceback.format_exception(err))
+        self._add(self.errors_path, ERROR_LOG, (table, payer, category, start, now, type(err).__name__, detail, now.date(), "N"))
+        self._add(self.runs_path, RUN_LOG, (*head, now, None, now.date(), "Failed", now))
 
     def run(self, table: str, fn: Callable[[], int], payer: str = "ALL", raise_at_end: bool = False) -> bool:
-        """Log a start, run ``fn`` (it returns its row count), log the outcome. A failure does not stop the caller."""
+        """Log a start, run ``fn`` (it returns its row count), log the outcome. A failure does not stop the caller.
+
+        With ``raise_at_end`` the failure is also held, for ``finish`` to raise after the last block.
+        """
         start = self.clock()
-        head = (table, payer, self.category, "N/A", start)
+        head = self._head(table, payer, self.category, start)
         self._add(self.runs_path, RUN_LOG, (*head, None, None, None, None, start))
         try:
             count = fn()
         except Exception as err:  # noqa: BLE001  any failure of one block is logged and isolated
-            now = self.clock()
-            detail = (traceback.format_exception_only(err)[-1])[:MESSAGE_CHARS]
-            self._add(self.errors_path, ERROR_LOG, (table, payer, self.category, start, now, type(err).__name__, detail, now.date(), "N"))
-            self._add(self.runs_path, RUN_LOG, (*head, now, None, now.date(), "Failed", now))
+            self._failed(head, err)
             if raise_at_end:
-                raise
+                self.held.append(err)
             return False
         now = self.clock()
         self._add(self.runs_path, RUN_LOG, (*head, now, count, now.date(), "Completed", now))
         return True
 
+    def run_pairs(
+        self,
+        table: str,
+        pairs: Sequence[tuple[str, str]],
+        write_all: Callable[[], Mapping[tuple[str, str], int]],
+        write_one: Callable[[tuple[str, str]], int],
+    ) -> dict[tuple[str, str], bool]:
+        """One load of many (payer, LOB) pairs, logged pair by pair; the category of a row is its LOB.
+
+        All pairs are written by ``write_all``, which returns the rows of each. Only if that fails is each pair written
+        on its own, so that the bad one is found and the others are loaded.
+        """
+        start = self.clock()
+        heads = {p: self._head(table, p[0], p[1], start) for p in pairs}
+        self._add(self.runs_path, RUN_LOG, *((*h, None, None, None, None, start) for h in heads.values()))
+        try:
+            counts = write_all()
+        except Exception:  # noqa: BLE001  the pair at fault is found below and logged with its own error
+            return {p: self._one_pair(heads[p], p, write_one) for p in pairs}
+        now = self.clock()
+        self._add(self.runs_path, RUN_LOG, *((*heads[p], now, counts.get(p, 0), now.date(), "Completed", now) for p in pairs))
+        return {p: True for p in pairs}
+
+    def _one_pair(self, head: tuple, pair: tuple[str, str], write_one: Callable[[tuple[str, str]], int]) -> bool:
+        try:
+            count = write_one(pair)
+        except Exception as err:  # noqa: BLE001  one bad pair does not stop the others
+            self._failed(head, err)
+            return False
+        now = self.clock()
+        self._add(self.runs_path, RUN_LOG, (*head, now, count, now.date(), "Completed", now))
+        return True
+
+    def finish(self) -> None:
+        """Raise what the blocks held back, all together; call it after the last block."""
+        held, self.held = self.held, []
+        if held:
+            raise ExceptionGroup("blocks failed", held)
+
     def state(self) -> DataFrame:
         return latest_runs(self.spark.read.schema(RUN_LOG).parquet(self.runs_path))
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:
-    """Latest entry of each run, keyed by table, payer and start time."""
-    rest = [f.name for f in RUN_LOG.fields if f.name not in ("table_name", "payer", "start_time")]
+    """Latest entry of each run, keyed by table, payer, category and start time."""
+    key = ("table_name", "payer", "category", "start_time")
+    rest = [f.name for f in RUN_LOG.fields if f.name not in key]
     newest = F.max_by(F.struct(*rest), F.struct("logged_at", F.col("status").isNotNull()))
     return (
-        runs.groupBy("table_name", "payer", "start_time")
+        runs.groupBy(*key)
         .agg(newest.alias("_s"))
-        .select("table_name", "payer", "start_time", *[F.col(f"_s.{n}").alias(n) for n in rest])
+        .select(*key, *[F.col(f"_s.{n}").alias(n) for n in rest])
     )

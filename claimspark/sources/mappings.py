@@ -21,12 +21,12 @@ def read_mappings(spark: SparkSession, path: str | None) -> DataFrame:
         return empty
     try:
         if path.endswith(".json"):
-            rows = spark.read.schema(SCHEMA).option("multiLine", True).json(path)
+            rows = spark.read.schema(SCHEMA).option("multiLine", True).json(path).withColumn("_file", F.col("_metadata.file_path"))
         elif path.endswith(".csv"):
-            rows = spark.read.option("header", True).csv(path)
+            rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).withColumn("_file", F.col("_metadata.file_path"))
             have = set(rows.columns)
             rows = rows.select(
-                *[(F.coalesce(F.trim(f), F.lit("")) if f in have else F.lit("")).alias(f) for f in FIELDS]
+                *[(F.coalesce(F.trim(f), F.lit("")) if f in have else F.lit("")).alias(f) for f in FIELDS], "_file"
             )
         else:
             raise ValueError(f"unsupported mapping format: {path}")
@@ -34,4 +34,10 @@ def read_mappings(spark: SparkSession, path: str | None) -> DataFrame:
         if err.getCondition() == "PATH_NOT_FOUND":
             return empty
         raise
-    return rows.withColumn("pos", F.monotonically_increasing_id())
+    # a multi-line file is one split, so ids rise along it; files come in the order of their names
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    files = rows.groupBy("_file").agg(F.min("_row").alias("_first"))
+    before = files.select(F.col("_file").alias("_other"))
+    order = files.join(before, F.col("_other") < F.col("_file"), "left").groupBy("_file", "_first").agg(F.count("_other").alias("_place"))
+    placed = rows.join(order, "_file")
+    return placed.select(*FIELDS, (F.col("_place") * F.lit(1 << 33) + F.col("_row") - F.col("_first")).alias("pos"))

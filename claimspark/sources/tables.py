@@ -5,14 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from claimspark.functions.compat import empty_to_null
+
 
 def read_table(
-    spark: SparkSession, root: str | None, name: str, schema: T.StructType | None = None, fmt: str = "parquet", **options: str
+    spark: SparkSession, root: str | None, name: str, schema: T.StructType | None = None, fmt: str = "parquet", empty_as_null: bool = False, **options: str
 ) -> DataFrame:
     """A table by name: files under ``root``, a catalog table when ``root`` is None, or JDBC.
 
-    A schema is passed for text formats, so codes with leading zeros are never read as numbers.
+    A schema is passed for text formats, so codes with leading zeros are never read as numbers. ``empty_as_null`` is for
+    tables of the legacy warehouse, in which an empty text is NULL. A JDBC table is read by one task unless the options
+    name ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``.
     """
+    df = _read(spark, root, name, schema, fmt, options)
+    return empty_to_null(df) if empty_as_null else df
+
+
+def _read(spark: SparkSession, root: str | None, name: str, schema: T.StructType | None, fmt: str, options: dict[str, str]) -> DataFrame:
     if root is None and fmt != "jdbc":
         return spark.table(name)
     reader = spark.read.format(fmt).options(**options)

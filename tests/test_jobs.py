@@ -31,14 +31,17 @@ def test_header_total_goes_to_the_first_ranked_line(spark):
     assert got == {("c", "450"): 100, ("c", "120"): 0, ("c", None): 0, ("d", "1"): 5}
 
 
-def test_extract_same_with_every_group_hot(spark, tmp_path):
+def test_sequence_numbers_are_those_of_a_window(spark):
     dom = Domain(spark, "/root/testdata/sf0.001")
     names = (*hcg.FAMILY_TABLES, "nppes", "taxonomy_xwalk", "specialty_xwalk")
-    family = {n: dom.table(n) for n in names}
-    keep = ["payer", "srclob", "sequencenumber", "claimid", "hcpcs", "paid", "icdversion", "product", "groupid"]
-    plain = hcg.hcg_claims(family, "2024-01-20").select(*keep)
-    hot = hcg.hcg_claims(family, "2024-01-20", hot_rows=3).select(*keep)
-    assert sorted(map(str, plain.collect())) == sorted(map(str, hot.collect()))
+    rows = hcg.hcg_claims({n: dom.table(n) for n in names}, "2024-01-20").select("payer", "srclob", "sequencenumber", "claimid", "memberid").collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault((r["payer"], r["srclob"]), []).append((r["sequencenumber"], r["memberid"], r["claimid"]))
+    for got in groups.values():
+        got.sort()
+        assert [n for n, _, _ in got] == list(range(1, len(got) + 1))
+        assert [x[1:] for x in got] == sorted(x[1:] for x in got)
 
 
 def test_control_picks_the_family(spark):

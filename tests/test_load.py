@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from claimspark.jobs import pipeline
+from claimspark.jobs import hcg, pipeline
 from claimspark.plans.domain import Domain
 from claimspark.plans.q_visits import _tables
 from claimspark.sinks.load import JobLog, append, overwrite, overwrite_partitions
@@ -41,8 +41,46 @@ def test_run_log_isolates_failures(spark, tmp_path):
     assert state == {"good": ("Completed", 7), "bad": ("Failed", None), "after": ("Completed", 0)}
     errors = spark.read.parquet(log.errors_path).collect()
     assert [(e["table_name"], e["error_code"], "boom" in e["error_msg"]) for e in errors] == [("bad", "ValueError", True)]
-    with pytest.raises(ValueError):
-        log.run("bad", fail, raise_at_end=True)
+    assert errors[0]["error_msg"].startswith("Traceback") and "in fail" in errors[0]["error_msg"]
+    assert not log.run("bad", fail, raise_at_end=True) and log.run("later", lambda: 1)
+    with pytest.raises(ExceptionGroup):
+        log.finish()
+    log.finish()
+
+
+def _claims(spark):
+    dom = Domain(spark, "/root/testdata/sf0.001")
+    return dom, {n: dom.table(n) for n in (*hcg.FAMILY_TABLES, "nppes", "taxonomy_xwalk", "specialty_xwalk")}
+
+
+def test_claims_load_logs_each_pair_and_empties_one_without_rows(spark, tmp_path):
+    dom, family = _claims(spark)
+    root, log = str(tmp_path / "out"), JobLog(spark, str(tmp_path / "log"), "HCG")
+    assert pipeline.load_claims(log, root, dom.control, family, family, dt.date(2024, 1, 20))
+    target = spark.read.parquet(f"{root}/hcg_input_claims.parquet")
+    counts = {(r["payer"], r["srclob"]): r["count"] for r in target.groupBy("payer", "srclob").count().collect()}
+    logged = {(r["payer"], r["category"]): r["record_count"] for r in log.state().collect()}
+    assert counts and counts == {k: v for k, v in logged.items() if v}
+    (payer, lob), *_ = counts
+    gone = family["fact_service"].where(~((F.col("payer") == payer) & (F.col("lob") == lob)))
+    assert pipeline.load_claims(log, root, dom.control, {**family, "fact_service": gone}, {**family, "fact_service": gone}, dt.date(2024, 1, 21))
+    left = {(r["payer"], r["srclob"]) for r in spark.read.parquet(f"{root}/hcg_input_claims.parquet").select("payer", "srclob").distinct().collect()}
+    assert left == set(counts) - {(payer, lob)}
+
+
+def test_claims_load_isolates_a_failing_pair(spark, tmp_path):
+    dom, family = _claims(spark)
+    root, log = str(tmp_path / "out"), JobLog(spark, str(tmp_path / "log"), "HCG")
+    pairs = [(r["payer"], r["lob"]) for r in hcg.control_branches(dom.control).orderBy("payer", "lob").collect()][:3]
+    control = dom.control.where(F.concat_ws("|", "payer", "lob").isin(*("|".join(p) for p in pairs)))
+    bad = pairs[1]
+    here = (F.col("payer") == bad[0]) & (F.col("lob") == bad[1])
+    broken = family["fact_service"].withColumn("service_code", F.when(here, F.raise_error(F.lit("bad row")).cast("string")).otherwise(F.col("service_code")))
+    assert not pipeline.load_claims(log, root, control, {**family, "fact_service": broken}, {**family, "fact_service": broken}, dt.date(2024, 1, 20))
+    state = {(r["payer"], r["category"]): r["status"] for r in log.state().collect()}
+    assert state == {p: "Failed" if p == bad else "Completed" for p in pairs}
+    (error,) = spark.read.parquet(log.errors_path).collect()
+    assert (error["payer"], error["category"]) == bad and "bad row" in error["error_msg"]
 
 
 def test_member_pipeline_end_to_end(spark, tmp_path):
@@ -61,6 +99,14 @@ def test_read_mappings(spark, tmp_path):
     assert read_mappings(spark, str(tmp_path / "m.json")).first()["target_column"] == "0012"
     row = read_mappings(spark, str(tmp_path / "m.csv")).first()
     assert (row["source_schema"], row["source_column"], row["target_column"]) == ("s", "a", "")
+    (tmp_path / "q.csv").write_text('source_schema,source_table,source_column\ns,"a ""quoted""\nname",x\ns,b,y\n')
+    quoted = read_mappings(spark, str(tmp_path / "q.csv")).orderBy("pos").collect()
+    assert [r["source_table"] for r in quoted] == ['a "quoted"\nname', "b"]
+    (tmp_path / "many").mkdir()
+    for i in range(12):
+        (tmp_path / "many" / f"f{i:02d}.csv").write_text("source_schema,source_table,source_column\n" + "".join(f"s,t{i:02d},c{j}\n" for j in range(5)))
+    rows = read_mappings(spark, str(tmp_path / "many" / "*.csv")).orderBy("pos").collect()
+    assert [(r["source_table"], r["source_column"]) for r in rows] == [(f"t{i:02d}", f"c{j}") for i in range(12) for j in range(5)]
     assert read_mappings(spark, str(tmp_path / "none.json")).isEmpty() and read_mappings(spark, None).isEmpty()
     with pytest.raises(ValueError):
         read_mappings(spark, str(tmp_path / "m.xml"))

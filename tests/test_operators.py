@@ -25,12 +25,12 @@ def test_number_rows_matches_a_plain_ranking_with_a_hot_group_and_copies(spark):
         assert [v for _, v in pairs] == sorted(v for gg, v in rows if gg == g)
 
 
-def test_rank_rows_same_by_both_routes(spark):
+def test_rank_rows_and_number_rows_agree(spark):
     rows = [("hot", i) for i in range(400)] + [("cold", i) for i in range(20)]
     df = spark.createDataFrame(rows, "g string, v int")
     order = [c("v").desc()]
     window = sorted(map(tuple, ranking.rank_rows(df, ["g"], order).collect()))
-    mixed = sorted(map(tuple, ranking.rank_rows(df, ["g"], order, hot_rows=100).collect()))
+    mixed = sorted(map(tuple, ranking.number_rows(df, ["g"], order, "rn").collect()))
     assert window == mixed
 
 
@@ -47,14 +47,17 @@ def test_latest_by_puts_null_first(spark):
     assert sorted((r["k"], r["p"]) for r in ranking.latest_by(df, ["k"], "p").collect()) == [("a", None), ("b", "2024-02")]
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_range_join_both_routes(spark, max_rows):
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_range_join_both_routes(spark, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     rng = random.Random(3)
     days = [dt.date(2023, 1, 1) + dt.timedelta(days=rng.randrange(500)) for _ in range(300)]
     periods = [("a", dt.date(2023, 1, 15), dt.date(2023, 6, 3)), ("b", dt.date(2023, 3, 1), dt.date(2024, 2, 29)), ("c", dt.date(2024, 2, 1), dt.date(2024, 1, 1))]
     df = spark.createDataFrame(list(enumerate(days)), "i int, d date")
     per = spark.createDataFrame(periods, "p string, start_dt date, end_dt date")
-    got = sorted((r["i"], r["p"]) for r in joins.range_join(df, per, "d", max_rows=max_rows).collect())
+    got = sorted((r["i"], r["p"]) for r in joins.range_join(df, per, "d").collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == sorted((i, p) for i, d in enumerate(days) for p, s, e in periods if s <= d <= e)
 
 

@@ -88,18 +88,31 @@ def test_missing_refs(spark):
 NAMES = ["pharmacy_claims", "medical_claims", "rx_claims", "member", "members", "ndc_master", "ndc_price", "aa", "bb", "abc", "cab"]
 
 
-@pytest.mark.parametrize("max_names", [0, 100])
 @pytest.mark.parametrize("cutoff", [0.6, 0.7])
-def test_fuzzy_match_equals_difflib(spark, max_names, cutoff):
+def test_fuzzy_match_equals_difflib(spark, cutoff):
     rng = random.Random(11)
     words = ["pharm_claims", "zzz", "Member", "ndc_mastr", ""] + ["".join(rng.choice("abcdm_") for _ in range(rng.randrange(1, 12))) for _ in range(150)]
     df = spark.createDataFrame([(w,) for w in sorted(set(words))], "w string")
     names = spark.createDataFrame([(n,) for n in NAMES], "n string")
-    for r in matching.fuzzy_match(df, "w", names, "n", cutoff, max_names=max_names).collect():
+    for r in matching.fuzzy_match(df, "w", names, "n", cutoff).collect():
         want = get_close_matches(r["w"].lower(), NAMES, n=1, cutoff=cutoff)
         assert r["match"] == (want[0] if want else None), r["w"]
 
 
+def test_fuzzy_match_within_groups_scores_few_pairs(spark):
+    rng = random.Random(4)
+    names = sorted({"".join(rng.choice("abcdefghijklmnop_") for _ in range(rng.randrange(4, 14))) for _ in range(120)})
+    words = [n[:-1] + "z" for n in names[:60]] + ["qqqq"]
+    left = spark.createDataFrame([(i % 2, w) for i, w in enumerate(words)], "g int, w string")
+    right = spark.createDataFrame([(i % 2, n) for i, n in enumerate(names)], "g int, n string")
+    got = {(r["g"], r["w"]): r["match"] for r in matching.fuzzy_match(left, "w", right, "n", 0.7, ["g"]).collect()}
+    for i, w in enumerate(words):
+        want = get_close_matches(w, [n for k, n in enumerate(names) if k % 2 == i % 2], n=1, cutoff=0.7)
+        assert got[i % 2, w] == (want[0] if want else None)
+    pairs = matching.candidate_pairs(left.selectExpr("g", "w as word"), right.selectExpr("g", "n as name"), 0.7, ["g"])
+    assert pairs.count() == pairs.distinct().count() < 0.1 * len(words) * len(names)
+
+
 def test_gestalt_ratio(spark):
     df = spark.createDataFrame([("abcd", "bcde"), ("A", "a"), (None, "x")], "a string, b string")
     got = [r["s"] for r in df.select(matching.gestalt_ratio("a", "b").alias("s")).collect()]
