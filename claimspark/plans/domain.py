@@ -286,7 +286,7 @@ TABLES: dict[str, str] = {
           l_orderkey as row_a, l_linenumber as row_b
         from {{lineitem}}""",
     "ndc_master": """
-        select cast(p_partkey as string) as ndc, cast(p_partkey % 300 as string) as gcn_seqno, 'L' || cast(p_partkey % 40 as string) as lblrid,
+        select cast(p_partkey as string) as ndc, cast(p_partkey - p_partkey % 3 as string) as gcn_seqno, 'L' || cast(p_partkey % 40 as string) as lblrid,
           p_name as ln, p_name || ' 60' as ln60, p_brand as bn,
           case p_partkey % 4 when 0 then 'F' when 1 then 'O' when 2 then 'Q' else cast(null as string) end as cl,
           cast(p_partkey % 5 as string) as df, cast(p_size % 8 as string) as dea, 'B' || cast(p_partkey % 9 as string) as obc,
@@ -298,40 +298,40 @@ TABLES: dict[str, str] = {
           case when p_partkey % 7 = 0 then cast(null as string) else '20210' || cast(p_partkey % 9 + 1 as string) || '01' end as dupdc,
           case when p_partkey % 5 = 0 then '20221231' else '00000000' end as obsdtec
         from {part}""",
-    "ndc_medid": "select cast(p_partkey as string) as ndc, cast(p_partkey % 500 as string) as medid from {part} where p_partkey % 11 <> 0",
+    "ndc_medid": "select cast(p_partkey as string) as ndc, cast(p_partkey - p_partkey % 2 as string) as medid from {part} where p_partkey % 11 <> 0",
     "med": """
         select cast(p_partkey as string) as medid, 'MED ' || p_name as med_medid_desc, 'MG' as med_strength_uom,
-          cast(p_partkey % 200 as string) as routed_dosage_form_med_id, cast(p_partkey % 90 as string) as generic_medid
-        from {part} where p_partkey < 450""",
+          cast(p_partkey - p_partkey % 5 as string) as routed_dosage_form_med_id, cast(p_partkey - p_partkey % 7 as string) as generic_medid
+        from {part} where p_partkey % 10 <> 4""",
     "routed_df_med": """
         select cast(p_partkey as string) as routed_dosage_form_med_id, 'RDF ' || p_name as med_routed_df_med_id_desc,
-          cast(p_partkey % 100 as string) as routed_med_id from {part} where p_partkey < 190""",
-    "routed_med": "select cast(p_partkey as string) as routed_med_id, 'RM ' || p_name as med_routed_med_id_desc from {part} where p_partkey < 95",
-    "routed_gen_ndc": "select cast(p_partkey as string) as ndc, cast(p_partkey % 150 as string) as routed_gen_id from {part} where p_partkey % 3 <> 1",
-    "routed_gen": "select cast(p_partkey as string) as routed_gen_id, 'RG ' || p_name as routed_gen_desc from {part} where p_partkey < 140",
+          cast(p_partkey - p_partkey % 4 as string) as routed_med_id from {part} where p_partkey % 20 <> 5""",
+    "routed_med": "select cast(p_partkey as string) as routed_med_id, 'RM ' || p_name as med_routed_med_id_desc from {part} where p_partkey % 19 <> 8",
+    "routed_gen_ndc": "select cast(p_partkey as string) as ndc, cast(p_partkey - p_partkey % 6 as string) as routed_gen_id from {part} where p_partkey % 3 <> 1",
+    "routed_gen": "select cast(p_partkey as string) as routed_gen_id, 'RG ' || p_name as routed_gen_desc from {part} where p_partkey % 15 <> 6",
     "labeler": "select 'L' || cast(n_nationkey as string) as lblrid, n_name as mfg, cast(n_nationkey % 2 as string) as lblrind from {nation}",
-    "gcn_link": "select cast(p_partkey as string) as gcn_seqno, cast(p_partkey * 3 as string) as gcn from {part} where p_partkey < 280",
+    "gcn_link": "select cast(p_partkey as string) as gcn_seqno, cast(p_partkey * 3 as string) as gcn from {part} where p_partkey % 28 <> 12",
     "gcn_master": """
         select cast(p_partkey as string) as gcn_seqno, cast(p_partkey % 20 as string) as tc, 'H' || cast(p_partkey % 25 as string) as hic3,
-          cast(p_partkey % 120 as string) as hicl_seqno, 'G' || cast(p_partkey % 15 as string) as gtc, 'DF' || cast(p_partkey % 12 as string) as gcdf,
+          cast(p_partkey - p_partkey % 8 as string) as hicl_seqno, 'G' || cast(p_partkey % 15 as string) as gtc, 'DF' || cast(p_partkey % 12 as string) as gcdf,
           'RT' || cast(p_partkey % 8 as string) as gcrt, 'STR' || cast(p_partkey % 30 as string) as str,
           'S60' || cast(p_partkey % 30 as string) as str60, cast(p_partkey % 6 as string) as dcc
-        from {part} where p_partkey < 290""",
-    "hicl": "select cast(p_partkey as string) as hicl_seqno, 'GEN ' || p_name as gnn60 from {part} where p_partkey < 110",
+        from {part} where p_partkey % 29 <> 9""",
+    "hicl": "select cast(p_partkey as string) as hicl_seqno, 'GEN ' || p_name as gnn60 from {part} where p_partkey % 11 <> 5",
     "strength": """
         select 'S60' || cast(n_nationkey as string) as str60, cast(n_nationkey as string) as strnum, 'MG' as strun50,
           cast(n_nationkey * 2 as string) as volnum, 'ML' as volun50 from {nation}""",
     "dose": "select 'DF' || cast(n_nationkey as string) as gcdf, 'DOSE ' || n_name as gcdf_desc, 'D' || n_name as dose from {nation} where n_nationkey < 11",
     "route": "select 'RT' || cast(n_nationkey as string) as gcrt, 'R' || n_name as rt, 'ROUTE ' || n_name as gcrt_desc from {nation} where n_nationkey < 7",
     "drug_cat": "select cast(r_regionkey as string) as dcc, 'CAT ' || r_name as dcc_desc from {region}",
-    "atc_link": "select cast(p_partkey as string) as gcn_seqno, 'A' || cast(p_partkey % 30 as string) as atc from {part} where p_partkey < 250",
+    "atc_link": "select cast(p_partkey as string) as gcn_seqno, 'A' || cast(p_partkey % 30 as string) as atc from {part} where p_partkey % 25 <> 18",
     "atc_desc": "select 'A' || cast(n_nationkey as string) as atc, 'ATC ' || n_name as atc_desc from {nation}",
     "gtc": "select 'G' || cast(n_nationkey as string) as gtc, 'GTC ' || n_name as gtc_desc from {nation} where n_nationkey < 14",
     "tc": "select cast(n_nationkey as string) as tc, 'TC ' || n_name as tc_desc from {nation} where n_nationkey < 18",
     "hic3": "select 'H' || cast(n_nationkey as string) as hic3, 'HIC ' || n_name as hic3_desc from {nation} where n_nationkey < 22",
     "ahfs_link": """
-        select cast(p_partkey as string) as gcn_seqno, cast(8000000 + p_partkey % 40 as string) as ahfs8, p_partkey % 2 as ahfs_rel from {part} where p_partkey < 300
-        union all select cast(p_partkey as string), '9999', 2 from {part} where p_partkey < 300""",
+        select cast(p_partkey as string) as gcn_seqno, cast(8000000 + p_partkey % 40 as string) as ahfs8, p_partkey % 2 as ahfs_rel from {part} where p_partkey % 30 <> 21
+        union all select cast(p_partkey as string), '9999', 2 from {part} where p_partkey % 30 <> 21""",
     "ahfs_desc": """
         select cast(8000000 + n_nationkey as string) as ahfs8, 'AHFS ' || n_name as ahfs_desc from {nation}
         union all select '08000000', 'AHFS FAMILY' from {region} where r_regionkey = 0""",
@@ -358,7 +358,7 @@ TABLES: dict[str, str] = {
     "med_claims": f"""
         select o_custkey as member, case o_orderpriority when '1-URGENT' then 'E11.9' when '2-HIGH' then 'E08.1' when '3-MEDIUM' then 'E12.0'
           when '4-NOT SPECIFIED' then cast(null as string) else 'I10' end as dx_code, {shifted('o_orderdate')} as service_date
-        from {{orders}} where cast(o_orderdate as date) < date '1996-01-01'""",
+        from {{orders}}""",
     # JSON replies in several drifted shapes, one per event
     "review_json": """
         select event_id, case event_id % 6
