@@ -31,7 +31,6 @@ DETAIL_TEXT = (
 CHECK_COLS = (
     "pc_visit_cmplt_close_yn", "pc_visit_los_code_yn", "pc_visit_prov_type_yn", "pc_visit_grouper_yn", "pc_visit_all_match_yn",
 )
-LEGACY_COLS = tuple(c for c in VISIT_COLS[9:27]) + VISIT_COLS[36:45]
 # -----------------------------------------------------------------------------
 
 SEEN_COLS = (*VISIT_COLS, "effyear", *DETAIL_TEXT, *CHECK_COLS, "payer_not_chgd", "create_dt")
@@ -263,20 +262,64 @@ def dedup_encounters(df: DataFrame) -> DataFrame:
     )
 
 
-# --- fixed values: the mart's column order -----------------------------------
+# --- fixed values: the columns of the mart and of its published copy, in order -----
 MART_COLS = (
-    "payer", "lob", "member_id", "pri_mrn", "encounter_id", "effper", "date_of_service", "source", "visit_status_type",
-    "servicing_pcp_npi", "servicing_pcp_tin", "servicing_pcp_emp_status", "servicing_pcp_pod", "servicing_pcp_practice",
-    "servicing_pcp_provider", "effmonth", "effyear", "prac_emp_status", "pcp_emp_status", "crnt_pyr", "vbc_flag", "death_dt",
-    *[f"{s}_{n}" for s in ("payer_effper", "payer_current", "epic") for n in ("npi", "lvl4_practice", "full_name", "pod", "prac_emp_status")],
-    "enc_closed_yn", "pc_grouper_name", "epic_dept", "enc_type_c", "enc_type_pos", "proc_code", "proc_code_desc", "prov_title",
-    "prov_title_id", "excluded_epic_prov_type", "scheduled_visit_yn", "sched_visit_future_yn", "scheduled_wi_180days_yn",
-    *CHECK_COLS,
-    "payer_current_match", "payer_effper_match", "epic_match", "pc_grouper_match", "ryan_match", "one_med_match", "any_match",
-    "historic_def_match", "servicing_prov_pcp_spc", "servicing_prov_cms_pcp_spc", "servicing_prac_epic_status",
-    *LEGACY_COLS,
-    "data_update_dt",
+    "payer", "lob", "member_id", "pri_mrn", "encounter_id", "effper", "date_of_service", "source",
+    "visit_status_type", "servicing_pcp_npi", "servicing_pcp_tin", "servicing_pcp_emp_status", "servicing_pcp_pod",
+    "servicing_pcp_practice", "servicing_pcp_provider", "effmonth", "effyear", "prac_emp_status", "pcp_emp_status",
+    "crnt_pyr", "vbc_flag", "death_dt", "payer_effper_npi", "payer_effper_lvl4_practice", "payer_effper_full_name",
+    "payer_effper_pod", "payer_effper_prac_emp_status", "payer_current_npi", "payer_current_lvl4_practice",
+    "payer_current_full_name", "payer_current_pod", "payer_current_prac_emp_status", "epic_npi", "epic_lvl4_practice",
+    "epic_full_name", "epic_pod", "epic_prac_emp_status", "enc_closed_yn", "pc_grouper_name", "epic_dept",
+    "enc_type_c", "enc_type_pos", "proc_code", "proc_code_desc", "prov_title", "prov_title_id",
+    "excluded_epic_prov_type", "scheduled_visit_yn", "sched_visit_future_yn", "scheduled_wi_180days_yn",
+    "pc_visit_cmplt_close_yn", "pc_visit_los_code_yn", "pc_visit_prov_type_yn", "pc_visit_grouper_yn",
+    "pc_visit_all_match_yn", "payer_current_match", "payer_effper_match", "epic_match", "pc_grouper_match",
+    "ryan_match", "one_med_match", "any_match", "historic_def_match", "servicing_prov_pcp_spc",
+    "servicing_prov_cms_pcp_spc", "servicing_prac_epic_status", "historical_pcp_npi", "historical_pcp_tin",
+    "historical_pcp_emp_status", "historical_pcp_pod", "historical_pcp_practice", "historical_pcp_provider",
+    "historical_prov_pcp_spc", "historical_prov_cms_pcp_spc", "historical_prac_epic_status", "current_pcp_npi",
+    "current_pcp_tin", "current_pcp_emp_status", "current_pcp_pod", "current_pcp_practice", "current_pcp_provider",
+    "current_prov_pcp_spc", "current_prov_cms_pcp_spc", "current_prac_epic_status", "attributed_at_visit",
+    "currently_attributed", "hist_serv_prov_check", "hist_serv_prac_check", "current_serv_prov_check",
+    "current_serv_prac_check", "visit_with_any_spc_pcp", "visit_with_any_cms_spc_pcp", "awv_indicator",
+    "data_update_dt", "dos_npi_rn", "enc_rn",
 )
+COPY_COLS = (
+    "payer", "lob", "member_id", "pri_mrn", "encounter_id", "effper", "date_of_service", "source",
+    "visit_status_type", "servicing_pcp_npi", "servicing_pcp_tin", "servicing_pcp_emp_status", "servicing_pcp_pod",
+    "servicing_pcp_practice", "servicing_pcp_provider", "effmonth", "effyear", "pc_grouper_name", "epic_dept",
+    "enc_type_c", "enc_type_pos", "proc_code", "proc_code_desc", "prov_title", "prov_title_id", "prac_emp_status",
+    "pcp_emp_status", "crnt_pyr", "vbc_flag", "death_dt", "payer_effper_npi", "payer_effper_lvl4_practice",
+    "payer_effper_full_name", "payer_effper_pod", "payer_effper_prac_emp_status", "payer_current_npi",
+    "payer_current_lvl4_practice", "payer_current_full_name", "payer_current_pod", "payer_current_prac_emp_status",
+    "epic_npi", "epic_lvl4_practice", "epic_full_name", "epic_pod", "epic_prac_emp_status", "excluded_epic_prov_type",
+    "excluded_epic_enc_type", "excluded_proc_code", "excluded_any_reason", "completed_visit_yn", "scheduled_visit_yn",
+    "sched_visit_future_yn", "scheduled_wi_180days_yn", "payer_current_match", "payer_effper_match", "epic_match",
+    "pc_grouper_match", "ryan_match", "one_med_match", "any_match", "historic_def_match", "servicing_prov_pcp_spc",
+    "servicing_prov_cms_pcp_spc", "servicing_prac_epic_status", "historical_pcp_npi", "historical_pcp_tin",
+    "historical_pcp_emp_status", "historical_pcp_pod", "historical_pcp_practice", "historical_pcp_provider",
+    "historical_prov_pcp_spc", "historical_prov_cms_pcp_spc", "historical_prac_epic_status", "current_pcp_npi",
+    "current_pcp_tin", "current_pcp_emp_status", "current_pcp_pod", "current_pcp_practice", "current_pcp_provider",
+    "current_prov_pcp_spc", "current_prov_cms_pcp_spc", "current_prac_epic_status", "attributed_at_visit",
+    "currently_attributed", "hist_serv_prov_check", "hist_serv_prac_check", "current_serv_prov_check",
+    "current_serv_prac_check", "visit_with_any_spc_pcp", "visit_with_any_cms_spc_pcp", "awv_indicator",
+    "s0_encounter_table", "s0_encounter_table_update", "s1_encounter_table", "s1_encounter_table_update", "orig_rn",
+    "data_update_dt", "enc_closed_yn", "pc_visit_all_match_yn", "pc_visit_cmplt_close_yn", "pc_visit_grouper_yn",
+    "pc_visit_los_code_yn", "pc_visit_prov_type_yn", "dos_npi_rn", "enc_rn",
+)
+# columns of the copy that the mart does not fill
+COPY_ONLY = {
+    "excluded_epic_enc_type": "int",
+    "excluded_proc_code": "int",
+    "excluded_any_reason": "int",
+    "completed_visit_yn": "int",
+    "s0_encounter_table": "string",
+    "s0_encounter_table_update": "string",
+    "s1_encounter_table": "string",
+    "s1_encounter_table_update": "string",
+    "orig_rn": "int",
+}
 # -----------------------------------------------------------------------------
 
 
@@ -331,6 +374,6 @@ def mart_rows(seen: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str)
 
 
 def patient_seen_mart(seen: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
-    """One row per member, day, provider and completeness flag."""
-    kept = dedup_encounters(mart_rows(seen, t, as_of))
+    """One row per member, day, provider and completeness flag; its two ranks are 1, since only first rows are kept."""
+    kept = dedup_encounters(mart_rows(seen, t, as_of)).withColumns({"dos_npi_rn": F.lit(1), "enc_rn": F.lit(1)})
     return kept.where(F.col("payer") != DROPPED_PAYER).select(*MART_COLS)

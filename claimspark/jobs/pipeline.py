@@ -17,9 +17,9 @@ from claimspark.sources.tables import read_table
 
 CLAIMS_TARGET = "hcg_input_claims"
 COPIES = {
-    "x_unified_member_visits": ("unified_member_visits", visits.VISIT_COLS),
-    "x_patient_seen_visits_all": ("patient_seen_visits_all", patient_seen.SEEN_COLS),
-    "x_patient_seen_visits_data_mart": ("patient_seen_visits_data_mart", patient_seen.MART_COLS),
+    "x_unified_member_visits": ("unified_member_visits", visits.VISIT_COLS, {}),
+    "x_patient_seen_visits_all": ("patient_seen_visits_all", patient_seen.SEEN_COLS, {}),
+    "x_patient_seen_visits_data_mart": ("patient_seen_visits_data_mart", patient_seen.COPY_COLS, patient_seen.COPY_ONLY),
 }
 
 
@@ -84,9 +84,9 @@ def load_members(log: JobLog, spark: SparkSession, root: str, t: Mapping[str, Da
         "patient_seen_visits_data_mart": load_mart,
         "unified_member": load_report,
     }
-    for target, (source, columns) in COPIES.items():
-        blocks[target] = lambda target=target, source=source, columns=columns: overwrite(
-            publish_copy(table(source), columns), _path(root, target)
+    for target, (source, columns, unfilled) in COPIES.items():
+        blocks[target] = lambda target=target, source=source, columns=columns, unfilled=unfilled: overwrite(
+            publish_copy(table(source), columns, unfilled), _path(root, target)
         )
     return {name: log.run(name, fn) for name, fn in blocks.items()}
 

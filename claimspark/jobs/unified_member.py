@@ -26,11 +26,12 @@ COUNTS = ("count_pcp_npi_visits", "count_pcp_practice_visits", "count_any_pcp_np
 
 # --- fixed values -----------------------------------------------------------
 UPCOMING_DAYS = 180
+UPCOMING = ("upcoming_appointments_rolling", "upcoming_appointments_ytd", "upcoming_appointments_mssp")
 MEMBER_COLS = (
     "reporting_year", "reporting_month", "reporting_date", "reporting_period", "payer", "lob", "member_id", "mrn", "pcp_npi",
     "pcp_provider", "pcp_emp_status", "pcp_spc", "cms_pcp_spc", "pcp_pod", "pcp_practice", "epic_status",
     "provider_attribution_type", "member_months", "reporting_window", "currently_attributed", *FLAGS, *COUNTS,
-    "upcoming_appointments_rolling", "upcoming_appointments_ytd", "upcoming_appointments_mssp", "load_dt",
+    *UPCOMING, "load_dt",
 )
 # -----------------------------------------------------------------------------
 
@@ -254,7 +255,7 @@ def unified_member(
 def resolve_duplicates(df: DataFrame) -> DataFrame:
     """Keep the row with the best measures: first per MRN, then across a member's MRNs."""
     key = ["reporting_month", "reporting_date", "reporting_period", "reporting_window", *MEMBER_KEY]
-    best = [F.col(n).desc_nulls_first() for n in MEMBER_COLS[20:31]]
+    best = [F.col(n).desc_nulls_first() for n in (*FLAGS, *COUNTS, *UPCOMING)]
     rest = [F.col(n).asc_nulls_last() for n in ("pcp_npi", "pcp_provider", "epic_status", "currently_attributed")]
     return keep_best(
         df, [([*key, nvl(F.col("mrn"), "M")], [*best, *rest]), (key, [*best, F.col("mrn").desc_nulls_last(), *rest])]

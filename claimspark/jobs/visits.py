@@ -165,7 +165,7 @@ def identifier_bridge(facts: DataFrame, header: DataFrame, which: Column) -> Dat
 def appointment_visits(t: Mapping[str, DataFrame]) -> DataFrame:
     bridge = identifier_bridge(t["fact_member"], t["claim_header"], F.col("fact_shortdescr") == "PRI-MRN")
     appts = appointments(t)
-    return appts.join(bridge, appts["mrn"] == bridge["fact"], "left").select(
+    return appts.join(bridge, spread_nulls(appts["mrn"], appts["visit_id"]) == bridge["fact"], "left").select(
         *MEMBER_KEY,
         "mrn",
         F.col("visit_id").alias("encounter_id"),
@@ -190,7 +190,7 @@ def ryan_visits(t: Mapping[str, DataFrame]) -> DataFrame:
     bridge = identifier_bridge(t["fact_member"], t["claim_header"], F.col("fact_category") == "Member Identifiers")
     members = t["member"].select(*MEMBER_KEY, F.col("pri_mrn").alias("mrn"))
     return (
-        latest.join(bridge, F.col("raw_member_id") == F.col("fact"), "left")
+        latest.join(bridge, spread_nulls(F.col("raw_member_id"), F.col("identifier1")) == F.col("fact"), "left")
         .join(members, MEMBER_KEY, "left")
         .select(
             "payer",

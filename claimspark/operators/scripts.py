@@ -214,22 +214,61 @@ def extract_table_refs(scripts: DataFrame, text: str = "text") -> DataFrame:
     return targets.unionByName(sources)
 
 
-def lint_scripts(scripts: DataFrame, rules: Sequence[tuple] = LINT_RULES) -> DataFrame:
-    """One row per line and rule that fires. The rules are one array expression, not a join."""
-    lines = _dealt(scripts).select("script", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lower = F.lower("line")
-    hits = F.array_compact(
+def _lint_hits(line: Column, rules: Sequence[tuple]) -> Column:
+    """The rules that fire on a line, as one array: not a join."""
+    lower = F.lower(line)
+    return F.array_compact(
         F.array(
             *[
                 F.when(
-                    reduce(lambda a, b: a | b, [lower.contains(n) for n in needles]) & F.col("line").rlike(pattern),
+                    reduce(lambda a, b: a | b, [lower.contains(n) for n in needles]) & line.rlike(pattern),
                     F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.lit(advice).alias("fix_suggestion")),
                 )
                 for rule, pattern, severity, advice, needles in rules
             ]
         )
     )
-    return lines.select("script", (F.col("line_no") + 1).alias("line_no"), "line", F.inline(hits))
+
+
+def lint_scripts(scripts: DataFrame, rules: Sequence[tuple] = LINT_RULES) -> DataFrame:
+    """One row per line and rule that fires."""
+    lines = _dealt(scripts).select("script", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("script", (F.col("line_no") + 1).alias("line_no"), "line", F.inline(_lint_hits(F.col("line"), rules)))
+
+
+def _distinct_names(patterns: Sequence[str], text: str, by_raw: bool) -> Column:
+    """Captured names in order of pattern and place, the first spelling of each: structs of key, schema and table."""
+    found = F.concat(*(F.regexp_extract_all(text, F.lit(java_flags(p)), F.lit(1)) for p in patterns))
+
+    def one(raw: Column) -> Column:
+        schema, table = _split_name(raw)
+        full = F.when(schema != "", F.concat_ws(".", schema, table)).otherwise(table)
+        return F.struct(F.lower(raw if by_raw else full).alias("key"), schema.alias("schema_name"), table.alias("table_name"))
+
+    return F.transform(found, one)
+
+
+def _firsts(names: Column) -> Column:
+    keys = F.transform(names, lambda n: n["key"])
+    return F.filter(names, lambda n, i: F.array_position(keys, n["key"]) == i + 1)
+
+
+def script_catalog(scripts: DataFrame) -> DataFrame:
+    """One row per script: clean text, flags, tables written and read, and lint hits, each text read once.
+
+    Tables come from the clean text, as ``schema.table`` in order of first mention; lint from the text as given, as
+    ``line:rule``. Everything stays on the script's row, so the scripts are dealt out once and not grouped again.
+    """
+    df = _strip_patterns(_start(scripts), PLSQL_WRAPPERS, "WRAPPER", None)
+    df = df.withColumn("clean", strip(F.regexp_replace("clean", r"\n{3,}", "\n\n")))
+    df = df.withColumns({"_to": _distinct_names(TARGET_PATTERNS, "clean", True), "_from": _distinct_names(SOURCE_PATTERNS, "clean", False)})
+    written = F.transform("_to", lambda n: F.lower(n["table_name"]))
+    usable = F.filter("_from", lambda n: (n["table_name"] != "") & ~F.lower(n["table_name"]).isin(*NOT_TABLES) & ~F.array_contains(written, F.lower(n["table_name"])))
+    dotted = lambda names: F.transform(names, lambda n: F.concat_ws(".", n["schema_name"], n["table_name"]))
+    per_line = F.transform(
+        F.split("text", "\n"), lambda line, i: F.transform(_lint_hits(line, LINT_RULES), lambda h: F.concat_ws(":", (i + 1).cast("string"), h["rule"]))
+    )
+    return df.select("script", "clean", "flags", "removed", dotted(_firsts(F.col("_to"))).alias("targets"), dotted(_firsts(usable)).alias("sources"), F.flatten(per_line).alias("lint"))
 
 
 def model_refs(models: DataFrame, text: str = "text") -> DataFrame:

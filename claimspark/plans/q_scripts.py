@@ -24,16 +24,25 @@ def _strip(expr: str) -> str:
     return f"regexp_replace({expr}, '^{SP}+|{SP}+$', '', 'g')"
 
 
+# the wrapper lines as this check states them
+WRAPPERS = (
+    (r"(?im)^\s*set\s+define\s+off\s*;\s*$", "set define off"),
+    (r"(?im)^\s*set\s+serveroutput\s+on\s*;\s*$", "set serveroutput"),
+    (r"(?im)^\s*show\s+errors\s*;\s*$", "show errors"),
+    (r"(?m)^\s*/\s*$", "sqlplus slash terminator"),
+)
+
+
 def _clean_sql() -> str:
     layers = ["select script, text as t0, [] as f0 from {scripts}"]
-    for i, (pattern, label) in enumerate(scripts.PLSQL_WRAPPERS):
+    for i, (pattern, label) in enumerate(WRAPPERS):
         rx = _rx(pattern)
         hit = f"list_transform(regexp_extract_all(t{i}, '{rx}'), lambda m: '[WRAPPER - {label}]: ' || {_strip('m')})"
         layers.append(f"select script, regexp_replace(t{i}, '{rx}', '', 'g') as t{i + 1}, f{i} || {hit} as f{i + 1} from (PREV)")
     sql = layers[0]
     for layer in layers[1:]:
         sql = layer.replace("PREV", sql)
-    n = len(scripts.PLSQL_WRAPPERS)
+    n = len(WRAPPERS)
     squeezed = f"regexp_replace(t{n}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
     return f"select script, {_strip(squeezed)} as clean, array_to_string(f{n}, chr(10)) as flags from ({sql})"
 
@@ -49,6 +58,7 @@ def clean_sas(dom):
 
 
 # --------------------------------------------------------------------------- table references
+# Fixed values. This engine's word border knows ASCII only, so it is spelled out with Unicode classes.
 NAME = r'([A-Za-z0-9_$."`]+)'
 HEAD = r"(?:^|[^\p{L}\p{N}\p{M}_])"
 TARGET_RX = [
@@ -61,9 +71,9 @@ TARGET_RX = [
 SOURCE_RX = [f"(?i){HEAD}FROM{SP}+{NAME}", f"(?i){HEAD}JOIN{SP}+{NAME}"]
 
 
-def _refs_sql(patterns: list[str]) -> str:
+def _refs_sql(patterns: list[str], table: str = "scripts", text: str = "text") -> str:
     parts = [
-        f"select script, {k} as pattern, unnest(regexp_extract_all(text, '{rx}', 1)) as raw, generate_subscripts(regexp_extract_all(text, '{rx}', 1), 1) as spot from {{scripts}}"
+        f"select script, {k} as pattern, unnest(regexp_extract_all({text}, '{rx}', 1)) as raw, generate_subscripts(regexp_extract_all({text}, '{rx}', 1), 1) as spot from {{{table}}}"
         for k, rx in enumerate(patterns)
     ]
     unq = "trim(trim({0}, '\"'), '`')"
@@ -94,10 +104,32 @@ def table_refs(dom):
 
 
 # --------------------------------------------------------------------------- lint
+# the rules as this check states them: name, pattern, advice; all of them are errors
+LINT_TEXT = (
+    ('nvl', r"(?i)(^|[^A-Za-z0-9_])NVL\s*\(", 'use coalesce'),
+    ('decode', r"(?i)(^|[^A-Za-z0-9_])DECODE\s*\(", 'use when / otherwise'),
+    ('rowid', r"(?i)(^|[^A-Za-z0-9_])ROWID([^A-Za-z0-9_]|$)", 'use a keep-first window'),
+    ('forall', r"(?i)(^|[^A-Za-z0-9_])FORALL([^A-Za-z0-9_]|$)", 'use a set-based write'),
+    ('bulk_collect', r"(?i)(^|[^A-Za-z0-9_])BULK\s+COLLECT([^A-Za-z0-9_]|$)", 'use a set-based write'),
+    ('execute_immediate', r"(?i)(^|[^A-Za-z0-9_])EXECUTE\s+IMMEDIATE([^A-Za-z0-9_]|$)", 'run the statement directly'),
+    ('exception_block', r"(?i)(^|[^A-Za-z0-9_])EXCEPTION\s+WHEN([^A-Za-z0-9_]|$)", 'use the job log'),
+    ('collect', r"\.(collect|toPandas)\s*\(\s*\)", 'keep business data distributed'),
+    ('quoted_table_name', r"(table|saveAsTable|insertInto|forName)\s*\([^)]*`", 'use a plain dotted name'),
+    ('date_trunc', r"(?i)(^|[^A-Za-z0-9_])DATE_TRUNC\s*\(", 'use ANSI date arithmetic'),
+    ('to_date', r"(?i)(^|[^A-Za-z0-9_])TO_(DATE|CHAR)\s*\(", 'use CAST'),
+    ('btrim', r"(?i)(^|[^A-Za-z0-9_])BTRIM\s*\(", 'use TRIM'),
+    ('double_colon_cast', r"[A-Za-z0-9_)]::[A-Za-z]", 'use CAST'),
+    ('qualify', r"(?i)(^|[^A-Za-z0-9_])QUALIFY([^A-Za-z0-9_]|$)", 'filter a window subquery'),
+    ('is_missing', r"(?i)(^|[^A-Za-z0-9_])IS\s+MISSING([^A-Za-z0-9_]|$)", 'use IS NULL'),
+    ('cats_put', r"(?i)(^|[^A-Za-z0-9_])(CATS|PUT)\s*\(", 'use concat / CAST'),
+    ('sas_attribute', r"(?i)(^|[^A-Za-z0-9_])(FORMAT|LABEL)\s*=", 'drop the attribute'),
+    ('unquoted_var', r"(?i)CAST\s*\(\s*\{\{\s*var", 'quote the variable'),
+)
+LINT = [(rule, pattern) for rule, pattern, _ in LINT_TEXT]
 LINT_SQL = " union all ".join(
-    f"select script, line_no, line, '{rule}' as rule, '{severity}' as severity, '{advice}' as fix_suggestion from lines"
+    f"select script, line_no, line, '{rule}' as rule, 'error' as severity, '{advice}' as fix_suggestion from lines"
     f" where regexp_matches(line, '{pattern.replace(chr(39), chr(39) * 2).replace('{', '{{').replace('}', '}}')}')"
-    for rule, pattern, severity, advice, _ in scripts.LINT_RULES
+    for rule, pattern, advice in LINT_TEXT
 )
 
 
@@ -112,6 +144,45 @@ def script_lint(dom):
     return scripts.lint_scripts(dom.scripts)
 
 
+# --------------------------------------------------------------------------- one pass over all of it
+def _named_sql(table: str, key: str, where: str) -> str:
+    return f"""select script, string_agg(if(schema_name <> '', schema_name || '.', '.') || table_name, ',' order by pattern, spot) as names
+        from (select * from {table} where {where} qualify row_number() over (partition by script, {key} order by pattern, spot) = 1) group by script"""
+
+
+L_CATALOG = {
+    "cleaned": _clean_sql(),
+    "to_all": _refs_sql(TARGET_RX, "cleaned", "clean"),
+    "from_all": _refs_sql(SOURCE_RX, "cleaned", "clean"),
+    "to_names": _named_sql("{to_all}", "lower(raw)", "true"),
+    "from_names": _named_sql(
+        "{from_all}",
+        "lower(if(schema_name <> '', schema_name || '.' || table_name, table_name))",
+        "table_name <> '' and lower(table_name) not in ('dual', 'select')"
+        " and (script, lower(table_name)) not in (select (script, lower(table_name)) from {to_all})",
+    ),
+    "lint_names": "select script, string_agg(line_no || ':' || rule, ',' order by line_no, place) as hits from (with lines as (select script,"
+    " unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as line_no from {scripts}) "
+    + " union all ".join(
+        f"select script, line_no, '{rule}' as rule, {place} as place from lines"
+        f" where regexp_matches(line, '{pattern.replace(chr(39), chr(39) * 2).replace('{', '{{').replace('}', '}}')}')"
+        for place, (rule, pattern) in enumerate(LINT)
+    )
+    + ") group by script",
+}
+
+
+@query(
+    "script_catalog",
+    """select c.script, c.clean, c.flags, coalesce(t.names, '') as targets, coalesce(f.names, '') as sources, coalesce(l.hits, '') as lint
+       from {cleaned} c left join {to_names} t using (script) left join {from_names} f using (script) left join {lint_names} l using (script)""",
+    **L_CATALOG,
+)
+def script_catalog(dom):
+    out = scripts.script_catalog(dom.scripts).drop("removed")
+    return out.withColumns({"flags": F.array_join("flags", "\n"), **{n: F.array_join(n, ",") for n in ("targets", "sources", "lint")}})
+
+
 # --------------------------------------------------------------------------- model references
 MODELS = """select 'm_' || cast(doc_id as varchar) as model, doc_id, text || ' select * from {{ ref(' || chr(39) || 'm_' || cast(doc_id * 2 as varchar)
       || chr(39) || ') }} join ref("x_' || cast(doc_id % 3 as varchar) || '")' as text from {documents}"""

@@ -208,11 +208,11 @@ def legacy_visits(dom):
 
 @query(
     "publish_copy",
-    "select payer, lob, member_id, encounter_id, source, cast(date_of_service as varchar) as date_of_service, awv_indicator from {visits}",
+    f"select * {DATES} from {{visits}}",
     **L_VISITS,
 )
 def publish_copy_query(dom):
-    return publish_copy(_visits(dom), ["payer", "lob", "member_id", "encounter_id", "source", "date_of_service", "awv_indicator"])
+    return publish_copy(_visits(dom), visits.VISIT_COLS)
 
 
 @query(
@@ -355,9 +355,49 @@ MART_ROWS = f"""
       if((is_ryan or is_epic) and date_of_service > date '{AS_OF}' and date_of_service <= date '{AS_OF}' + 180, 1, 0) as scheduled_wi_180days_yn,
       substr(effper, 6, 7) as effmonth, grouper_name as pc_grouper_name, department_name as epic_dept, date '{AS_OF}' as data_update_dt
     from flagged"""
+MART_NAMES = """
+    payer, lob, member_id, pri_mrn, encounter_id, effper, date_of_service, source, visit_status_type, servicing_pcp_npi,
+    servicing_pcp_tin, servicing_pcp_emp_status, servicing_pcp_pod, servicing_pcp_practice, servicing_pcp_provider,
+    effmonth, effyear, prac_emp_status, pcp_emp_status, crnt_pyr, vbc_flag, death_dt, payer_effper_npi,
+    payer_effper_lvl4_practice, payer_effper_full_name, payer_effper_pod, payer_effper_prac_emp_status,
+    payer_current_npi, payer_current_lvl4_practice, payer_current_full_name, payer_current_pod,
+    payer_current_prac_emp_status, epic_npi, epic_lvl4_practice, epic_full_name, epic_pod, epic_prac_emp_status,
+    enc_closed_yn, pc_grouper_name, epic_dept, enc_type_c, enc_type_pos, proc_code, proc_code_desc, prov_title,
+    prov_title_id, excluded_epic_prov_type, scheduled_visit_yn, sched_visit_future_yn, scheduled_wi_180days_yn,
+    pc_visit_cmplt_close_yn, pc_visit_los_code_yn, pc_visit_prov_type_yn, pc_visit_grouper_yn, pc_visit_all_match_yn,
+    payer_current_match, payer_effper_match, epic_match, pc_grouper_match, ryan_match, one_med_match, any_match,
+    historic_def_match, servicing_prov_pcp_spc, servicing_prov_cms_pcp_spc, servicing_prac_epic_status,
+    historical_pcp_npi, historical_pcp_tin, historical_pcp_emp_status, historical_pcp_pod, historical_pcp_practice,
+    historical_pcp_provider, historical_prov_pcp_spc, historical_prov_cms_pcp_spc, historical_prac_epic_status,
+    current_pcp_npi, current_pcp_tin, current_pcp_emp_status, current_pcp_pod, current_pcp_practice,
+    current_pcp_provider, current_prov_pcp_spc, current_prov_cms_pcp_spc, current_prac_epic_status, attributed_at_visit,
+    currently_attributed, hist_serv_prov_check, hist_serv_prac_check, current_serv_prov_check, current_serv_prac_check,
+    visit_with_any_spc_pcp, visit_with_any_cms_spc_pcp, awv_indicator, data_update_dt"""
+COPY_NAMES = """
+    payer, lob, member_id, pri_mrn, encounter_id, effper, date_of_service, source, visit_status_type, servicing_pcp_npi,
+    servicing_pcp_tin, servicing_pcp_emp_status, servicing_pcp_pod, servicing_pcp_practice, servicing_pcp_provider,
+    effmonth, effyear, pc_grouper_name, epic_dept, enc_type_c, enc_type_pos, proc_code, proc_code_desc, prov_title,
+    prov_title_id, prac_emp_status, pcp_emp_status, crnt_pyr, vbc_flag, death_dt, payer_effper_npi,
+    payer_effper_lvl4_practice, payer_effper_full_name, payer_effper_pod, payer_effper_prac_emp_status,
+    payer_current_npi, payer_current_lvl4_practice, payer_current_full_name, payer_current_pod,
+    payer_current_prac_emp_status, epic_npi, epic_lvl4_practice, epic_full_name, epic_pod, epic_prac_emp_status,
+    excluded_epic_prov_type, cast(null as int) as excluded_epic_enc_type, cast(null as int) as excluded_proc_code,
+    cast(null as int) as excluded_any_reason, cast(null as int) as completed_visit_yn, scheduled_visit_yn,
+    sched_visit_future_yn, scheduled_wi_180days_yn, payer_current_match, payer_effper_match, epic_match,
+    pc_grouper_match, ryan_match, one_med_match, any_match, historic_def_match, servicing_prov_pcp_spc,
+    servicing_prov_cms_pcp_spc, servicing_prac_epic_status, historical_pcp_npi, historical_pcp_tin,
+    historical_pcp_emp_status, historical_pcp_pod, historical_pcp_practice, historical_pcp_provider,
+    historical_prov_pcp_spc, historical_prov_cms_pcp_spc, historical_prac_epic_status, current_pcp_npi, current_pcp_tin,
+    current_pcp_emp_status, current_pcp_pod, current_pcp_practice, current_pcp_provider, current_prov_pcp_spc,
+    current_prov_cms_pcp_spc, current_prac_epic_status, attributed_at_visit, currently_attributed, hist_serv_prov_check,
+    hist_serv_prac_check, current_serv_prov_check, current_serv_prac_check, visit_with_any_spc_pcp,
+    visit_with_any_cms_spc_pcp, awv_indicator, cast(null as varchar) as s0_encounter_table, cast(null as varchar) as
+    s0_encounter_table_update, cast(null as varchar) as s1_encounter_table, cast(null as varchar) as
+    s1_encounter_table_update, cast(null as int) as orig_rn, data_update_dt, enc_closed_yn, pc_visit_all_match_yn,
+    pc_visit_cmplt_close_yn, pc_visit_grouper_yn, pc_visit_los_code_yn, pc_visit_prov_type_yn, dos_npi_rn, enc_rn"""
 TIES = "proc_code nulls last, proc_code_desc nulls last, enc_type_pos nulls last, visit_status_type nulls last, pri_mrn nulls last"
 MART = f"""
-    select {', '.join(patient_seen.MART_COLS)} from (
+    select {MART_NAMES}, pick1 as dos_npi_rn, pick2 as enc_rn from (
       select *, row_number() over (partition by member_id, lob, payer, date_of_service, servicing_pcp_npi, pc_visit_cmplt_close_yn
         order by pc_visit_all_match_yn desc nulls last, source desc nulls first, encounter_id nulls last, {TIES}) as pick2
       from (select *, row_number() over (partition by member_id, lob, payer, date_of_service, servicing_pcp_npi, encounter_id
@@ -377,6 +417,17 @@ def patient_seen_mart(dom):
     return patient_seen.patient_seen_mart(_seen(dom), _tables(dom), AS_OF)
 
 
+@query(
+    "publish_mart_copy",
+    f"""select * replace (cast(date_of_service as varchar) as date_of_service, cast(death_dt as varchar) as death_dt,
+       cast(data_update_dt as varchar) as data_update_dt) from (select {COPY_NAMES} from {{mart}})""",
+    **L_MART,
+)
+def publish_mart_copy(dom):
+    mart = patient_seen.patient_seen_mart(_seen(dom), _tables(dom), AS_OF)
+    return publish_copy(mart, patient_seen.COPY_COLS, patient_seen.COPY_ONLY)
+
+
 FLAG_COLS = (
     "source payer_current_match payer_effper_match epic_match pc_grouper_match ryan_match one_med_match historic_def_match any_match"
     " excluded_epic_prov_type excluded_proc_code excluded_pc_grouper excluded_vis_compl_clsd excluded_any_reason completed_visit_yn"
@@ -457,7 +508,9 @@ MEMBER_ALL = " union all ".join(
         ("MSSP", "2019", PER, "Calendar Year"),
     )
 )
-BEST = ", ".join(f"{c} desc" for c in unified_member.MEMBER_COLS[20:31])
+BEST = """pcp_npi_visit desc, pcp_practice_visit desc, pcp_pod_visit desc, mt_sinai_visit desc, count_pcp_npi_visits desc,
+    count_pcp_practice_visits desc, count_any_pcp_npi_visits desc, count_any_cms_pcp_npi_visits desc,
+    upcoming_appointments_rolling desc, upcoming_appointments_ytd desc, upcoming_appointments_mssp desc"""
 REST = "pcp_npi nulls last, pcp_provider nulls last, epic_status nulls last, currently_attributed nulls last"
 MEMBER_KEYS = "reporting_month, reporting_date, reporting_period, reporting_window, payer, lob, member_id"
 MEMBER = f"""
