@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimspark.operators.matching import fuzzy_match
@@ -82,12 +84,14 @@ def resolve_columns(refs: DataFrame, tables: DataFrame, mapping: DataFrame) -> D
     columns = mapping_columns(mapping)
     wanted = refs.join(tables, ["schema_name", "table_name"]).withColumn("map_column", F.lower("column_name"))
     exact = wanted.join(columns, ["map_schema", "map_table", "map_column"], "left")
-    known = exact.where(F.col("target_column").isNotNull()).withColumn("column_how", F.lit("exact"))
+    known = exact.where(F.col("target_column").isNotNull()).withColumns({"column_how": F.lit("exact"), "map_match": F.col("map_column")})
     # names stay inside their table because the table is part of what is compared
     open_cols = exact.where(F.col("target_column").isNull() & F.col("map_table").isNotNull()).drop("target_column")
     guesses = _fuzzy_within_table(open_cols, columns)
-    kept = exact.where(F.col("map_table").isNull()).withColumns({"target_column": F.col("column_name"), "column_how": F.lit("kept")})
-    names = ["schema_name", "table_name", "column_name", "target_schema", "target_table", "target_column", "how", "column_how"]
+    kept = exact.where(F.col("map_table").isNull()).withColumns({"target_column": F.col("column_name"), "column_how": F.lit("kept"), "map_match": F.lit(None).cast("string")})
+    names = [
+        "schema_name", "table_name", "column_name", "target_schema", "target_table", "target_column", "how", "column_how", "map_table", "map_match",
+    ]
     return known.select(*names).unionByName(guesses.select(*names)).unionByName(kept.select(*names))
 
 
@@ -98,7 +102,7 @@ def _fuzzy_within_table(refs: DataFrame, columns: DataFrame) -> DataFrame:
     names = columns.select(*key, F.col("map_column").alias("_name"))
     guessed = fuzzy_match(wanted, "map_column", names, "_name", COLUMN_CUTOFF, key)
     found = columns.withColumnRenamed("map_column", "match")
-    best = guessed.join(found, [*key, "match"]).drop("match")
+    best = guessed.join(found, [*key, "match"]).withColumnRenamed("match", "map_match")
     how = F.when(F.col("target_column").isNotNull(), "fuzzy").otherwise("unresolved")
     return refs.join(best, [*key, "map_column"], "left").withColumn("column_how", how)
 
@@ -119,11 +123,37 @@ def resolve_mappings(refs: DataFrame, intermediates: DataFrame, mapping: DataFra
     dropped = skipped.select(
         "schema_name", "table_name", "column_name", F.lit(None).cast("string").alias("target_schema"),
         F.lit(None).cast("string").alias("target_table"), F.lit(None).cast("string").alias("target_column"),
-        F.lit("skipped").alias("how"), F.lit("skipped").alias("column_how"),
+        F.lit("skipped").alias("how"), F.lit("skipped").alias("column_how"), F.lit(None).cast("string").alias("map_table"),
+        F.lit(None).cast("string").alias("map_match"),
     )
     return out.unionByName(dropped)
 
 
+def resolution_notes(resolved: DataFrame) -> DataFrame:
+    """What the report says beside its tables: rows (kind, note), each note once.
+
+    ``warning``: a fuzzy match of a table or a column, and that some tables keep their names; ``unresolved_table`` and
+    ``skipped_table``: the tables by their dotted names.
+    """
+    c = F.col
+    dotted = F.when(c("schema_name") != "", F.concat_ws(".", "schema_name", "table_name")).otherwise(c("table_name"))
+    kept_names = "Some objects were not mapped explicitly. Original Oracle object names are retained for those objects."
+
+    def notes(rows: DataFrame, kind: str, note: Column) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), note.alias("note"))
+
+    fuzzy_table = F.concat(F.lit("Fuzzy matched table '"), "table_name", F.lit("' -> '"), "map_table", F.lit("'"))
+    fuzzy_column = F.concat(F.lit("Fuzzy matched column '"), "column_name", F.lit("' -> '"), "map_match", F.lit("' in "), "table_name")
+    parts = [
+        notes(resolved.where(c("how") == "fuzzy"), "warning", fuzzy_table),
+        notes(resolved.where(c("column_how") == "fuzzy"), "warning", fuzzy_column),
+        notes(resolved.where(c("how") == "unresolved"), "unresolved_table", dotted),
+        notes(resolved.where(c("how") == "unresolved"), "warning", F.lit(kept_names)),
+        notes(resolved.where(c("how") == "skipped"), "skipped_table", dotted),
+    ]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def report_by_table(resolved: DataFrame) -> DataFrame:
     """The report per table reference: a map of resolved columns and a list of unresolved ones.
 

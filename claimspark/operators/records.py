@@ -217,13 +217,36 @@ def normalize_cells(df: DataFrame, json_col: str) -> DataFrame:
     )
 
 
+
+
+# --- fixed values: project files that an issue about their subject brings along, and what names that subject ---
+RELATED_FILES = (
+    ("models/sources.yml", "source", "sources"),
+    ("models/schema.yml", "schema", "schema"),
+    ("dbt_project.yml", "dbt_project", "dbt_project"),
+)
+# -----------------------------------------------------------------------------
+
+
 def select_to_fix(files: DataFrame, issues: DataFrame) -> DataFrame:
-    """Files named by an error-level issue, by path, file name or stem; all files when none is named."""
-    wanted = issues.where((F.col("severity") == "error") & (F.col("file") != "")).select(F.trim("file").alias("_want")).distinct()
+    """Files named by an error-level issue; all files when none is named.
+
+    A file is named by its path, its name or its stem, a notebook cell by its path or ``cell_<n>``. A project file is
+    also taken if an error's file, or its text if there is a column ``issue``, speaks of its subject and it has content.
+    """
+    errors = issues.where(F.col("severity") == "error")
+    wanted = errors.where(F.col("file") != "").select(F.trim("file").alias("_want")).distinct()
     name = F.element_at(F.split("path", "/"), -1)
-    keyed = files.withColumn("_keys", F.array_distinct(F.array("path", name, F.regexp_replace(name, r"\.sql$", ""))))
-    hits = keyed.select("path", F.explode("_keys").alias("_key")).join(wanted, F.col("_key") == F.col("_want"), "left_semi")
-    hits = hits.select(F.col("path").alias("_path")).distinct()
-    if hits.isEmpty():
-        return files
-    return files.join(hits, F.col("path") == F.col("_path"), "left_semi")
+    cell = F.col("path").startswith("notebook/")
+    keys = F.when(cell, F.array("path", F.regexp_replace(name, r"\.py$", ""))).otherwise(
+        F.array("path", name, F.regexp_replace(name, r"\.sql$", ""))
+    )
+    keyed = files.withColumn("_keys", F.array_distinct(keys))
+    hits = keyed.select("path", F.explode("_keys").alias("_key")).join(wanted, F.col("_key") == F.col("_want"), "left_semi").select("path")
+    said = F.lower("issue") if "issue" in issues.columns else F.lit("")
+    about = [F.when(F.lower("file").contains(in_file) | said.contains(in_issue), F.lit(path)) for path, in_file, in_issue in RELATED_FILES]
+    related = errors.select(F.explode(F.array_compact(F.array(*about))).alias("path"))
+    filled = files.where(F.length("content") > 0).select("path")
+    chosen = hits.unionByName(related.join(filled, "path", "left_semi")).select(F.col("path").alias("_path")).distinct()
+    marked = files.join(chosen, F.col("path") == F.col("_path"), "left")
+    return marked.where(F.col("_path").isNotNull() | (chosen.agg(F.count(F.lit(1))).scalar() == 0)).drop("_path")

@@ -382,6 +382,12 @@ TABLES: dict[str, str] = {
           when 1 then '{{"source_tables": [{{"table": " ", "table_name": "U' || cast(user_id as string) || '", "access_method": "view"}}], "transformation_blocks": [{{"output_table": ["o1", "o2"]}}, {{"block_id": ' || cast(event_id as string) || ', "output_table": null}}]}}'
           else '{{"source_tables": null, "transformation_blocks": [{{"name": "' || event_type || '", "type": "join", "output_table": "out"}}], "macro_variables": [{{"name": "n", "value": 5}}, {{"name": "z"}}]}}' end as reply
         from {events}""",
+    "plan_json": """
+        select event_id, case event_id % 3
+          when 0 then '{{"models": [{{"name": "m' || cast(user_id as string) || '", "layer": "silver", "sources": ["s1", "' || event_type || '"], "logic": ["a", "b"]}}, "x", {{"model_name": "n", "logic": "' || event_type || '"}}]}}'
+          when 1 then '{{"models": [5, {{"materialization": "view", "depends_on": ["m' || cast(user_id as string) || '"]}}], "notebook_cells": [{{"cell_type": "markdown", "source": "t' || cast(event_id as string) || '"}}, {{"cell_type": "sql", "source": "' || event_type || '"}}]}}'
+          else '{{"notebook_cells": [{{"cell_type": "code"}}, {{"source": "u' || cast(user_id as string) || '"}}], "output_tables": [{{"name": "O' || cast(user_id as string) || '", "description": "' || event_type || '"}}], "intermediate_tables": [{{"schema_name": "work", "table_name": "W' || cast(event_id as string) || '"}}, 7]}}' end as reply
+        from {events}""",
     "mapping": """
         select 'DW' as source_schema, upper(p_type) || '_' || replace(p_brand, '#', '_') as source_table, 'COL_' || cast(p_size as string) as source_column,
           'lake' as target_schema, 't_' || lower(replace(p_brand, '#', '_')) as target_table, 'c' || cast(p_partkey as string) as target_column, p_partkey as pos

@@ -253,6 +253,39 @@ def normalize_tables(dom):
     return out.withColumn("columns_used", F.array_join("columns_used", ","))
 
 
+@query(
+    "normalize_models",
+    """select event_id, 0 as pos, 'm' || user_id as name, 'silver' as layer, 'table' as materialization, 's1,' || event_type as sources, '' as depends_on, 'a b' as logic
+         from {events} where event_id % 3 = 0
+       union all select event_id, 2, 'n', 'notebook_stage', 'table', '', '', event_type from {events} where event_id % 3 = 0
+       union all select event_id, 1, 'stage_2', 'notebook_stage', 'view', '', 'm' || user_id, '' from {events} where event_id % 3 = 1""",
+)
+def normalize_models(dom):
+    out = records.normalize_models(dom.plan_json, "reply")
+    return out.withColumns({"sources": F.array_join("sources", ","), "depends_on": F.array_join("depends_on", ",")})
+
+
+@query(
+    "normalize_cells",
+    """select event_id, 0 as pos, 'markdown' as cell_type, 't' || event_id as source from {events} where event_id % 3 = 1
+       union all select event_id, 1, 'code', event_type from {events} where event_id % 3 = 1
+       union all select event_id, 0, 'code', 'u' || user_id from {events} where event_id % 3 = 2""",
+)
+def normalize_cells(dom):
+    return records.normalize_cells(dom.plan_json, "reply")
+
+
+@query(
+    "normalize_outputs",
+    """select event_id, 'output_tables' as section, 0 as pos, '' as schema_name, 'O' || user_id as table_name, event_type as description, 'direct' as access_method,
+         '' as columns_used from {events} where event_id % 3 = 2
+       union all select event_id, 'intermediate_tables', 0, 'work', 'W' || event_id, '', 'direct', '' from {events} where event_id % 3 = 2""",
+)
+def normalize_outputs(dom):
+    outputs, inner = (records.normalize_tables(dom.plan_json, "reply", s) for s in ("output_tables", "intermediate_tables"))
+    return outputs.unionByName(inner).withColumn("columns_used", F.array_join("columns_used", ","))
+
+
 @query(
     "normalize_variables",
     """select event_id, 'macro_variables' as section, 0 as pos, 'v' as name, chr(39) || 'x' || chr(39) || ', ' || chr(39) || event_type || chr(39) as value from {events} where event_id % 3 = 0
@@ -323,6 +356,11 @@ def resolution_report(dom):
     return report.withColumns({"column_mappings": F.array_join(pairs, ","), "unresolved_columns": F.array_join("unresolved_columns", ",")})
 
 
+@query("resolution_notes")
+def resolution_notes(dom):
+    return mapping_job.resolution_notes(resolve_mappings(dom))
+
+
 @query(
     "skipped_refs",
     """select '' as schema_name, table_name, column_name from {column_refs} where length(table_name) = 5 and table_name ^@ 'tmp_'""",

@@ -165,6 +165,29 @@ def test_select_to_fix_falls_back_to_all(spark):
     assert records.select_to_fix(files, none).count() == 2
 
 
+def test_select_to_fix_cells_and_project_files(spark):
+    names = ["notebook/cell_1.py", "notebook/cell_2.py", "models/sources.yml", "models/schema.yml", "dbt_project.yml", "models/a.sql"]
+    files = spark.createDataFrame([(n, "" if n == "models/schema.yml" else "x") for n in names], "path string, content string")
+
+    def picked(*rows):
+        issues = spark.createDataFrame(rows, "file string, severity string, issue string")
+        return {r["path"] for r in records.select_to_fix(files, issues).collect()}
+
+    assert picked(("cell_2", "error", "")) == {"notebook/cell_2.py"} and picked(("cell_2.py", "error", "")) == set(names)
+    assert picked(("a.sql", "error", "no Sources given"), ("x", "warning", "dbt_project")) == {"models/a.sql", "models/sources.yml"}
+    assert picked(("dbt_project.yml", "error", "bad schema")) == {"dbt_project.yml"}
+
+
+def test_resolution_notes(spark):
+    cols = "schema_name string, table_name string, column_name string, how string, column_how string, map_table string, map_match string"
+    rows = [("S", "t1", "a", "fuzzy", "exact", "t_1", "a"), ("S", "t1", "b", "fuzzy", "fuzzy", "t_1", "bb"), ("", "t2", "a", "unresolved", "kept", None, None), ("work", "t3", "a", "skipped", "skipped", None, None)]
+    got = {(r["kind"], r["note"]) for r in mapping_job.resolution_notes(spark.createDataFrame(rows, cols)).collect()}
+    assert got == {
+        ("warning", "Fuzzy matched table 't1' -> 't_1'"), ("warning", "Fuzzy matched column 'b' -> 'bb' in t1"), ("unresolved_table", "t2"), ("skipped_table", "work.t3"),
+        ("warning", "Some objects were not mapped explicitly. Original Oracle object names are retained for those objects."),
+    }
+
+
 def test_sttm(spark):
     mapping = spark.createDataFrame([("s", "t", "a", "l", "x", "one"), ("s", "t", "b", "l", "x", "two"), ("s", "t", "c", "l", "x", "two")], "source_schema string, source_table string, source_column string, target_schema string, target_table string, target_column string")
     targets = spark.createDataFrame([("l", "x", n, "string") for n in ("one", "two", "new")], "target_schema string, target_table string, target_column string, target_data_type string")
