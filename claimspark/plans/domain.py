@@ -398,6 +398,26 @@ TABLES: dict[str, str] = {
             else p_type || '_' || replace(p_brand, '#', '_') end as table_name,
           case when p_partkey % 4 = 0 then 'column_' || cast(p_size as string) when p_partkey % 9 = 0 then 'zz' else 'col_' || cast(p_size as string) end as column_name
         from {part}""",
+    # SAS programs: every document with two of the nineteen kinds of block, one of them long, and a comment
+    "sas_scripts": """
+        select cast(doc_id as string) as script,
+          'proc sql; create table t as select 1;' || chr(10) || first_block || chr(10) || text || chr(10)
+          || 'proc export data=' || lang || ' outfile=' || replace(text, ';', ' ') || '; run;' || chr(10)
+          || second_block || chr(10) || chr(10) || chr(10) || chr(10) || '/* ' || source || chr(10) || text || ' */ quit;' as text
+        from (select *,
+          case doc_id % 19 when 0 then 'x ''ls -l'';' when 1 then 'x mkdir folder;' when 2 then 'data a; infile ''f.txt'' dlm='',''; input x; run;'
+            when 3 then 'execute (insert into t select 1) by ora;' when 4 then 'proc append base=a data=b; run;' when 5 then 'proc delete data=a; run;'
+            when 6 then 'proc datasets lib=work; quit;' when 7 then 'proc export data=a; run;' when 8 then 'ods excel file=''a'';' when 9 then 'ods
+            _all_ close;' when 10 then 'ods listing close;' when 11 then 'ods html file=''b'';' when 12 then 'proc report data=a; column x; run;' when
+            13 then 'proc odstext; p ''x''; run;' when 14 then 'proc template; define style s; run;' when 15 then 'filename m email to=''a'';' when 16
+            then 'data _null_; file mymail; put ''x''; run;' when 17 then 'title1 ''a'';' when 18 then 'footnote ''b'';' end as first_block,
+          case (doc_id * 7 + 3) % 19 when 0 then 'x ''ls -l'';' when 1 then 'x mkdir folder;' when 2 then 'data a; infile ''f.txt'' dlm='',''; input
+            x; run;' when 3 then 'execute (insert into t select 1) by ora;' when 4 then 'proc append base=a data=b; run;' when 5 then 'proc delete
+            data=a; run;' when 6 then 'proc datasets lib=work; quit;' when 7 then 'proc export data=a; run;' when 8 then 'ods excel file=''a'';' when 9
+            then 'ods _all_ close;' when 10 then 'ods listing close;' when 11 then 'ods html file=''b'';' when 12 then 'proc report data=a; column x;
+            run;' when 13 then 'proc odstext; p ''x''; run;' when 14 then 'proc template; define style s; run;' when 15 then 'filename m email
+            to=''a'';' when 16 then 'data _null_; file mymail; put ''x''; run;' when 17 then 'title1 ''a'';' when 18 then 'footnote ''b'';' end as second_block
+          from {documents})""",
     # scripts: every document becomes the body of a legacy script
     "scripts": """
         select cast(doc_id as string) as script,

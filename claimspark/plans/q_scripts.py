@@ -52,9 +52,48 @@ def clean_plsql(dom):
     return scripts.clean_plsql(dom.scripts).withColumn("flags", F.array_join("flags", "\n")).drop("removed")
 
 
-@query("clean_sas")
+# the SAS blocks as this check states them, in order
+SAS_BLOCKS = (
+    (r"""(?m)^\s*x\s+["'].*?["'];\s*$""", "INGESTION - shell command"),
+    (r"(?m)^\s*x\s+\w+.*?;\s*$", "INGESTION - shell command"),
+    (r"(?msi)DATA\s+\w+;\s*INFILE\s+.*?RUN;", "INGESTION - INFILE data step"),
+    (
+        r"(?msi)execute\s*\(\s*(?:INSERT\s+INTO|TRUNCATE|DROP\s+TABLE|CREATE\s+TABLE\s+\w+\s+AS\s*\n?\s*SELECT\s+\*\s+FROM\s*\n?\s*EXTERNAL).*?\)\s*by\s+\w+;",
+        "INGESTION - passthrough DDL/load",
+    ),
+    (r"(?msi)PROC\s+APPEND\s+.*?RUN;", "INGESTION - PROC APPEND"),
+    (r"(?msi)PROC\s+DELETE\s+.*?RUN;", "INGESTION - PROC DELETE"),
+    (r"(?msi)PROC\s+DATASETS\s+.*?(?:RUN|QUIT);", "INGESTION - PROC DATASETS"),
+    (r"(?msi)PROC\s+EXPORT\s+.*?RUN;", "INGESTION - PROC EXPORT"),
+    (r"(?msi)ODS\s+EXCEL\s+.*?;", "REPORTING - ODS EXCEL"),
+    (r"(?msi)ODS\s+_ALL_\s+.*?;", "REPORTING - ODS close"),
+    (r"(?msi)ODS\s+LISTING\s+.*?;", "REPORTING - ODS listing"),
+    (r"(?msi)ODS\s+HTML\s+.*?;", "REPORTING - ODS HTML"),
+    (r"(?msi)PROC\s+REPORT\s+.*?RUN;", "REPORTING - PROC REPORT"),
+    (r"(?msi)PROC\s+ODSTEXT\s*;.*?RUN;", "REPORTING - PROC ODSTEXT"),
+    (r"(?msi)PROC\s+TEMPLATE\s*;.*?RUN;", "REPORTING - PROC TEMPLATE"),
+    (r"(?msi)FILENAME\s+\w+\s+email.*?;", "REPORTING - email setup"),
+    (r"(?msi)DATA\s+_NULL_\s*;\s*file\s+mymail.*?RUN;", "REPORTING - email send"),
+    (r"(?msi)TITLE\d*\s+.*?;", "REPORTING - TITLE statement"),
+    (r"(?msi)FOOTNOTE\d*\s+.*?;", "REPORTING - FOOTNOTE statement"),
+)
+
+
+def _sas_sql() -> str:
+    sql = "select script, text as t, [] as flags, [] as removed from {sas_scripts}"
+    for pattern, label in SAS_BLOCKS:
+        rx = _rx(pattern).replace("'", "''")
+        hits = f"regexp_extract_all(t, '{rx}')"
+        made = f"list_transform({hits}, lambda m: '[{label}]: ' || {_strip('left(m, 120)')} || '...')"
+        sql = f"select script, regexp_replace(t, '{rx}', '', 'g') as t, flags || {made} as flags, removed || {hits} as removed from ({sql})"
+    bare = "regexp_replace(t, '(?s)/\\*.*?\\*/', '', 'g')"
+    squeezed = f"regexp_replace({bare}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    return f"""select script, {_strip(squeezed)} as clean, array_to_string(flags, chr(10)) as flags, array_to_string(removed, chr(10)) as removed from ({sql})"""
+
+
+@query("clean_sas", _sas_sql())
 def clean_sas(dom):
-    return scripts.clean_sas(dom.scripts).withColumns({"flags": F.array_join("flags", "\n"), "removed": F.array_join("removed", "\n")})
+    return scripts.clean_sas(dom.sas_scripts).withColumns({"flags": F.array_join("flags", "\n"), "removed": F.array_join("removed", "\n")})
 
 
 # --------------------------------------------------------------------------- table references
