@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -55,7 +56,7 @@ class WordBpe:
         self._read_merges(model["merges"])
         self._read_offsets({**self.vocab, **special})
         self._pairs: dict[tuple[int, int], bool] = {}
-        self.words = _Words(self)
+        self.words = WordCache(lambda w: (w,) if isinstance(w, int) else self.encode_word(w))
 
     def _read_rules(self, spec: dict) -> None:
         steps = [s["type"] for s in spec["normalizer"]["normalizers"]]
@@ -185,22 +186,24 @@ class WordBpe:
         return " ".join(map(self._texts.__getitem__, ids))
 
 
-class _Words(dict):
-    """Ids of the words seen by this worker."""
+class WordCache(dict):
+    """What a worker has made of words, in two generations: a full one becomes the old one, of which words in use come back."""
 
-    def __init__(self, bpe: WordBpe):
+    def __init__(self, make: Callable[[str | int], object]):
         super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, word: str | int) -> tuple[int, ...]:
-        if isinstance(word, int):
-            return (word,)
-        ids = self.bpe.encode_word(word)
-        if len(word) <= CACHE_WORD_CHARS:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+        self.make, self.old = make, {}
+
+    def __missing__(self, word: str | int):
+        made = self.old.get(word)
+        if made is None:
+            made = self.make(word)
+            if isinstance(word, int) or len(word) > CACHE_WORD_CHARS:
+                return made
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = made
+        return made
 
 
 def read_vocabulary(path: str) -> bytes:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimspark.llm.common import row_bytes, steps, texts, written
@@ -287,9 +287,11 @@ def repeated_spans(docs: DataFrame, unit: Unit, solver: Solver) -> tuple[DataFra
     pieces = counted.groupBy("anchor", "digest", "n").agg(
         F.sum("copies").alias("copies"), F.max("often").alias("often"), F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.first("start").alias("start")
     )
-    anchors = pieces.groupBy("anchor").agg(F.sum("copies").alias("seen"), F.count("*").alias("kinds"), F.sum("n").alias("symbols"), F.max("often").alias("any_often"))
-    anchors = anchors.where("seen > 1 or any_often")
-    again = written(pieces.join(anchors, "anchor").drop("seen"), "pieces")
+    # the anchor's pieces are together already; they are summed up without another deal or reading
+    own = Window.partitionBy("anchor")
+    sums = {"seen": F.sum("copies"), "kinds": F.count("*"), "symbols": F.sum("n"), "any_often": F.max("often")}
+    again = pieces.withColumns({name: total.over(own) for name, total in sums.items()}).where("seen > 1 or any_often")
+    again = written(again.drop("seen", "often"), "pieces")
     mixed = again.where("kinds > 1 or any_often").select(
         "anchor", "digest", "n", "doc_id", "text_hash", "start", (F.col("copies") == 1).alias("once"), (F.col("symbols") > HEAVY_SYMBOLS).alias("heavy")
     )

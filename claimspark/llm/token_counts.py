@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.llm.bpe import CACHE_WORDS, load
+from claimspark.llm.bpe import WordBpe, WordCache, load
 from claimspark.llm.common import map_batches, row_texts, texts
 
 FREQUENT_WORDS = 16_384
@@ -52,21 +52,14 @@ def frequent_lengths(docs: DataFrame, vocabulary: bytes, words: int = FREQUENT_W
 
 
 class _Lengths(dict):
-    """The second tier: numbers of tokens of the words this worker has met."""
+    """The first tier, the table as sent, and behind it the worker's own cache."""
 
-    def __init__(self, bpe, frequent: dict[str, int]):
+    def __init__(self, bpe: WordBpe, frequent: dict[str, int]):
         super().__init__(frequent)
-        self.bpe, self.frequent = bpe, frequent
+        self.met = WordCache(lambda w: 1 if isinstance(w, int) else len(bpe.encode_word(w)))
 
     def __missing__(self, word: str | int) -> int:
-        if isinstance(word, int):
-            return 1
-        n = len(self.bpe.encode_word(word))
-        if len(self) >= CACHE_WORDS + len(self.frequent):
-            self.clear()
-            self.update(self.frequent)
-        self[word] = n
-        return n
+        return self.met[word]
 
 
 _lengths: dict[str, _Lengths] = {}
