@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.session import materialize
+from claimspark.session import stored
 
 
 def top_n(df: DataFrame, keys: Sequence, order: Sequence[Column], n: int, rank_col: str = "rn") -> DataFrame:
@@ -42,34 +42,33 @@ def nodupkey(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None
 def number_rows(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], out: str, partitions: int | None = None
 ) -> DataFrame:
-    """``row_number`` per group with no group held by one task.
+    """``row_number`` per group with no group held by one task, and one shuffle of the rows.
 
-    The ranges are written to the checkpoint folder first, so both uses below see the same
-    split. Rows equal on the whole order are interchangeable; ``_tie`` spreads such copies.
+    Rows are dealt into ranges of the whole sort key and sorted there, so a row's place in its range is known as it is
+    written; a group's places start where earlier ranges left off. Only a small table of ranges and groups is added up
+    and joined back. Rows equal on the whole order are interchangeable; ``_tie`` spreads such copies.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.withColumn("_tie", F.monotonically_increasing_id())
     full_order = [*[F.col(g).asc() for g in groups], *order, F.col("_tie").asc()]
-    ranged = materialize(tagged.repartitionByRange(n, *full_order).withColumn("_part", F.spark_partition_id()))
+    dealt = tagged.repartitionByRange(n, *full_order).sortWithinPartitions(*full_order).drop("_tie")
+    # written, so that both uses below see the same ranges; the id counts the rows of each range in its low 33 bits
+    ranged = stored(dealt.withColumn("_id", F.monotonically_increasing_id()), "ranges")
+    ranged = ranged.withColumns({"_part": F.shiftright("_id", 33), "_in": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
 
     # one row per (range, group): a group only spans neighbouring ranges
-    counts = ranged.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = ranged.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_in").alias("_first"))
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *[F.col(g).alias(f"_g_{i}") for i, g in enumerate(groups)],
         F.col("_part").alias("_p"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_off"),
     )
-    inside = Window.partitionBy(*groups, "_part").orderBy(*order, F.col("_tie").asc())
     on = F.col("_part") == F.col("_p")
     for i, g in enumerate(groups):
         on = on & F.col(g).eqNullSafe(F.col(f"_g_{i}"))
-    return (
-        ranged.withColumn("_in", F.row_number().over(inside))
-        .join(offsets, on, "left")
-        .withColumn(out, (F.col("_in") + F.col("_off")).cast("long"))
-        .select(*df.columns, out)
-    )
+    numbered = ranged.join(stored(offsets, "offsets"), on, "left")
+    return numbered.withColumn(out, (F.col("_in") + F.col("_off")).cast("long")).select(*df.columns, out)
 
 
 def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rn") -> DataFrame:

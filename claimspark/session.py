@@ -56,22 +56,8 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[sc.applicationId]
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Reliable checkpoint folder, in the shared folder."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_folder(spark))
-    return sc.getCheckpointDir()
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """A small or reused intermediate as a written table, so that later plans know its size and prune its columns."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write an intermediate that several later steps read, in the reliable checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
