@@ -19,6 +19,7 @@ from claimspark.jobs.visits import MEMBER_KEY, active_members, member_months, pr
 from claimspark.operators.joins import join_role, null_tolerant_join, range_join
 from claimspark.operators.project import with_rolling_period
 from claimspark.operators.ranking import keep_best
+from claimspark.session import stored
 
 PERSON = [*MEMBER_KEY, "mrn"]
 FLAGS = ("pcp_npi_visit", "pcp_practice_visit", "pcp_pod_visit", "mt_sinai_visit")
@@ -184,7 +185,7 @@ def unified_member(
     mine = window_periods(periods, windows)
     histories = sorted({w.practice_periods or w.name for w in windows})
 
-    months = enrolled_months(t["member_months"], t["fact_member"])
+    months = stored(enrolled_months(t["member_months"], t["fact_member"]), "months")  # read for the rows and for the calendar
     seen = monthly_visits(visits, periods, histories)
     df = null_tolerant_join(months, seen, {**{k: k for k in PERSON}, "effper_dt": "month"}, never_on_null=["effper_dt"])
 
