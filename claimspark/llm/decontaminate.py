@@ -3,8 +3,9 @@
 Words are lower-cased and freed of punctuation; numbers, capitalised names, and units behind a number become typed
 placeholders, so that a question with other numbers and names has the same template. Windows of five such tokens are hashed
 and joined to those of the benchmark. A matching window is evidence only if what fills its placeholders is consistent: over
-all matches of a document and an item, each slot of the item must be filled by one value of the document and the other way
-round. A document is contaminated by an item if consistent windows cover at least 0.8 of the item's windows.
+all matches of one occurrence of the item, each slot of the item must be filled by one value of the document and the other
+way round. A document is contaminated by an item if consistent windows of one occurrence, or of the document as a whole,
+cover at least 0.8 of the item's windows.
 
 A window with fewer than two words of its own is too general as a template and is hashed by what fills it.
 """
@@ -12,6 +13,7 @@ A window with fewer than two words of its own is too general as a template and i
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -172,6 +174,29 @@ def consistent_share(matches: list[dict], windows: int) -> float:
     return len(good) / windows
 
 
+def best_share(matches: list[dict], windows: int, least: float) -> float:
+    """The best consistent share over all occurrences of the item in a document, and over the document as a whole.
+
+    An occurrence is where matches put the item's first window. To it belong the matches that put it there, up to ``WINDOW``
+    places beside it, or, as words may be added and left out, all matches in a stretch of the item's length. Occurrences
+    with too few item windows for ``least`` are passed over, so a share below it need not be the best.
+    """
+    best = consistent_share(matches, windows)
+    by_start = sorted(matches, key=lambda m: m["pos"] - m["item_pos"])
+    by_pos = sorted(matches, key=lambda m: m["pos"])
+    starts, places = [m["pos"] - m["item_pos"] for m in by_start], [m["pos"] for m in by_pos]
+    for start in sorted(set(starts)):
+        if best >= 1:
+            break
+        near = by_start[bisect_left(starts, start - WINDOW) : bisect_right(starts, start + WINDOW)]
+        stretch = by_pos[bisect_left(places, start - WINDOW) : bisect_right(places, start + windows - 1 + WINDOW)]
+        for group in (near, stretch):
+            most = len({m["item_pos"] for m in group}) / windows
+            if most >= least and most > best:
+                best = max(best, consistent_share(group, windows))
+    return best
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE
 ) -> DataFrame:
@@ -196,11 +221,11 @@ def leaks(
         only = docs.sparkSession.sparkContext.broadcast((coarse, exact))
     found = _window_table(rows, only).withColumnsRenamed({"id": "doc_id"}).drop("windows")
     met = found.join(F.broadcast(bench) if few else bench, F.col("hash") == F.col("item_hash"))
-    match = F.struct("item_pos", F.col("item_tokens").alias("own"), "tokens", "slots")
+    match = F.struct("pos", "item_pos", F.col("item_tokens").alias("own"), "tokens", "slots")
     pairs = met.groupBy("doc_id", "text_hash", "item_id", "item_text_hash", "item_windows").agg(F.collect_set(match).alias("matches"))
 
     def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
-        shares = [consistent_share(m, n) for n, m in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+        shares = [best_share(m, n, coverage) for n, m in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
         return pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(shares, pa.float64())], ["doc_id", "text_hash", "item_id", "coverage"])
 
     judged = map_batches(
