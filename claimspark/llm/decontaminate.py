@@ -7,7 +7,9 @@ all matches of one occurrence of the item, each slot of the item must be filled
 way round. A document is contaminated by an item if consistent windows of one occurrence, or of the document as a whole,
 cover at least 0.8 of the item's windows.
 
-A window with fewer than two words of its own is too general as a template and is hashed by what fills it.
+A window with fewer than two words of its own is too general as a template and is hashed by what fills it. Every other window
+has that hash too, so that a copy in other letter case, whose names are told from words otherwise, still matches. An item of
+under five tokens is one window, hashed by what fills it.
 """
 
 from __future__ import annotations
@@ -71,8 +73,28 @@ class _Coded(dict):
 _coded = _Coded()
 
 
-def _windows(token_lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first token in the joined texts, hash) of every window, and whether each token is a slot."""
+def _places(sizes: np.ndarray, begins: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, first token in the joined texts) of every window of ``width`` tokens."""
+    count = np.maximum(sizes - width + 1, 0)
+    at = np.arange(count.sum()) + np.repeat(begins - (np.cumsum(count) - count), count)
+    return np.repeat(np.arange(len(sizes)), count), at
+
+
+def _chain(codes: np.ndarray, width: int, start: int) -> np.ndarray:
+    """A hash of the ``width`` codes from each place on."""
+    n = len(codes) - width + 1
+    h = np.full(n, start, np.uint64)
+    for k in range(width):
+        h = h * _FACTOR + codes[k : n + k]
+    h = (h ^ (h >> np.uint64(31))) * _FACTOR
+    return h ^ (h >> np.uint64(29))
+
+
+def _windows(token_lists: list[list[str]], short: list[int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first token in the joined texts, tokens, hash) of every window, and whether each token is a slot.
+
+    Windows of the lengths in ``short`` are added; if it is None, only those that are a whole text.
+    """
     sizes = np.array([len(t) for t in token_lists], np.int64)
     coded = np.fromiter((_coded[t] for tokens in token_lists for t in tokens), np.uint64, int(sizes.sum()))
     kind, own = coded & np.uint64(3), coded & ~np.uint64(3)
@@ -82,28 +104,30 @@ def _windows(token_lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.n
     after_number[begins[sizes > 0]] = False
     kind = np.where((kind == _UNIT) & ~after_number, _WORD, kind)
     slot = kind != _WORD
-    template = np.where(slot, _KINDS[kind], own)
-    count = np.maximum(sizes - WINDOW + 1, 0)
-    at = np.arange(count.sum()) + np.repeat(begins - (np.cumsum(count) - count), count)
-    text = np.repeat(np.arange(len(sizes)), count)
-    if not len(at):
-        return text, at, np.zeros(0, np.uint64), slot
-    n = len(coded) - WINDOW + 1
-    free, filled, words = np.zeros(n, np.uint64), np.full(n, 7, np.uint64), np.zeros(n, np.int64)
-    for k in range(WINDOW):
-        free = free * _FACTOR + template[k : n + k]
-        filled = filled * _FACTOR + own[k : n + k]
-        words += ~slot[k : n + k]
-    h = np.where(words >= LEAST_WORDS, free, filled)
-    h = (h ^ (h >> np.uint64(31))) * _FACTOR
-    return text, at, (h ^ (h >> np.uint64(29)))[at], slot
-
-
-def _found(texts_: list[str], only: tuple[np.ndarray, np.ndarray] | None) -> Iterator[tuple[int, int, int, list[str], list[bool], int]]:
+    parts = []
+    text, at = _places(sizes, begins, WINDOW)
+    if len(at):
+        template = np.where(slot, _KINDS[kind], own)
+        words = np.cumsum(np.concatenate([[0], ~slot]))
+        general = ((words[WINDOW:] - words[:-WINDOW]) < LEAST_WORDS)[at]
+        free, filled = _chain(template, WINDOW, 0)[at], _chain(own, WINDOW, WINDOW + 2)[at]
+        parts.append((text, at, np.full(len(at), WINDOW), filled))
+        parts.append((text[~general], at[~general], np.full(int((~general).sum()), WINDOW), free[~general]))
+    for width in range(1, WINDOW) if short is None else short:
+        text, at = _places(np.where(sizes == width, sizes, 0) if short is None else sizes, begins, width)
+        if len(at):
+            parts.append((text, at, np.full(len(at), width), _chain(own, width, width + 2)[at]))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, np.uint64), slot
+    return *(np.concatenate(p) for p in zip(*parts)), slot
+
+
+def _found(texts_: list[str], only: tuple[np.ndarray, np.ndarray] | None, short: list[int] | None) -> Iterator[tuple[int, int, int, list[str], list[bool], int]]:
     """(text, position, hash, tokens of the window in lower case, which are slots, windows of the text)."""
     for a, b in steps([len(t) for t in texts_]):
         token_lists = [_TOKEN(t) for t in texts_[a:b]]
-        text, at, h, slot = _windows(token_lists)
+        text, at, width, h, slot = _windows(token_lists, short)
         if not len(at):
             continue
         hit = np.arange(len(at))
@@ -116,12 +140,16 @@ def _found(texts_: list[str], only: tuple[np.ndarray, np.ndarray] | None) -> Ite
         for i in hit.tolist():
             t = int(text[i])
             p = int(at[i] - begins[t])
-            tokens = [x.lower() for x in token_lists[t][p : p + WINDOW]]
-            yield t + a, p, int(h[i]), tokens, slot[at[i] : at[i] + WINDOW].tolist(), len(token_lists[t]) - WINDOW + 1
+            n = int(width[i])
+            tokens = [x.lower() for x in token_lists[t][p : p + n]]
+            yield t + a, p, int(h[i]), tokens, slot[at[i] : at[i] + n].tolist(), max(len(token_lists[t]) - WINDOW + 1, 1)
+
 
+def _window_table(rows: DataFrame, only=None, short: list[int] | None = None) -> DataFrame:
+    """Rows (id, text_hash, hash, pos, tokens, slots, windows) of the windows of (id, text, text_hash).
 
-def _window_table(rows: DataFrame, only=None) -> DataFrame:
-    """Rows (id, text_hash, hash, pos, tokens, slots, windows) of the windows of (id, text, text_hash)."""
+    A window may have two rows, for its template and for what fills it. ``short`` as in ``_windows``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sought = only.value if only is not None else None
@@ -129,7 +157,7 @@ def _window_table(rows: DataFrame, only=None) -> DataFrame:
             if not batch.num_rows:
                 continue
             part: list[tuple] = []
-            for found in _found(row_texts(batch.column(1)), sought):
+            for found in _found(row_texts(batch.column(1)), sought, short):
                 part.append(found)
                 if len(part) >= 20_000:
                     yield packed(batch, part)
@@ -202,7 +230,7 @@ def leaks(
 ) -> DataFrame:
     """Rows (doc_id, text_hash, item_id, coverage): each document and each benchmark item that it contains.
 
-    NULL and empty texts, and items of fewer than five tokens, match nothing. Rows with a NULL id are judged like others.
+    NULL and empty texts match nothing. Items of fewer than five tokens are in a document whose tokens hold them in a row. Rows with a NULL id are judged like others.
     Items of one id and different texts are judged one by one; the best coverage counts. Repeated rows give one leak. Other
     columns are left aside. Empty tables give no rows.
     """
@@ -219,7 +247,8 @@ def leaks(
         coarse = np.zeros(1 << _BITS, bool)
         coarse[exact >> np.uint64(64 - _BITS)] = True
         only = docs.sparkSession.sparkContext.broadcast((coarse, exact))
-    found = _window_table(rows, only).withColumnsRenamed({"id": "doc_id"}).drop("windows")
+    short = [r["n"] for r in bench.select(F.size("item_tokens").alias("n")).where(F.col("n") < WINDOW).distinct().collect()]
+    found = _window_table(rows, only, short).withColumnsRenamed({"id": "doc_id"}).drop("windows")
     met = found.join(F.broadcast(bench) if few else bench, F.col("hash") == F.col("item_hash"))
     match = F.struct("pos", "item_pos", F.col("item_tokens").alias("own"), "tokens", "slots")
     pairs = met.groupBy("doc_id", "text_hash", "item_id", "item_text_hash", "item_windows").agg(F.collect_set(match).alias("matches"))

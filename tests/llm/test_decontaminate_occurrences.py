@@ -26,3 +26,15 @@ def test_occurrence_with_added_words_beside_a_variant(make_docs, items):  # noqa
     longer = variant("Ann Marie", 12, "Mary")
     got = flagged(dc.contamination(make_docs([(1, f"{longer} {OTHER}"), (2, f"{MIXED} {MIXED}")]), items([(7, PUZZLE)])))
     assert got == {1: [7]}
+
+
+def test_verbatim_copies_in_other_letter_case(make_docs, items):  # noqa: F811
+    docs = [(k, f"Before it. {text} And after.") for k, text in enumerate([PUZZLE.lower(), PUZZLE.upper(), PUZZLE.title(), PUZZLE.swapcase(), PUZZLE])]
+    docs += [(9, MIXED.lower()), (10, " ".join(reversed(PUZZLE.lower().split())))]
+    assert flagged(dc.contamination(make_docs(docs), items([(7, PUZZLE)]))) == {k: [7] for k in range(5)}
+    assert flagged(dc.contamination(make_docs(docs), items([(7, PUZZLE.lower())]))) == {k: [7] for k in range(5)}
+
+
+def test_items_of_under_five_tokens(make_docs, items):  # noqa: F811
+    docs = [(1, "then name four odd Primes."), (2, "Name odd four primes"), (3, "PRIMES"), (4, "prime"), (5, None), (6, "name four odd")]
+    assert flagged(dc.contamination(make_docs(docs), items([(1, "Name four odd primes"), (2, "Primes?"), (3, "?!")]))) == {1: [1, 2], 2: [2], 3: [2]}
