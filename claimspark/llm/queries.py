@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspark.llm import bpe, decontaminate, fingerprint, language_id, line_dedup, simhash, substring_dedup, suffix_dedup, token_counts, url_filter
+from claimspark.llm import (
+    bpe,
+    conversation_trie,
+    decontaminate,
+    fingerprint,
+    language_id,
+    lexical_search,
+    line_dedup,
+    sharding,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+)
 from claimspark.llm.common import read_table
 from claimspark.llm.registry import query
 
@@ -52,6 +66,41 @@ OP10_SQL = f"""
   select doc_id, size as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from texts left join sums using (doc_id)"""
 
 
+OP11_SQL = """
+  with words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as body from documents),
+  lengths as (select doc_id, len(body)::bigint as n from words where len(body) > 0),
+  sums as (select count(*)::bigint as docs, sum(n)::bigint as total from lengths),
+  found as (select doc_id, term, count(*)::bigint as tf from (select doc_id, unnest(body) as term from words) group by doc_id, term),
+  weights as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from found, sums group by term, docs),
+  items as (select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from benchmark),
+  scored as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::bigint as score
+    from items join found using (term) join weights using (term) join lengths using (doc_id), sums group by item_id, doc_id),
+  ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scored where score > 0)
+  select item_id, rank, doc_id, score from ranked where rank <= 10"""
+
+#: crc32 of a number's digits, bit by bit: a byte is taken in, then eight times a bit goes out.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split({text}, ''), lambda ch: [ascii(ch)::bigint] || repeat([-1::bigint], 8)))),
+  lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end), 4294967295)"""
+
+OP13_SQL = f"""
+  with own as (select conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} order by turn nulls first) as turns from conversations
+      where conv_id is not null group by conv_id),
+  heads as (select o.*, b.turns as first, ({_CRC32.format(text="o.conv_id::varchar")} % 9)::bigint as h from own o left join own b on b.conv_id = o.conv_id - o.conv_id % 5),
+  built as (select conv_id, coalesce(first, [])[1:h] || turns[h + 1:] as turns from heads),
+  grown as (select conv_id, d, turns[1:d] as node, len(turns) = d as ends from built, unnest(range(0, len(turns) + 1)) as x(d)),
+  nodes as (select node, d, min(conv_id) as conv_id, count(*) as n, coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '') as ids
+    from grown group by node, d),
+  kids as (select node[1:d - 1] as node, count(*) as n_children from nodes where d > 0 group by 1),
+  full_nodes as (select n.*, coalesce(n_children, 0) as n_children, case when d = 0 then 0 else (n - 1) * octet_length(encode(node[d].t)) end as saved
+    from nodes n left join kids using (node)),
+  sums as (select up, sum(saved) as saved, count(*) filter (where n_children = 0) as leaves
+    from (select node[1:a] as up, saved, n_children from full_nodes, unnest(range(0, d + 1)) as x(a)) group by up)
+  select f.conv_id, f.d as depth, p.conv_id as parent_conv_id, f.n as n_convs, f.n_children, s.leaves as n_leaves, s.saved::bigint as saved_tokens, sha256(f.ids) as ends_sha256
+  from full_nodes f join sums s on s.up = f.node left join nodes p on f.d > 0 and p.node = f.node[1:f.d - 1] and p.d = f.d - 1"""
+
+
 def word_vocabulary() -> bytes:
     return bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
 
@@ -104,3 +153,18 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_substring_dedup", OP10_SQL)
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_words_digest(read_table(spark, folder, "documents"))
+
+
+@query("op11_ranked_search", OP11_SQL)
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query("op12_sharding")
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_digest(read_table(spark, folder, "documents"))
+
+
+@query("op13_conversation_trie", OP13_SQL)
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(read_table(spark, folder, "conversations"))
