@@ -8,8 +8,10 @@ way round. A document is contaminated by an item if consistent windows of one oc
 cover at least 0.8 of the item's windows.
 
 A window with fewer than two words of its own is too general as a template and is hashed by what fills it. Every other window
-has that hash too, so that a copy in other letter case, whose names are told from words otherwise, still matches. An item of
-under five tokens is one window, hashed by what fills it.
+has that hash too, so that a copy in other letter case, whose names are told from words otherwise, still matches.
+
+An item of under five tokens may be a word that most documents hold. It is one window, hashed by what fills it, and only met
+by lines that have no other tokens; such matches are reported, but no document is cleaned away for them.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,10 +93,10 @@ def _chain(codes: np.ndarray, width: int, start: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _windows(token_lists: list[list[str]], short: list[int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _windows(token_lists: list[list[str]], whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first token in the joined texts, tokens, hash) of every window, and whether each token is a slot.
 
-    Windows of the lengths in ``short`` are added; if it is None, only those that are a whole text.
+    With ``whole`` a text of fewer tokens than a window is a window too.
     """
     sizes = np.array([len(t) for t in token_lists], np.int64)
     coded = np.fromiter((_coded[t] for tokens in token_lists for t in tokens), np.uint64, int(sizes.sum()))
@@ -113,8 +116,8 @@ def _windows(token_lists: list[list[str]], short: list[int] | None) -> tuple[np.
         free, filled = _chain(template, WINDOW, 0)[at], _chain(own, WINDOW, WINDOW + 2)[at]
         parts.append((text, at, np.full(len(at), WINDOW), filled))
         parts.append((text[~general], at[~general], np.full(int((~general).sum()), WINDOW), free[~general]))
-    for width in range(1, WINDOW) if short is None else short:
-        text, at = _places(np.where(sizes == width, sizes, 0) if short is None else sizes, begins, width)
+    for width in range(1, WINDOW) if whole else ():
+        text, at = _places(np.where(sizes == width, sizes, 0), begins, width)
         if len(at):
             parts.append((text, at, np.full(len(at), width), _chain(own, width, width + 2)[at]))
     if not parts:
@@ -123,11 +126,11 @@ def _windows(token_lists: list[list[str]], short: list[int] | None) -> tuple[np.
     return *(np.concatenate(p) for p in zip(*parts)), slot
 
 
-def _found(texts_: list[str], only: tuple[np.ndarray, np.ndarray] | None, short: list[int] | None) -> Iterator[tuple[int, int, int, list[str], list[bool], int]]:
+def _found(texts_: list[str], only: tuple[np.ndarray, np.ndarray] | None, whole: bool) -> Iterator[tuple[int, int, int, list[str], list[bool], int]]:
     """(text, position, hash, tokens of the window in lower case, which are slots, windows of the text)."""
     for a, b in steps([len(t) for t in texts_]):
         token_lists = [_TOKEN(t) for t in texts_[a:b]]
-        text, at, width, h, slot = _windows(token_lists, short)
+        text, at, width, h, slot = _windows(token_lists, whole)
         if not len(at):
             continue
         hit = np.arange(len(at))
@@ -145,10 +148,19 @@ def _found(texts_: list[str], only: tuple[np.ndarray, np.ndarray] | None, short:
             yield t + a, p, int(h[i]), tokens, slot[at[i] : at[i] + n].tolist(), max(len(token_lists[t]) - WINDOW + 1, 1)
 
 
-def _window_table(rows: DataFrame, only=None, short: list[int] | None = None) -> DataFrame:
+def _found_lines(texts_: list[str], only: tuple[np.ndarray, np.ndarray] | None) -> Iterator[tuple[int, int, int, list[str], list[bool], int]]:
+    """As ``_found``, for the lines of fewer tokens than a window, each a text of its own."""
+    for row, text in enumerate(texts_):
+        for line in text.split("\n"):
+            if len(_TOKEN(line)) < WINDOW:
+                for _, *found in _found([line], only, True):
+                    yield row, *found
+
+
+def _window_table(rows: DataFrame, only=None, whole: bool = False, lines: bool = False) -> DataFrame:
     """Rows (id, text_hash, hash, pos, tokens, slots, windows) of the windows of (id, text, text_hash).
 
-    A window may have two rows, for its template and for what fills it. ``short`` as in ``_windows``.
+    A window may have two rows, for its template and for what fills it. ``whole`` as in ``_windows``; ``lines`` adds short lines.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +169,8 @@ def _window_table(rows: DataFrame, only=None, short: list[int] | None = None) ->
             if not batch.num_rows:
                 continue
             part: list[tuple] = []
-            for found in _found(row_texts(batch.column(1)), sought, short):
+            texts_ = row_texts(batch.column(1))
+            for found in chain(_found(texts_, sought, whole), _found_lines(texts_, sought) if lines else ()):
                 part.append(found)
                 if len(part) >= 20_000:
                     yield packed(batch, part)
@@ -226,17 +239,25 @@ def best_share(matches: list[dict], windows: int, least: float) -> float:
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    coverage: float = COVERAGE,
+    short_items: bool = True,
 ) -> DataFrame:
     """Rows (doc_id, text_hash, item_id, coverage): each document and each benchmark item that it contains.
 
-    NULL and empty texts match nothing. Items of fewer than five tokens are in a document whose tokens hold them in a row. Rows with a NULL id are judged like others.
+    NULL and empty texts match nothing. Rows with a NULL id are judged like others. Items of fewer than five tokens are in a
+    document if one of its lines has their tokens and no other; without ``short_items`` they are passed over.
     Items of one id and different texts are judged one by one; the best coverage counts. Repeated rows give one leak. Other
     columns are left aside. Empty tables give no rows.
     """
     rows = texts(docs, id_col, text_col).select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("text_hash"))
     items = benchmark.select(benchmark[item_col].cast("long").alias("id"), benchmark[item_text_col].alias("text"), F.xxhash64(benchmark[item_text_col]).alias("text_hash"))
-    bench = written(_window_table(items.distinct()).select("id", "text_hash", "hash", "pos", "tokens", "windows"), "benchmark-windows")
+    bench = written(_window_table(items.distinct(), whole=short_items).select("id", "text_hash", "hash", "pos", "tokens", "windows"), "benchmark-windows")
     bench = bench.select(*(F.col(c).alias(f"item_{c}") for c in bench.columns))
     few = bench.count() <= BROADCAST_WINDOWS
     only = None
@@ -247,8 +268,8 @@ def leaks(
         coarse = np.zeros(1 << _BITS, bool)
         coarse[exact >> np.uint64(64 - _BITS)] = True
         only = docs.sparkSession.sparkContext.broadcast((coarse, exact))
-    short = [r["n"] for r in bench.select(F.size("item_tokens").alias("n")).where(F.col("n") < WINDOW).distinct().collect()]
-    found = _window_table(rows, only, short).withColumnsRenamed({"id": "doc_id"}).drop("windows")
+    lines = bench.where(F.size("item_tokens") < WINDOW).limit(1).count() > 0
+    found = _window_table(rows, only, lines=lines).withColumnsRenamed({"id": "doc_id"}).drop("windows")
     met = found.join(F.broadcast(bench) if few else bench, F.col("hash") == F.col("item_hash"))
     match = F.struct("pos", "item_pos", F.col("item_tokens").alias("own"), "tokens", "slots")
     pairs = met.groupBy("doc_id", "text_hash", "item_id", "item_text_hash", "item_windows").agg(F.collect_set(match).alias("matches"))
@@ -281,7 +302,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns unchanged, that contain no benchmark item."""
-    found = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash"))
+    """The documents, all columns unchanged, that contain no benchmark item of five tokens or more.
+
+    Documents with NULL or empty texts stay. All rows that are equal in id and text go together. Items of fewer tokens remove
+    nothing: ``contamination`` reports them. An empty benchmark removes nothing; an empty table gives no rows.
+    """
+    found = leaks(docs, benchmark, id_col, text_col, short_items=False).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash"))
     same = docs[id_col].eqNullSafe(found["leak_id"]) & (F.xxhash64(docs[text_col]) == found["leak_hash"])
     return docs.join(found, same, "left_anti")

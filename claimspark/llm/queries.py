@@ -38,10 +38,11 @@ _BYTES = "||".join(f"chr({c})" for c in (*range(1, 9), 11, 12, *range(14, 32), 1
 
 OP1_SQL = f"""
   with lines as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
-  firsts as (select line, length(line) as n, min((doc_id, pos)) as place, translate(line, '{_LETTERS}', {_BYTES}) as flat from lines where length(line) >= 25 group by line),
+  firsts as (select line, length(line) as n, min((doc_id, pos)) as place, translate(line, '{_LETTERS}', {_BYTES}) as flat
+    from lines where not regexp_full_match(line, '[ \\x09-\\x0D]*') group by line),
   near as (select distinct b.line from (select *, unnest(range(n - 2, n + 3)) as m from firsts) a join firsts b on a.m = b.n and a.place < b.place
-    and levenshtein(a.flat, b.flat) <= 2),
-  kept as (select doc_id, pos, line from lines l where length(line) < 25
+    and levenshtein(a.flat, b.flat) <= least(2, greatest(a.n, b.n) // 5)),
+  kept as (select doc_id, pos, line from lines l where regexp_full_match(line, '[ \\x09-\\x0D]*')
     or ((doc_id, pos) = (select place from firsts f where f.line = l.line) and line not in (select line from near))),
   sums as (select doc_id, count(*) as n, string_agg(line, chr(10) order by pos) as body from kept group by doc_id)
   select d.doc_id, coalesce(len(string_split(text, chr(10))), 0) as n_lines, coalesce(len(string_split(text, chr(10))), 0) - coalesce(n, 0) as n_removed,

@@ -58,14 +58,17 @@ def brute(docs, items):
                 yield i, ("filled", *low), low, [bool(x) for x in k[i : i + 5]]
 
     bench = [(i, list(windows(t))) for i, t in items]
+    short = [(i, [x.lower() for x in tokens(t)]) for i, t in items if 0 < len(tokens(t)) < 5]
     out = {}
     for d, text in docs:
         own = list(windows(text))
+        lines = [[x.lower() for x in tokens(line)] for line in (text or "").split("\n")]
+        out.update({d: [i for i, ts in short if ts in lines]} if any(ts in lines for _, ts in short) else {})
         for i, theirs in bench:
             met = [{"item_pos": p, "own": low, "tokens": mine, "slots": s} for p, key, low, s in theirs for _, k2, mine, _ in own if key == k2]
             if theirs and met and dc.consistent_share(met, len(theirs)) >= 0.8:
                 out.setdefault(d, []).append(i)
-    return {d: sorted(v) for d, v in out.items()}
+    return {d: sorted(set(v)) for d, v in out.items()}
 
 
 def test_against_brute_force(make_docs, items):
@@ -83,9 +86,14 @@ def test_against_brute_force(make_docs, items):
             if i % 8 == 3:
                 item = item[: len(item) * 2 // 3]
             parts += [item, " ".join(word() for _ in range(rng.randint(0, 10)))]
-        docs.append((i, " ".join(parts)))
+        docs.append((i, rng.choice([" ", " ", "\n"]).join(parts)))
+    docs += [(300 + i, f"before it\n{t}\nand after") for i, t in bench if t]
     got = flagged(dc.contamination(make_docs(docs), items(bench)))
-    assert got == brute(docs, bench) and len(got) > 10
+    short = {i for i, t in bench if t and len(tokens(t)) < 5}
+    assert got == brute(docs, bench) and len(got) > 10 and any(short & set(v) for v in got.values())
+    long = [(i, t) for i, t in bench if i not in short]
+    gone = set(brute(docs, long))
+    assert {r["doc_id"] for r in dc.clean(make_docs(docs), items(bench)).collect()} == {d for d, _ in docs} - gone
 
 
 def test_without_the_broadcast_filter(make_docs, items, monkeypatch):

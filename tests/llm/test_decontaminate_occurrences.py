@@ -36,5 +36,15 @@ def test_verbatim_copies_in_other_letter_case(make_docs, items):  # noqa: F811
 
 
 def test_items_of_under_five_tokens(make_docs, items):  # noqa: F811
-    docs = [(1, "then name four odd Primes."), (2, "Name odd four primes"), (3, "PRIMES"), (4, "prime"), (5, None), (6, "name four odd")]
-    assert flagged(dc.contamination(make_docs(docs), items([(1, "Name four odd primes"), (2, "Primes?"), (3, "?!")]))) == {1: [1, 2], 2: [2], 3: [2]}
+    docs = [(1, "then\n Name four odd Primes.\nend"), (2, "Name odd four primes"), (3, "PRIMES"), (4, "prime"), (5, None), (6, "name four odd"), (7, "then name four odd primes")]
+    bench = items([(1, "Name four odd primes"), (2, "Primes?"), (3, "?!")])
+    assert flagged(dc.contamination(make_docs(docs), bench)) == {1: [1], 3: [2]}
+    assert dc.clean(make_docs(docs), bench).count() == 7
+
+
+def test_common_words_as_items_remove_nothing(make_docs, items):  # noqa: F811
+    docs = [(i, f"the document {i} of the many\nthe\nthat hold the common word") for i in range(200)] + [(900, PUZZLE), (901, PUZZLE)]
+    bench = items([(1, "the"), (2, "of the"), (7, PUZZLE)])
+    assert dc.clean(make_docs(docs), bench).count() == 200
+    found = flagged(dc.contamination(make_docs(docs), bench))
+    assert found[900] == [7] and all(found[i] == [1] for i in range(200))

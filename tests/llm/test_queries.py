@@ -24,5 +24,5 @@ def test_same_rows(spark, name):
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14))
     assert set(QUERIES) <= set(entry_point.queries()) and "pipeline" in entry_point.queries()
