@@ -1,22 +1,26 @@
-"""Claims extract: one wide row per service line (times ICD version, product and group)."""
+"""Claims extract: one wide row per service line (times ICD version, product and group).
+
+Lines, headers and codes are kept in buckets of the claim key, so they rank, group and join where they lie. Everything that a
+claim's lines have in common is put together once a claim: its variants, one for each ICD version, product and group. A line
+meets the variants of its claim, and its sequence number follows from the claim's start, its rank and the variant's number, so
+that only a row for each claim is sorted over the payer and LOB and the wide rows are never shuffled.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimspark.functions import codes
 from claimspark.functions.compat import keep_if_len, lpad_code, pad_if, typed_null
 from claimspark.functions.dates import as_date, los_days
-from claimspark.operators.aggregate import claim_span
-from claimspark.operators.joins import null_tolerant_join
 from claimspark.operators.project import stack
-from claimspark.operators.ranking import number_rows, rank_rows
-from claimspark.operators.reshape import dx_codes, dx_wide, primary_taxonomy, px_wide
-from claimspark.session import stored
+from claimspark.operators.ranking import rank_rows, running_starts
+from claimspark.operators.reshape import dx_wide, primary_taxonomy, px_wide
+from claimspark.session import bucketed, stored
 
 MEMBER_KEY = ["payer", "lob", "member_id"]
 CLAIM_KEY = [*MEMBER_KEY, "claim_id"]
@@ -33,6 +37,8 @@ LINE_ORDER = (
 )
 # -----------------------------------------------------------------------------
 
+# Tables with one or more rows for each claim.
+CLAIM_FACTS = ("fact_service", "claim_header", "fact_dxpx")
 # Tables filtered by payer and LOB; the crosswalks are shared by both families.
 FAMILY_TABLES = ("fact_service", "claim_header", "member", "fact_dxpx", "fact_member")
 
@@ -70,10 +76,26 @@ def member_facts(facts: DataFrame, category: str, shortdescr: str, out: str) ->
     return facts.where(hit).select(*MEMBER_KEY, F.col("fact").alias(out)).distinct()
 
 
-def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
-    """The extract over one family of source tables."""
-    lines = rank_claim_lines(src["fact_service"])
-    header = src["claim_header"].where(F.col("member_id") != codes.SENTINEL_MEMBER).select(
+def bucket_facts(family: Mapping[str, DataFrame], buckets: int | None = None, pairs: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The family with its claim facts in buckets of the claim key; for facts that the warehouse does not keep so itself.
+
+    With ``pairs`` only the facts of these (payer, LOB) are taken.
+    """
+    def chosen(name: str) -> DataFrame:
+        return family[name] if pairs is None else family[name].join(pairs.select("payer", "lob"), ["payer", "lob"], "left_semi")
+
+    return {**family, **{name: bucketed(chosen(name), CLAIM_KEY, name, buckets) for name in CLAIM_FACTS}}
+
+
+def claim_variants(src: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
+    """One row for each claim of ``lines`` and each ICD version, product and group that it has.
+
+    ``nth`` numbers a claim's variants and ``variants`` counts them; ``n_lines``, ``from_date`` and ``to_date`` are the claim's.
+    """
+    claims = lines.groupBy(*CLAIM_KEY).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("service_dt").alias("from_date"), F.max("service_dt").alias("to_date")
+    )
+    header = src["claim_header"].select(
         *CLAIM_KEY, "admit_date", "discharge_date", "paid_date", "drg", "drg_desc", "claim_type", "servicing_npi",
         "bill_code_ub", "ip_admit_type", "discharge_disposition", "paid_status", "tcc_paid",
     )
@@ -84,30 +106,40 @@ def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
         "milliman_specialty",
         F.substring("zip_code", 1, 5).alias("provider_zip"),
     )
-    # Rows stay narrow until they are numbered: the 90 code columns join last, per claim and version.
-    versions = dx_codes(src["fact_dxpx"], CLAIM_KEY).select(*CLAIM_KEY, "icd_version").distinct()
     joined = (
-        lines.join(header, CLAIM_KEY, "left")
-        .join(claim_span(src["fact_service"], CLAIM_KEY, "service_dt"), CLAIM_KEY, "left")
-        .join(versions, CLAIM_KEY, "left")
+        claims.join(header, CLAIM_KEY, "left")
+        .join(dx_wide(src["fact_dxpx"], CLAIM_KEY, SLOTS), CLAIM_KEY, "left")
+        .join(px_wide(src["fact_dxpx"], CLAIM_KEY, SLOTS), CLAIM_KEY, "left")
         .join(src["member"].select(*MEMBER_KEY, "dob", "gender", "zip"), MEMBER_KEY, "left")
         .join(member_facts(src["fact_member"], "Member Coverage", "Product", "product"), MEMBER_KEY, "left")
         .join(member_facts(src["fact_member"], "Group Identifiers", "Group Number", "group_id"), MEMBER_KEY, "left")
         .join(taxonomy, "servicing_npi", "left")
     )
-    order = [
-        F.col(c).asc_nulls_last()
-        for c in ("member_id", "claim_id", "rn", "icd_version", "product", "group_id")
-    ]
-    numbered = number_rows(joined, ["payer", "lob"], order, "sequencenumber")
-    keys = {k: k for k in (*CLAIM_KEY, "icd_version")}
-    coded = null_tolerant_join(numbered, claim_codes(src["fact_dxpx"]), keys, never_on_null=CLAIM_KEY)
-    return _extract_columns(coded, as_of)
+    claim = Window.partitionBy(*CLAIM_KEY)
+    order = [F.col(c).asc_nulls_last() for c in ("icd_version", "product", "group_id")]
+    return joined.withColumns({"nth": F.row_number().over(claim.orderBy(*order)), "variants": F.count(F.lit(1)).over(claim)})
+
 
+def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
+    """The extract over one family of source tables."""
+    lines = rank_claim_lines(src["fact_service"])
+    variants = bucketed(claim_variants(src, src["fact_service"].where(F.col("member_id") != codes.SENTINEL_MEMBER)), CLAIM_KEY, "claim_variants")
+    sizes = variants.where(F.col("nth") == 1).select(*CLAIM_KEY, (F.col("n_lines") * F.col("variants")).alias("size"))
+    order = [F.col(c).asc_nulls_last() for c in ("member_id", "claim_id")]
+    starts = bucketed(running_starts(sizes, ["payer", "lob"], order, "size", "start").drop("size"), CLAIM_KEY, "claim_starts")
+
+    def numbered(named: bool) -> DataFrame:
+        """Lines of claims with an id meet on the claim key; those without one are a claim of their member."""
+        key, has_id = (CLAIM_KEY, F.col("claim_id").isNotNull()) if named else (MEMBER_KEY, F.col("claim_id").isNull())
+        drop = [] if named else ["claim_id"]
+        return (
+            lines.where(has_id)
+            .join(variants.where(has_id).drop(*drop), key)
+            .join(starts.where(has_id).drop(*drop), key)
+            .withColumn("sequencenumber", F.col("start") + (F.col("rn") - 1) * F.col("variants") + F.col("nth"))
+        )
 
-def claim_codes(dxpx: DataFrame) -> DataFrame:
-    """Diagnosis and procedure slots per claim and ICD version; claims with procedures only have no version."""
-    return dx_wide(dxpx, CLAIM_KEY, SLOTS).join(px_wide(dxpx, CLAIM_KEY, SLOTS), CLAIM_KEY, "full")
+    return stack([_extract_columns(numbered(named), as_of) for named in (True, False)])
 
 
 def _extract_columns(df: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -194,22 +226,18 @@ def load_hcg(
     y_family: Mapping[str, DataFrame],
     as_of: dt.date | str,
 ) -> DataFrame:
-    """Control-driven load as one plan: every active (payer, LOB) at once, no driver loop."""
+    """Control-driven load as one plan: every active (payer, LOB) at once, no driver loop.
+
+    A (payer, LOB) is of one family, so the families' extracts are independent; if one set of tables serves both, it is read once.
+    """
     # written, so that Spark knows its size and the fact tables stay where they are
     active = stored(control_branches(control), "control")
-    x_keys = active.where(F.col("branch") != "B").select("payer", "lob")
-    y_keys = active.where(F.col("branch") == "B").select("payer", "lob")
-    all_keys = active.select("payer", "lob")
-
-    def pick(name: str) -> DataFrame:
-        if x_family[name] is y_family[name]:  # one table serves both families: read it once
-            return x_family[name].join(all_keys, ["payer", "lob"], "left_semi")
-        return stack(
-            [
-                x_family[name].join(x_keys, ["payer", "lob"], "left_semi"),
-                y_family[name].join(y_keys, ["payer", "lob"], "left_semi"),
-            ]
-        )
 
-    merged = {**x_family, **{name: pick(name) for name in FAMILY_TABLES}}
-    return hcg_claims(merged, as_of)
+    def extract(family: Mapping[str, DataFrame], chosen: DataFrame) -> DataFrame:
+        keys = chosen.select("payer", "lob")
+        return hcg_claims({**family, **{n: family[n].join(keys, ["payer", "lob"], "left_semi") for n in FAMILY_TABLES}}, as_of)
+
+    shared = {n: t for n, t in x_family.items() if n not in FAMILY_TABLES}
+    if all(x_family[n] is y_family[n] for n in FAMILY_TABLES):
+        return extract(x_family, active)
+    return stack([extract(x_family, active.where(F.col("branch") != "B")), extract({**y_family, **shared}, active.where(F.col("branch") == "B"))])

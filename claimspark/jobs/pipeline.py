@@ -1,18 +1,23 @@
-"""Loads end to end: each block writes its table, logs its run, and the next block reads the written table."""
+"""Loads end to end: each block writes its table, logs its run, and the next block reads the written table.
+
+Every table switches to its new rows in one step (``VersionedTable``), so a block that fails leaves the old rows readable.
+Intermediates are deleted at the end of each block. Source tables come as DataFrames; ``source_tables`` reads them from the
+legacy warehouse's files with empty texts as NULL.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspark.jobs import hcg, patient_seen, unified_member, visits
 from claimspark.jobs.publish import publish_copy
-from claimspark.session import stored
-from claimspark.sinks.load import JobLog, drop_partition, overwrite, overwrite_partitions
+from claimspark.session import scratch, stored
+from claimspark.sinks.load import JobLog
+from claimspark.sinks.versions import VersionedTable
 from claimspark.sources.tables import read_table
 
 CLAIMS_TARGET = "hcg_input_claims"
@@ -24,7 +29,20 @@ COPIES = {
 
 
 def _path(root: str, name: str) -> str:
-    return f"{root}/{name}.parquet"
+    return f"{root}/{name}"
+
+
+def source_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """Tables of the legacy warehouse, in which an empty text is NULL."""
+    return {name: read_table(spark, root, name, empty_as_null=True) for name in names}
+
+
+def read_loaded(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current version of a table that a block has loaded."""
+    rows = VersionedTable(spark, _path(root, name)).read()
+    if rows is None:
+        raise LookupError(f"{name} has not been loaded to {root}")
+    return rows
 
 
 def load_claims(
@@ -32,50 +50,69 @@ def load_claims(
 ) -> bool:
     """Replace the (payer, LOB) partitions named by the control table; all other partitions stay.
 
-    An active pair that now has no rows is emptied. Each pair is logged with its own count; a pair that fails is logged with
-    its error and keeps its old rows. True if all pairs were loaded. The pairs are a few rows of control data.
+    An active pair that now has no rows is emptied, in the same step. Each pair is logged with its own count; a pair that fails
+    is logged with its error and keeps its old rows. True if all pairs were loaded. The pairs are a few rows of control data.
     """
-    spark, path, cols = control.sparkSession, _path(root, CLAIMS_TARGET), ["payer", "srclob"]
+    spark = control.sparkSession
+    target = VersionedTable(spark, _path(root, CLAIMS_TARGET))
     pairs = [(r["payer"], r["lob"]) for r in hcg.control_branches(control).orderBy("payer", "lob").collect()]
 
     def write(chosen: DataFrame, named: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
-        result = stored(hcg.load_hcg(chosen, x_family, y_family, as_of), CLAIMS_TARGET)
-        counts = {(r["payer"], r["srclob"]): r["count"] for r in result.groupBy(*cols).count().collect()}
-        if counts:
-            overwrite_partitions(result, path, cols)
-        for payer, lob in set(named) - set(counts):
-            drop_partition(spark, path, {"payer": payer, "srclob": lob})
-        return counts
+        with scratch(spark):
+            active = stored(hcg.control_branches(chosen), "pairs")
+            x = hcg.bucket_facts(x_family, pairs=active)
+            y = x if y_family is x_family else hcg.bucket_facts(y_family, pairs=active)
+            return target.replace_partitions(hcg.load_hcg(chosen, x, y, as_of), ["payer", "srclob"], emptied=named)
 
     def write_one(pair: tuple[str, str]) -> int:
         chosen = control.where((F.col("payer") == pair[0]) & (F.col("lob") == pair[1]))
         return write(chosen, [pair]).get(pair, 0)
 
-    return all(log.run_pairs(CLAIMS_TARGET, pairs, lambda: write(control, pairs), write_one).values())
+    done = log.run_pairs(CLAIMS_TARGET, pairs, lambda: write(control, pairs), write_one)
+    target.vacuum()
+    return all(done.values())
+
+
+def claims_job(spark: SparkSession, sources: str, root: str, log_root: str, as_of: dt.date) -> bool:
+    """The claims load from the warehouse's files: ``x_`` and ``y_`` tables of both families, the crosswalks, and ``control``."""
+    shared = source_tables(spark, sources, ["nppes", "taxonomy_xwalk", "specialty_xwalk", "control"])
+    control = shared.pop("control")
+
+    def family(prefix: str) -> dict[str, DataFrame]:
+        tables = source_tables(spark, sources, [f"{prefix}{n}" for n in hcg.FAMILY_TABLES])
+        return {**{n.removeprefix(prefix): t for n, t in tables.items()}, **shared}
+
+    return load_claims(JobLog(spark, log_root, CLAIMS_TARGET), root, control, family("x_"), family("y_"), as_of)
 
 
 def load_members(log: JobLog, spark: SparkSession, root: str, t: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, bool]:
     """Visits, patient-seen tables, member report and their published copies; a failed block does not stop the next."""
     def table(name: str) -> DataFrame:
-        return read_table(spark, root, name)
+        return read_loaded(spark, root, name)
+
+    def overwrite(name: str, rows: DataFrame) -> int:
+        target = VersionedTable(spark, _path(root, name))
+        count = target.replace(rows)
+        target.vacuum()
+        return count
 
     def load_visits() -> int:
-        return overwrite(visits.unified_visits(t, as_of), _path(root, "unified_member_visits"))
+        return overwrite("unified_member_visits", visits.unified_visits(t, as_of))
 
     def load_legacy() -> int:
-        return overwrite(visits.legacy_visits(table("unified_member_visits")), _path(root, "legacy_member_visits"))
+        return overwrite("legacy_member_visits", visits.legacy_visits(table("unified_member_visits")))
 
     def load_seen() -> int:
-        return overwrite(patient_seen.patient_seen_all(table("unified_member_visits"), t, as_of), _path(root, "patient_seen_visits_all"))
+        return overwrite("patient_seen_visits_all", patient_seen.patient_seen_all(table("unified_member_visits"), t, as_of))
 
     def load_mart() -> int:
-        return overwrite(patient_seen.patient_seen_mart(table("patient_seen_visits_all"), t, as_of), _path(root, "patient_seen_visits_data_mart"))
+        return overwrite("patient_seen_visits_data_mart", patient_seen.patient_seen_mart(table("patient_seen_visits_all"), t, as_of))
 
     def load_report() -> int:
         # the bounds come from the previous report and are read before it is replaced
-        previous = _previous(spark, _path(root, "unified_member"))
+        previous = VersionedTable(spark, _path(root, "unified_member")).read()
         report = unified_member.member_reporting(t, table("legacy_member_visits"), as_of, previous)
-        return overwrite(report, _path(root, "unified_member"))
+        return overwrite("unified_member", report)
 
     blocks = {
         "unified_member_visits": load_visits,
@@ -86,16 +123,11 @@ def load_members(log: JobLog, spark: SparkSession, root: str, t: Mapping[str, Da
     }
     for target, (source, columns, unfilled) in COPIES.items():
         blocks[target] = lambda target=target, source=source, columns=columns, unfilled=unfilled: overwrite(
-            publish_copy(table(source), columns, unfilled), _path(root, target)
+            target, publish_copy(table(source), columns, unfilled)
         )
-    return {name: log.run(name, fn) for name, fn in blocks.items()}
 
+    def block(fn: Callable[[], int]) -> int:
+        with scratch(spark):
+            return fn()
 
-def _previous(spark: SparkSession, path: str) -> DataFrame | None:
-    """The last report, or None if there is none yet; any other trouble with it is an error."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as err:
-        if err.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return {name: log.run(name, lambda fn=fn: block(fn)) for name, fn in blocks.items()}

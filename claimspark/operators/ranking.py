@@ -5,7 +5,7 @@
 
 Full numbering cannot be pruned. ``rank_rows`` is a window, for keys that bound their rows.
 ``number_rows`` is for all other keys: it range-partitions on the whole sort key, numbers each
-range on its own and adds the row counts of the ranges before it.
+range on its own and adds the row counts of the ranges before it; ``running_starts`` does so for sums.
 """
 
 from __future__ import annotations
@@ -71,6 +71,32 @@ def number_rows(
     return numbered.withColumn(out, (F.col("_in") + F.col("_off")).cast("long")).select(*df.columns, out)
 
 
+def running_starts(
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column], size: str, out: str, partitions: int | None = None
+) -> DataFrame:
+    """The sum of ``size`` over all earlier rows of the group, with no group held by one task.
+
+    Like ``number_rows``: summed within ranges of the whole sort key, to which each range adds the sums of those before it.
+    Rows equal on the whole order are interchangeable.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    full_order = [*[F.col(g).asc() for g in groups], *order, F.col("_tie").asc()]
+    dealt = tagged.repartitionByRange(n, *full_order).withColumn("_part", F.spark_partition_id())
+    ranged = stored(dealt, "size-ranges")
+    totals = ranged.groupBy(*groups, "_part").agg(F.sum(size).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(g).alias(f"_g_{i}") for i, g in enumerate(groups)], F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    )
+    on = F.col("_part") == F.col("_p")
+    for i, g in enumerate(groups):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g_{i}"))
+    inside = Window.partitionBy("_part", *groups).orderBy(*order, F.col("_tie").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_in", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(stored(offsets, "offsets"), on, "left")
+    return summed.withColumn(out, (F.col("_in") + F.col("_off")).cast("long")).select(*df.columns, out)
+
+
 def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rn") -> DataFrame:
     """Rank of every row within its key, for keys that bound their rows, such as a claim. Others take ``number_rows``."""
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))

@@ -222,7 +222,7 @@ def _family(dom):
 
 @query("hcg_claims", _extract_sql(), **EXTRACT)
 def hcg_claims(dom):
-    family = _family(dom)
+    family = hcg.bucket_facts(_family(dom))
     return hcg.load_hcg(dom.control, family, family, AS_OF)
 
 

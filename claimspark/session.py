@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,8 +58,58 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[sc.applicationId]
 
 
+#: Database of bucketed intermediates; its folder is in the shared folder.
+SCRATCH = "claimspark_scratch"
+#: What the open ``scratch`` blocks have written, the innermost last: folders and tables.
+_scopes: list[list[tuple[str, str]]] = []
+
+
+def _noted(kind: str, what: str) -> None:
+    if _scopes:
+        _scopes[-1].append((kind, what))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """A small or reused intermediate as a written table, so that later plans know its size and prune its columns."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    _noted("folder", path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], label: str, buckets: int | None = None) -> DataFrame:
+    """The rows as a table in buckets of ``keys``, one file a bucket.
+
+    Tables with the same keys and number of buckets meet, group and rank on these keys (and any further ones) where they lie:
+    without a shuffle. ``buckets`` is the session's shuffle width unless given.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"create database if not exists {SCRATCH} location '{shared_folder(spark)}/{SCRATCH}'")
+    name = f"{SCRATCH}.{label}_{uuid.uuid4().hex}"
+    _noted("table", name)
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark knows; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediates written inside the block are deleted at its end, whether it succeeds or fails.
+
+    For jobs that end with a write: a DataFrame that leaves the block unread would lose what it reads.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for kind, what in _scopes.pop():
+            if kind == "table":
+                spark.sql(f"drop table if exists {what}")
+            else:
+                delete_folder(spark, what)

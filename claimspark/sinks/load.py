@@ -63,14 +63,6 @@ def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> int:
     return int(seen.get["n"])
 
 
-def drop_partition(spark: SparkSession, path: str, values: Mapping[str, str]) -> None:
-    """Remove one partition's files; nothing happens if there are none."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{k}={escape(v)}" for k, v in values.items())]))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def append(df: DataFrame, path: str) -> int:
     counted, seen = _counted(df)
     counted.write.mode("append").parquet(path)
@@ -102,11 +94,15 @@ class JobLog:
     def _head(self, table: str, payer: str, category: str, start: dt.datetime) -> tuple:
         return (table, payer, category, "N/A", start)
 
-    def _failed(self, head: tuple, err: Exception) -> None:
+    def _error(self, head: tuple, err: Exception) -> dt.datetime:
         table, payer, category, _, start = head
         now = self.clock()
         detail = "".join(traceback.format_exception(err))
         self._add(self.errors_path, ERROR_LOG, (table, payer, category, start, now, type(err).__name__, detail, now.date(), "N"))
+        return now
+
+    def _failed(self, head: tuple, err: Exception) -> None:
+        now = self._error(head, err)
         self._add(self.runs_path, RUN_LOG, (*head, now, None, now.date(), "Failed", now))
 
     def run(self, table: str, fn: Callable[[], int], payer: str = "ALL", raise_at_end: bool = False) -> bool:
@@ -137,15 +133,16 @@ class JobLog:
     ) -> dict[tuple[str, str], bool]:
         """One load of many (payer, LOB) pairs, logged pair by pair; the category of a row is its LOB.
 
-        All pairs are written by ``write_all``, which returns the rows of each. Only if that fails is each pair written
-        on its own, so that the bad one is found and the others are loaded.
+        All pairs are written by ``write_all``, which returns the rows of each. Only if that fails, which is logged as an
+        error of payer ``ALL``, is each pair written on its own, so that the bad one is found and the others are loaded.
         """
         start = self.clock()
         heads = {p: self._head(table, p[0], p[1], start) for p in pairs}
         self._add(self.runs_path, RUN_LOG, *((*h, None, None, None, None, start) for h in heads.values()))
         try:
             counts = write_all()
-        except Exception:  # noqa: BLE001  the pair at fault is found below and logged with its own error
+        except Exception as err:  # noqa: BLE001  the pair at fault is found below and logged with its own error
+            self._error(self._head(table, "ALL", self.category, start), err)
             return {p: self._one_pair(heads[p], p, write_one) for p in pairs}
         now = self.clock()
         self._add(self.runs_path, RUN_LOG, *((*heads[p], now, counts.get(p, 0), now.date(), "Completed", now) for p in pairs))

@@ -4,6 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from claimspark.jobs import drug_master, glp1, hcg, patient_seen, unified_member, visits
+from claimspark.operators import ranking, reshape
 from claimspark.plans.domain import Domain
 from claimspark.plans.q_visits import _tables
 
@@ -44,6 +45,48 @@ def test_sequence_numbers_are_those_of_a_window(spark):
         assert [x[1:] for x in got] == sorted(x[1:] for x in got)
 
 
+def test_lines_without_a_claim_id(spark):
+    dom = Domain(spark, "/root/testdata/sf0.001")
+    names = (*hcg.FAMILY_TABLES, "nppes", "taxonomy_xwalk", "specialty_xwalk")
+    src = {n: dom.table(n) for n in names}
+    nameless = F.when(F.pmod(F.xxhash64("claim_id"), F.lit(5)) > 0, c("claim_id"))
+    for n in hcg.CLAIM_FACTS:
+        src[n] = src[n].withColumn("claim_id", nameless)
+    rows = hcg.hcg_claims(hcg.bucket_facts(src, 3), "2024-01-20").select("payer", "srclob", "sequencenumber", "claimid", "memberid", "dob", "drg").collect()
+    lines = src["fact_service"].where(c("member_id") != "00000000000000000000")
+    assert {r["claimid"] is None for r in rows} == {True, False} and len(rows) >= lines.count()
+    assert all(r["drg"] is None for r in rows if r["claimid"] is None) and any(r["dob"] for r in rows if r["claimid"] is None)
+    groups = {}
+    for r in rows:
+        groups.setdefault((r["payer"], r["srclob"]), []).append((r["sequencenumber"], r["memberid"], r["claimid"] is None, r["claimid"] or ""))
+    for got in groups.values():
+        got.sort()
+        assert [x[0] for x in got] == list(range(1, len(got) + 1)) and [x[1:] for x in got] == sorted(x[1:] for x in got)
+
+
+def test_bucketed_facts_meet_without_a_shuffle(spark):
+    dom = Domain(spark, "/root/testdata/sf0.001")
+    names = (*hcg.FAMILY_TABLES, "nppes", "taxonomy_xwalk", "specialty_xwalk")
+    src = hcg.bucket_facts({n: dom.table(n) for n in names}, 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hcg.rank_claim_lines(src["fact_service"]).join(src["claim_header"], hcg.CLAIM_KEY, "left")
+        joined = joined.join(reshape.dx_wide(src["fact_dxpx"], hcg.CLAIM_KEY), hcg.CLAIM_KEY, "left").join(reshape.px_wide(src["fact_dxpx"], hcg.CLAIM_KEY), hcg.CLAIM_KEY, "left")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # nor does the extract itself move a row by the claim key
+    plan = hcg.hcg_claims(src, "2024-01-20")._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "claim_id" in line]
+
+
+def test_running_starts(spark):
+    rows = [(g, i, (7 * i) % 5) for g in ("a", "b", None) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, i int, n int")
+    out = ranking.running_starts(df, ["g"], [c("i").asc()], "n", "start", 6).collect()
+    assert {(r["g"], r["i"]): r["start"] for r in out} == {(g, i): sum((7 * k) % 5 for k in range(i)) for g, i, _ in rows}
+
+
 def test_control_picks_the_family(spark):
     dom = Domain(spark, "/root/testdata/sf0.001")
     names = (*hcg.FAMILY_TABLES, "nppes", "taxonomy_xwalk", "specialty_xwalk")

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,10 +7,12 @@ from pyspark.sql import functions as F
 from claimspark.jobs import hcg, pipeline
 from claimspark.plans.domain import Domain
 from claimspark.plans.q_visits import _tables
+from claimspark.session import bucketed, scratch, stored
 from claimspark.sinks.load import JobLog, append, overwrite, overwrite_partitions
+from claimspark.sinks.versions import VersionedTable
 from claimspark.sources.mappings import read_mappings
 from claimspark.sources.scripts import read_scripts
-from claimspark.sources.tables import read_table
+from claimspark.sources.tables import read_table, split_read
 
 
 def test_partition_replace_keeps_other_lobs(spark, tmp_path):
@@ -57,14 +60,14 @@ def test_claims_load_logs_each_pair_and_empties_one_without_rows(spark, tmp_path
     dom, family = _claims(spark)
     root, log = str(tmp_path / "out"), JobLog(spark, str(tmp_path / "log"), "HCG")
     assert pipeline.load_claims(log, root, dom.control, family, family, dt.date(2024, 1, 20))
-    target = spark.read.parquet(f"{root}/hcg_input_claims.parquet")
+    target = pipeline.read_loaded(spark, root, "hcg_input_claims")
     counts = {(r["payer"], r["srclob"]): r["count"] for r in target.groupBy("payer", "srclob").count().collect()}
     logged = {(r["payer"], r["category"]): r["record_count"] for r in log.state().collect()}
     assert counts and counts == {k: v for k, v in logged.items() if v}
     (payer, lob), *_ = counts
     gone = family["fact_service"].where(~((F.col("payer") == payer) & (F.col("lob") == lob)))
     assert pipeline.load_claims(log, root, dom.control, {**family, "fact_service": gone}, {**family, "fact_service": gone}, dt.date(2024, 1, 21))
-    left = {(r["payer"], r["srclob"]) for r in spark.read.parquet(f"{root}/hcg_input_claims.parquet").select("payer", "srclob").distinct().collect()}
+    left = {(r["payer"], r["srclob"]) for r in pipeline.read_loaded(spark, root, "hcg_input_claims").select("payer", "srclob").distinct().collect()}
     assert left == set(counts) - {(payer, lob)}
 
 
@@ -79,8 +82,92 @@ def test_claims_load_isolates_a_failing_pair(spark, tmp_path):
     assert not pipeline.load_claims(log, root, control, {**family, "fact_service": broken}, {**family, "fact_service": broken}, dt.date(2024, 1, 20))
     state = {(r["payer"], r["category"]): r["status"] for r in log.state().collect()}
     assert state == {p: "Failed" if p == bad else "Completed" for p in pairs}
-    (error,) = spark.read.parquet(log.errors_path).collect()
-    assert (error["payer"], error["category"]) == bad and "bad row" in error["error_msg"]
+    errors = {(e["payer"], e["category"]): e["error_msg"] for e in spark.read.parquet(log.errors_path).collect()}
+    assert set(errors) == {("ALL", "HCG"), bad} and all("bad row" in e for e in errors.values())
+    loaded = pipeline.read_loaded(spark, root, "hcg_input_claims").select("payer", "srclob").distinct().collect()
+    assert {tuple(r) for r in loaded} == set(pairs) - {bad}
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_load_that_stops_before_the_switch_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    dom, family = _claims(spark)
+    root, log = str(tmp_path / "out"), JobLog(spark, str(tmp_path / "log"), "HCG")
+    assert pipeline.load_claims(log, root, dom.control, family, family, dt.date(2024, 1, 20))
+    before = sorted(map(str, pipeline.read_loaded(spark, root, "hcg_input_claims").collect()))
+    switch = VersionedTable._switch
+
+    def stop(self, *a):
+        raise Stopped("between write and switch")
+
+    monkeypatch.setattr(VersionedTable, "_switch", stop)
+    fewer = {**family, "fact_service": family["fact_service"].where("payer = 'REACH'")}
+    assert not pipeline.load_claims(log, root, dom.control, fewer, fewer, dt.date(2024, 1, 21))
+    assert sorted(map(str, pipeline.read_loaded(spark, root, "hcg_input_claims").collect())) == before
+    monkeypatch.setattr(VersionedTable, "_switch", switch)
+    assert pipeline.load_claims(log, root, dom.control, fewer, fewer, dt.date(2024, 1, 22))
+    after = pipeline.read_loaded(spark, root, "hcg_input_claims")
+    assert {r["payer"] for r in after.select("payer").distinct().collect()} == {"REACH"}
+    # what the stopped load had written is gone too
+    held = {r["_load"] for r in spark.read.option("basePath", f"{root}/hcg_input_claims/data").parquet(f"{root}/hcg_input_claims/data").select("_load").distinct().collect()}
+    assert len(held) == 1
+
+
+def test_versioned_table(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.read() is None and table.version() == 0 and table.vacuum() == 0
+    schema = "payer string, v int, lob string"
+    first = spark.createDataFrame([("1199", 1, "MA"), ("p", 2, "MA"), ("p", 3, None), ("q/é", 4, "x=y")], schema)
+    assert table.replace_partitions(first, ["payer", "lob"]) == {("1199", "MA"): 1, ("p", "MA"): 1, ("p", None): 1, ("q/é", "x=y"): 1}
+    old = table.read()
+    assert old.columns == ["v", "payer", "lob"]
+    assert table.replace_partitions(spark.createDataFrame([("p", 9, "MA"), ("p", 8, "MA")], schema), ["payer", "lob"], emptied=[("1199", "MA"), ("p", "MA"), ("no", "x")]) == {("p", "MA"): 2}
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    assert rows(table.read()) == sorted([(9, "p", "MA"), (8, "p", "MA"), (3, "p", None), (4, "q/é", "x=y")], key=str)
+    assert len(rows(old)) == 4 and table.version() == 2 and table.counts()[("p", "MA")] == 2
+    assert table.vacuum() == 0  # the first load still holds two partitions
+    assert table.replace_partitions(first.where("false"), ["payer", "lob"], emptied=list(table.counts())) == {}
+    assert table.read().collect() == [] and table.vacuum() == 3
+    with pytest.raises(ValueError):
+        table.replace_partitions(first.withColumn("more", F.lit(1)), ["payer", "lob"])
+    whole = VersionedTable(spark, str(tmp_path / "w"))
+    assert whole.replace(spark.range(7)) == 7 and whole.replace(spark.range(2)) == 2
+    assert whole.read().count() == 2 and whole.vacuum() == 1 and whole.read().count() == 2
+
+
+def test_empty_codes_of_the_warehouse_are_null(spark, tmp_path):
+    dom, family = _claims(spark)
+    sources = str(tmp_path / "in")
+    texts = {"fact_service": ["revenue_code", "cpt_modifier1"], "claim_header": ["drg", "servicing_npi"]}
+    for name, table in family.items():
+        for c in texts.get(name, []):
+            table = table.withColumn(c, F.coalesce(c, F.lit("")))
+        for prefix in ("x_", "y_") if name in hcg.FAMILY_TABLES else ("",):
+            table.write.parquet(f"{sources}/{prefix}{name}.parquet")
+    dom.control.write.parquet(f"{sources}/control.parquet")
+    assert pipeline.claims_job(spark, sources, str(tmp_path / "out"), str(tmp_path / "log"), dt.date(2024, 1, 20))
+    got = pipeline.read_loaded(spark, str(tmp_path / "out"), "hcg_input_claims")
+    assert got.where("revcode = '0000' or modifier = '' or drg = '0000' or providerid = ''").count() == 0
+    plain = hcg.load_hcg(dom.control, family, family, dt.date(2024, 1, 20))
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in ("revcode", "modifier", "drg", "providerid")]
+    assert got.agg(*nulls).first() == plain.agg(*nulls).first() and min(got.agg(*nulls).first()) > 0
+
+
+def test_split_read():
+    assert split_read("id", 1, 10, 500) == {} and split_read("id", 5, 5, 10**9) == {}
+    assert split_read("id", 1, 10**8, 5_000_001) == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "100000001", "numPartitions": "6"}
+
+
+def test_intermediates_are_deleted(spark):
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    with scratch(spark):
+        kept = bucketed(spark.range(100).withColumn("k", F.col("id") % 7), ["k"], "b").groupBy("k").count().count()
+        path = stored(spark.range(3), "s").inputFiles()[0]
+        assert kept == 7 and path
+        inside = {f for d in (shared, f"{shared}/claimspark_scratch") for f in os.listdir(d)}
+    assert not {f for d in (shared, f"{shared}/claimspark_scratch") for f in os.listdir(d) if f.startswith(("b_", "s-"))} and {f[:2] for f in inside} >= {"b_", "s-"}
 
 
 def test_member_pipeline_end_to_end(spark, tmp_path):
@@ -89,7 +176,7 @@ def test_member_pipeline_end_to_end(spark, tmp_path):
     done = pipeline.load_members(log, spark, root, _tables(Domain(spark, "/root/testdata/sf0.001")), dt.date(2024, 1, 20))
     assert all(done.values()) and len(done) == 8
     counts = {r["table_name"]: r["record_count"] for r in log.state().collect()}
-    assert counts["unified_member_visits"] == counts["x_unified_member_visits"] == read_table(spark, root, "x_unified_member_visits").count()
+    assert counts["unified_member_visits"] == counts["x_unified_member_visits"] == pipeline.read_loaded(spark, root, "x_unified_member_visits").count()
     assert counts["patient_seen_visits_data_mart"] > 0 and counts["unified_member"] > 0
 
 
