@@ -55,6 +55,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+        pa.default_memory_pool().release_unused()  # workers serve other operators after this one
 
     return df.mapInArrow(run, schema)
 

@@ -177,6 +177,8 @@ def _window_table(rows: DataFrame, only=None, whole: bool = False, lines: bool =
                     part = []
             if part:
                 yield packed(batch, part)
+        _coded.clear()  # workers serve other operators after this one
+        pa.default_memory_pool().release_unused()
 
     def packed(batch: pa.RecordBatch, part: list[tuple]) -> pa.RecordBatch:
         row, pos, h, tokens, slots, windows = zip(*part)
