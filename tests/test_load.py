@@ -95,7 +95,8 @@ class Stopped(Exception):
 def test_load_that_stops_before_the_switch_leaves_the_old_version(spark, tmp_path, monkeypatch):
     dom, family = _claims(spark)
     root, log = str(tmp_path / "out"), JobLog(spark, str(tmp_path / "log"), "HCG")
-    assert pipeline.load_claims(log, root, dom.control, family, family, dt.date(2024, 1, 20))
+    control = dom.control.where("lob = 'Medicaid' and payer in ('REACH', 'HNACO')")
+    assert pipeline.load_claims(log, root, control, family, family, dt.date(2024, 1, 20))
     before = sorted(map(str, pipeline.read_loaded(spark, root, "hcg_input_claims").collect()))
     switch = VersionedTable._switch
 
@@ -104,10 +105,10 @@ def test_load_that_stops_before_the_switch_leaves_the_old_version(spark, tmp_pat
 
     monkeypatch.setattr(VersionedTable, "_switch", stop)
     fewer = {**family, "fact_service": family["fact_service"].where("payer = 'REACH'")}
-    assert not pipeline.load_claims(log, root, dom.control, fewer, fewer, dt.date(2024, 1, 21))
+    assert not pipeline.load_claims(log, root, control, fewer, fewer, dt.date(2024, 1, 21))
     assert sorted(map(str, pipeline.read_loaded(spark, root, "hcg_input_claims").collect())) == before
     monkeypatch.setattr(VersionedTable, "_switch", switch)
-    assert pipeline.load_claims(log, root, dom.control, fewer, fewer, dt.date(2024, 1, 22))
+    assert pipeline.load_claims(log, root, control, fewer, fewer, dt.date(2024, 1, 22))
     after = pipeline.read_loaded(spark, root, "hcg_input_claims")
     assert {r["payer"] for r in after.select("payer").distinct().collect()} == {"REACH"}
     # what the stopped load had written is gone too
