@@ -13,7 +13,6 @@ from claimspark.functions.compat import is_flag, to_id, typed_null
 from claimspark.functions.dates import as_date
 from claimspark.jobs.visits import VISIT_COLS
 from claimspark.operators.joins import join_role, semi_filter, spread_nulls
-from claimspark.operators.project import stack
 from claimspark.operators.ranking import keep_best, keep_first, latest_by
 
 # --- fixed values -----------------------------------------------------------
@@ -120,16 +119,9 @@ def _finish(df: DataFrame, as_of: dt.date | str) -> DataFrame:
     return out.select(*SEEN_COLS)
 
 
-def patient_seen_all(visits: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
-    """Appointments with encounter detail, scheduling rows without, claims with procedure detail."""
+def claim_detail(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Professional and outpatient claims at the listed places, with their procedures."""
     c = F.col
-    rows = linkable(visits)
-    access = rows.where(c("source") == MV).join(encounter_detail(t), to_id(c("encounter_id")) == c("_enc_id"), "left")
-    # visits without an encounter have no checks, but the conjunction is 0 for them
-    access = access.withColumn("pc_visit_all_match_yn", F.coalesce("pc_visit_all_match_yn", F.lit(0)))
-    ryan = rows.where((c("source") == RYAN) & c("visit_status_type").isin("SCHEDULED", "ARRIVED")).withColumns(
-        {**{n: typed_null("string") for n in DETAIL_TEXT}, **{n: typed_null("int") for n in CHECK_COLS}}
-    )
     header = semi_filter(
         t["claim_header"].where(
             (c("include_flag") == "Y")
@@ -140,28 +132,50 @@ def patient_seen_all(visits: DataFrame, t: Mapping[str, DataFrame], as_of: dt.da
         {"claim_place_of_service": "claim_place_of_service"},
     ).select("payer", "lob", "member_id", "claim_id", c("claim_place_of_service").alias("enc_type_pos"))
     codes = claim_procedure(t["fact_service"], t["excluded_list"], t["los_list"])
-    coded = header.join(
+    return header.join(
         codes.select("payer", "lob", "member_id", "claim_id", c("service_code").alias("proc_code"), "proc_code_desc", "excl_code"),
         ["payer", "lob", "member_id", "claim_id"],
         "left",
-    ).withColumnRenamed("claim_id", "encounter_id")
-    not_excluded = is_flag(c("excl_code").isNull())
-    made = {
+    )
+
+
+def patient_seen_all(visits: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
+    """Appointments with encounter detail, scheduling rows without, claims with procedure detail.
+
+    One pass over the visits: each row looks up the detail of its own source only, by a key that is spread for all others.
+    """
+    c = F.col
+    of_mv, of_claims = c("source") == MV, c("source") == CLAIMS
+    of_ryan = (c("source") == RYAN) & c("visit_status_type").isin("SCHEDULED", "ARRIVED")
+    rows = linkable(visits).where(of_mv | of_ryan | of_claims)
+    detail = encounter_detail(t)
+    detail = detail.select(c("_enc_id").cast("string").alias("_enc_id"), *[c(n).alias(f"_e_{n}") for n in (*DETAIL_TEXT, *CHECK_COLS)])
+    coded = claim_detail(t)
+    coded = coded.select(*[c(n).alias(f"_c_{n}") for n in coded.columns])
+    encounter = spread_nulls(F.when(of_mv, to_id(c("encounter_id")).cast("string")), c("encounter_id"))
+    claim = spread_nulls(F.when(of_claims, c("encounter_id")), c("encounter_id"))
+    same_claim = claim == c("_c_claim_id")
+    for name in ("payer", "lob", "member_id"):
+        same_claim = same_claim & (c(name) == c(f"_c_{name}"))
+    joined = rows.join(detail, encounter == c("_enc_id"), "left").join(coded, same_claim, "left")
+    not_excluded = is_flag(c("_c_excl_code").isNull())
+    # visits without an encounter have no checks, but the conjunction is 0 for them
+    encounters = {n: c(f"_e_{n}") for n in (*DETAIL_TEXT, *CHECK_COLS)}
+    encounters["pc_visit_all_match_yn"] = F.coalesce("_e_pc_visit_all_match_yn", F.lit(0))
+    claims = {
+        **{n: c(f"_c_{n}") for n in ("enc_type_pos", "proc_code", "proc_code_desc")},
         "appt_status": F.lit("Completed"),
         "enc_closed_yn": F.lit("Y"),
         "pc_visit_cmplt_close_yn": F.lit(1),
         "pc_visit_los_code_yn": not_excluded,
-        "pc_visit_prov_type_yn": typed_null("int"),
-        "pc_visit_grouper_yn": typed_null("int"),
         "pc_visit_all_match_yn": not_excluded,
     }
-    absent = {n: typed_null("string") for n in DETAIL_TEXT if n not in ("enc_type_pos", "proc_code", "proc_code_desc") and n not in made}
-    claims = (
-        rows.where(c("source") == CLAIMS)
-        .join(coded, ["payer", "lob", "member_id", "encounter_id"], "left")
-        .withColumns({**made, **absent})
-    )
-    return stack([_finish(df, as_of) for df in (access, ryan, claims)])
+
+    def value(name: str) -> Column:
+        own = F.when(of_mv, encounters[name])
+        return own.when(of_claims, claims[name]) if name in claims else own
+
+    return _finish(joined.withColumns({n: value(n) for n in encounters}), as_of)
 
 
 def attributed_match(practice: Column, pod: Column, npi: Column) -> Column:

@@ -383,19 +383,99 @@ def _work_refs(dom):
     return dom.column_refs.withColumn("schema_name", schema)
 
 
-@query("resolve_mappings")
+def _best(pairs: str, key: str, cutoff: float, name: str = "") -> str:
+    """CTEs that end in ``best``: the best name of each word of ``pairs`` (key, word, name), with the ratio worked out block by block.
+
+    A row of ``blocks`` is a stretch of the name and one of the word that are still to be compared, and the size of the block
+    that was taken out between them. Blocks are looked for from the largest size down and from the front. Braces are doubled:
+    the domain's SQL names its tables in single ones.
+    """
+    block = """list_filter(flatten(list_transform(range(least(length(a), length(b)), 0, -1),
+        lambda k: list_transform(range(1, length(a) - k + 2), lambda i: {{'k': k, 'i': i}}))), lambda x: contains(b, substr(a, x.i, x.k)))[1]"""
+    return f"""
+      {name}pairs as ({pairs}),
+      {name}near as (select * from {name}pairs where 2.0 * least(length(word), length(name)) / (length(word) + length(name)) >= {cutoff}),
+      {name}blocks as (
+        select {key}, word, name, name as a, word as b, 0::bigint as m from {name}near
+        union all
+        select {key}, word, name, side.a, side.b, side.m from (
+          select {key}, word, name, unnest([
+            {{{{'a': substr(a, 1, x.i - 1), 'b': substr(b, 1, strpos(b, substr(a, x.i, x.k)) - 1), 'm': x.k::bigint}}}},
+            {{{{'a': substr(a, x.i + x.k), 'b': substr(b, strpos(b, substr(a, x.i, x.k)) + x.k), 'm': 0::bigint}}}}]) as side
+          from (select {key}, word, name, a, b, {block} as x from {name}blocks where a <> '' and b <> '') where x is not null)),
+      {name}scores as (select {key}, word, name, 2.0 * sum(m)::double / (length(word) + length(name)) as score from {name}blocks group by {key}, word, name),
+      {name}best as (select {key}, word, (max({{{{'score': score, 'name': name}}}})).name as match from {name}scores where score >= {cutoff} group by {key}, word)"""
+
+
+_TABLE_PAIRS = "select 1 as one, word, name from (WORDS), (select distinct lower(source_table) as name from {mapping})"
+
+RESOLVED = f"""
+  select * from (with recursive
+    refs as (select if(table_name ^@ 'tmp_', '', schema_name) as schema_name, table_name, column_name from {{column_refs}}),
+    kept as (select * from refs where not (lower(schema_name) in ('work', '') and length(table_name) = 5 and table_name ^@ 'tmp_')),
+    maps as (select lower(source_schema) as map_schema, lower(source_table) as map_table, arg_min(target_schema, pos) as target_schema, arg_min(target_table, pos) as target_table
+      from {{mapping}} group by 1, 2),
+    wanted as (select distinct schema_name, table_name from kept),
+    exact as (select w.*, m.* from wanted w left join maps m on lower(schema_name) = map_schema and lower(table_name) = map_table),
+    {_best(_TABLE_PAIRS.replace("WORDS", "select distinct lower(table_name) as word from exact where target_table is null"), "one", 0.6)},
+    smallest as (select match, min(map_schema) as map_schema from best join maps on map_table = match group by match),
+    found as (
+      select *, 'exact' as how from exact where target_table is not null
+      union all
+      select schema_name, table_name, m.map_schema, b.match, m.target_schema, m.target_table, if(b.match is null, 'unresolved', 'fuzzy')
+      from (select schema_name, table_name from exact where target_table is null) left join best b on b.word = lower(table_name)
+        left join smallest s on s.match = b.match left join maps m on m.map_schema = s.map_schema and m.map_table = s.match),
+    cols as (select lower(source_schema) as map_schema, lower(source_table) as map_table, lower(source_column) as map_column, arg_max(target_column, pos) as target_column
+      from {{mapping}} group by 1, 2, 3),
+    rows as (select k.*, f.map_schema, f.map_table, f.target_schema, f.target_table, f.how, lower(k.column_name) as map_column, c.target_column
+      from kept k join found f on f.schema_name = k.schema_name and f.table_name = k.table_name
+      left join cols c on c.map_schema = f.map_schema and c.map_table = f.map_table and c.map_column = lower(k.column_name)),
+    {_best('''select distinct r.map_schema, r.map_table, r.map_column as word, c.map_column as name from rows r
+        join cols c on c.map_schema = r.map_schema and c.map_table = r.map_table where r.target_column is null''', "map_schema, map_table", 0.7, "column_")}
+    select schema_name, table_name, column_name, coalesce(r.target_schema, schema_name) as target_schema, coalesce(r.target_table, table_name) as target_table,
+      case when r.map_table is null then column_name else coalesce(r.target_column, c.target_column) end as target_column, how,
+      case when r.target_column is not null then 'exact' when r.map_table is null then 'kept' when c.target_column is null then 'unresolved' else 'fuzzy' end as column_how,
+      r.map_table, if(r.target_column is not null, r.map_column, b.match) as map_match
+    from rows r left join column_best b on b.map_schema = r.map_schema and b.map_table = r.map_table and b.word = r.map_column and r.target_column is null
+      left join cols c on c.map_schema = b.map_schema and c.map_table = b.map_table and c.map_column = b.match
+    union all
+    select schema_name, table_name, column_name, null, null, null, 'skipped', 'skipped', null, null from refs
+    where lower(schema_name) in ('work', '') and length(table_name) = 5 and table_name ^@ 'tmp_')"""
+
+
+@query("resolve_mappings", RESOLVED)
 def resolve_mappings(dom):
     return mapping_job.resolve_mappings(_work_refs(dom), _intermediates(dom), dom.mapping)
 
 
-@query("resolution_report")
+@query(
+    "resolution_report",
+    """select schema_name, table_name, target_schema, target_table, how,
+         coalesce(string_agg(column_name || '=' || target_column, ',' order by column_name, target_column)
+           filter (where column_how in ('exact', 'fuzzy', 'kept')), '') as column_mappings,
+         coalesce(string_agg(column_name, ',' order by column_name) filter (where column_how = 'unresolved'), '') as unresolved_columns
+       from (select distinct schema_name, table_name, target_schema, target_table, how, column_name, target_column, column_how from {resolved})
+       group by 1, 2, 3, 4, 5""",
+    resolved=RESOLVED,
+)
 def resolution_report(dom):
     report = mapping_job.report_by_table(resolve_mappings(dom))
     pairs = F.transform(F.array_sort(F.map_entries("column_mappings")), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return report.withColumns({"column_mappings": F.array_join(pairs, ","), "unresolved_columns": F.array_join("unresolved_columns", ",")})
 
 
-@query("resolution_notes")
+DOTTED = "if(schema_name <> '', schema_name || '.' || table_name, table_name)"
+
+
+@query(
+    "resolution_notes",
+    f"""select 'warning' as kind, 'Fuzzy matched table ''' || table_name || ''' -> ''' || map_table || '''' as note from {{resolved}} where how = 'fuzzy'
+        union select 'warning', 'Fuzzy matched column ''' || column_name || ''' -> ''' || map_match || ''' in ' || table_name from {{resolved}} where column_how = 'fuzzy'
+        union select 'unresolved_table', {DOTTED} from {{resolved}} where how = 'unresolved'
+        union select 'warning', 'Some objects were not mapped explicitly. Original Oracle object names are retained for those objects.' from {{resolved}} where how = 'unresolved'
+        union select 'skipped_table', {DOTTED} from {{resolved}} where how = 'skipped'""",
+    resolved=RESOLVED,
+)
 def resolution_notes(dom):
     return mapping_job.resolution_notes(resolve_mappings(dom))
 
@@ -412,12 +492,25 @@ def _dictionary(dom):
     return dom.mapping.select("source_table").distinct()
 
 
-@query("fuzzy_match")
+@query(
+    "fuzzy_match",
+    f"""select * from (with recursive {_best(_TABLE_PAIRS.replace("WORDS", "select distinct lower(table_name) as word from {column_refs}"), "one", 0.6)}
+        select table_name, match from (select distinct table_name from {{column_refs}}) left join best on word = lower(table_name))""",
+)
 def fuzzy_match(dom):
     return matching.fuzzy_match(dom.column_refs.select("table_name").distinct(), "table_name", _dictionary(dom), "source_table", 0.6)
 
 
-@query("fuzzy_match_joined")
+_COLUMN_PAIRS = """select distinct r.t, lower(r.column_name) as word, m.name from (select distinct lower(table_name) as t, column_name from {column_refs}) r
+    join (select distinct lower(source_table) as t, lower(source_column) as name from {mapping}) m on m.t = r.t"""
+
+
+@query(
+    "fuzzy_match_joined",
+    f"""select * from (with recursive {_best(_COLUMN_PAIRS, "t", 0.7)}
+        select r."table", column_name, match from (select distinct lower(table_name) as "table", column_name from {{column_refs}}) r
+        left join best on best.t = r."table" and word = lower(column_name))""",
+)
 def fuzzy_match_joined(dom):
     """Column names against those of one source table each."""
     key = F.lower("table_name").alias("table")

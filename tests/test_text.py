@@ -111,6 +111,29 @@ def test_fuzzy_match_within_groups_scores_few_pairs(spark):
         assert got[i % 2, w] == (want[0] if want else None)
     pairs = matching.candidate_pairs(left.selectExpr("g", "w as word"), right.selectExpr("g", "n as name"), 0.7, ["g"])
     assert pairs.count() == pairs.distinct().count() < 0.1 * len(words) * len(names)
+    assert matching.scored_pairs(pairs, ["g"]).count() < 0.02 * len(words) * len(names)
+
+
+def test_blocks_equal_the_library(spark):
+    rng = random.Random(7)
+    text = lambda k, n: "".join(rng.choice(k) for _ in range(rng.randint(0, n)))
+    pairs = [(text("ab", 9), text("ab", 9)) for _ in range(400)] + [(text("abcdeé_", 40), text("abcdeé_", 40)) for _ in range(400)]
+    pairs += [("", ""), ("a", ""), ("x" * 300, "x" * 250 + "y"), (text("abc ", 260), text("abc ", 260) + "a" * 200)]
+    want = [sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()) for a, b in pairs]
+    assert matching.matched_characters([a for a, _ in pairs], [b for _, b in pairs]).tolist() == want
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r["s"] for r in df.select(matching.gestalt_ratio("a", "b").alias("s")).collect()]
+    assert got == [SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+
+
+def test_short_names(spark):
+    words = ["a", "b", "ab", "ba", "aa", "abc", "é", ""]
+    left = spark.createDataFrame([(w,) for w in words], "w string")
+    for cutoff in (0.5, 0.6, 0.9):
+        for r in matching.fuzzy_match(left, "w", left.withColumnRenamed("w", "n"), "n", cutoff).collect():
+            scores = [(SequenceMatcher(None, n, r["w"]).ratio(), n) for n in words if r["w"] and n]
+            best = max((s for s in scores if s[0] >= cutoff), default=None)
+            assert r["match"] == (best[1] if best else None), (r["w"], cutoff)
 
 
 def test_gestalt_ratio(spark):
