@@ -21,6 +21,8 @@ from claimspark.sinks.versions import VersionedTable
 from claimspark.sources.tables import read_table
 
 CLAIMS_TARGET = "hcg_input_claims"
+#: Member tables are laid out by member, as their readers look for one.
+LAYOUT = ("member_id",)
 COPIES = {
     "x_unified_member_visits": ("unified_member_visits", visits.VISIT_COLS, {}),
     "x_patient_seen_visits_all": ("patient_seen_visits_all", patient_seen.SEEN_COLS, {}),
@@ -92,7 +94,7 @@ def load_members(log: JobLog, spark: SparkSession, root: str, t: Mapping[str, Da
 
     def overwrite(name: str, rows: DataFrame) -> int:
         target = VersionedTable(spark, _path(root, name))
-        count = target.replace(rows)
+        count = target.replace(rows, LAYOUT)
         target.vacuum()
         return count
 

@@ -117,12 +117,16 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)\A\s+|\s+\z", "")
 
 
-def _strip_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], kind: str, preview: int | None) -> DataFrame:
-    """Flag and remove each pattern in turn, each on the text the one before left; removed blocks are kept whole."""
+def _strip_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], kind: str, preview: int | None, where: Column | None = None) -> DataFrame:
+    """Flag and remove each pattern in turn, each on the text the one before left; removed blocks are kept whole.
+
+    With ``where`` only the scripts that it holds for are looked at.
+    """
+    chosen = F.lit(True) if where is None else where
     for pattern, label in patterns:
         rx = java_flags(pattern)
         needle = NEEDLES.get(label)
-        present = F.lower("clean").contains(needle) if needle else F.lit(True)
+        present = chosen & F.lower("clean").contains(needle) if needle else chosen
         hits = F.when(present, F.regexp_extract_all("clean", F.lit(rx), F.lit(0))).otherwise(F.array().cast("array<string>"))
         if preview is None:
             made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(m)))
@@ -254,13 +258,21 @@ def _firsts(names: Column) -> Column:
 
 
 def script_catalog(scripts: DataFrame) -> DataFrame:
-    """One row per script: clean text, flags, tables written and read, and lint hits, each text read once.
+    """One row per script: clean text, flags, tables written and read, lint hits and dangling references, each text read once.
 
-    Tables come from the clean text, as ``schema.table`` in order of first mention; lint from the text as given, as
-    ``line:rule``. Everything stays on the script's row, so the scripts are dealt out once and not grouped again.
+    The corpus may mix dialects: a column ``kind`` says ``plsql`` (as does NULL, or no such column), ``sas``, or another name for
+    scripts that need no cleaning, such as models. Tables come from the clean text, as ``schema.table`` in order of first
+    mention; lint from the text as given, as ``line:rule``. ``missing`` has the models that a script refers to and that no
+    script of the corpus is named as. All but these stays on the script's row, so the scripts are dealt out once.
     """
-    df = _strip_patterns(_start(scripts), PLSQL_WRAPPERS, "WRAPPER", None)
-    df = df.withColumn("clean", strip(F.regexp_replace("clean", r"\n{3,}", "\n\n")))
+    kind = F.coalesce(F.lower("kind"), F.lit("plsql")) if "kind" in scripts.columns else F.lit("plsql")
+    df = _start(scripts.select("script", "text", kind.alias("kind")))
+    df = _strip_patterns(df, PLSQL_WRAPPERS, "WRAPPER", None, F.col("kind") == "plsql")
+    sas = F.col("kind") == "sas"
+    df = _strip_patterns(df, SAS_INGESTION, "INGESTION", PREVIEW_CHARS, sas)
+    df = _strip_patterns(df, SAS_REPORTING, "REPORTING", PREVIEW_CHARS, sas)
+    bare = F.when(sas, F.regexp_replace("clean", java_flags(BLOCK_COMMENT), "")).otherwise(F.col("clean"))
+    df = df.withColumn("clean", strip(F.regexp_replace(bare, r"\n{3,}", "\n\n")))
     df = df.withColumns({"_to": _distinct_names(TARGET_PATTERNS, "clean", True), "_from": _distinct_names(SOURCE_PATTERNS, "clean", False)})
     written = F.transform("_to", lambda n: F.lower(n["table_name"]))
     usable = F.filter("_from", lambda n: (n["table_name"] != "") & ~F.lower(n["table_name"]).isin(*NOT_TABLES) & ~F.array_contains(written, F.lower(n["table_name"])))
@@ -268,7 +280,11 @@ def script_catalog(scripts: DataFrame) -> DataFrame:
     per_line = F.transform(
         F.split("text", "\n"), lambda line, i: F.transform(_lint_hits(line, LINT_RULES), lambda h: F.concat_ws(":", (i + 1).cast("string"), h["rule"]))
     )
-    return df.select("script", "clean", "flags", "removed", dotted(_firsts(F.col("_to"))).alias("targets"), dotted(_firsts(usable)).alias("sources"), F.flatten(per_line).alias("lint"))
+    made = df.select("script", "clean", "flags", "removed", dotted(_firsts(F.col("_to"))).alias("targets"), dotted(_firsts(usable)).alias("sources"), F.flatten(per_line).alias("lint"))
+    dangling = missing_refs(scripts.select(F.col("script").alias("model"), "text").where(F.col("text").contains("ref(")), names=scripts.select(F.col("script").alias("model")))
+    dangling = dangling.groupBy(F.col("model").alias("_model")).agg(F.array_sort(F.collect_set("ref")).alias("missing"))
+    joined = made.join(dangling, made["script"] == dangling["_model"], "left").drop("_model")
+    return joined.withColumn("missing", F.coalesce("missing", F.array().cast("array<string>")))
 
 
 def model_refs(models: DataFrame, text: str = "text") -> DataFrame:
@@ -277,9 +293,9 @@ def model_refs(models: DataFrame, text: str = "text") -> DataFrame:
     return models.select("model", F.explode(F.array_distinct(found)).alias("ref"))
 
 
-def missing_refs(models: DataFrame, planned: DataFrame | None = None, text: str = "text") -> DataFrame:
-    """References with no model, and planned models that were not produced."""
-    names = models.select(F.col("model").alias("_have")).distinct()
+def missing_refs(models: DataFrame, planned: DataFrame | None = None, text: str = "text", names: DataFrame | None = None) -> DataFrame:
+    """References with no model, and planned models that were not produced. ``names`` has the models that exist, if not these."""
+    names = (models if names is None else names).select(F.col("model").alias("_have")).distinct()
     refs = model_refs(models, text)
     out = refs.join(names, F.col("ref") == F.col("_have"), "left_anti").select("model", "ref", F.lit("dangling_ref").alias("problem"))
     if planned is not None:

@@ -398,6 +398,13 @@ TABLES: dict[str, str] = {
             else p_type || '_' || replace(p_brand, '#', '_') end as table_name,
           case when p_partkey % 4 = 0 then 'column_' || cast(p_size as string) when p_partkey % 9 = 0 then 'zz' else 'col_' || cast(p_size as string) end as column_name
         from {part}""",
+    # one corpus of three kinds: procedures, SAS programs, and models that refer to others
+    "catalog_scripts": """
+        select script, 'plsql' as kind, text from {scripts}
+        union all select 'sas_' || script, 'sas', text from {sas_scripts}
+        union all select 'm_' || cast(doc_id as string), 'model',
+          'select * from ref(' || chr(39) || 'm_' || cast(doc_id * 2 as string) || chr(39) || ') join ref(' || chr(39) || 'x_' || source || chr(39) || ')'
+          || chr(10) || text from {documents}""",
     # SAS programs: every document with two of the nineteen kinds of block, one of them long, and a comment
     "sas_scripts": """
         select cast(doc_id as string) as script,

@@ -190,7 +190,8 @@ def _named_sql(table: str, key: str, where: str) -> str:
 
 
 L_CATALOG = {
-    "cleaned": _clean_sql(),
+    "cleaned": "select script, clean, flags from (" + _clean_sql() + ") union all select 'sas_' || script, clean, flags from (" + _sas_sql() + ")"
+    + " union all select script, " + _strip("regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g')") + ", '' from {catalog_scripts} where kind = 'model'",
     "to_all": _refs_sql(TARGET_RX, "cleaned", "clean"),
     "from_all": _refs_sql(SOURCE_RX, "cleaned", "clean"),
     "to_names": _named_sql("{to_all}", "lower(raw)", "true"),
@@ -201,25 +202,27 @@ L_CATALOG = {
         " and (script, lower(table_name)) not in (select (script, lower(table_name)) from {to_all})",
     ),
     "lint_names": "select script, string_agg(line_no || ':' || rule, ',' order by line_no, place) as hits from (with lines as (select script,"
-    " unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as line_no from {scripts}) "
+    " unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as line_no from {catalog_scripts}) "
     + " union all ".join(
         f"select script, line_no, '{rule}' as rule, {place} as place from lines"
         f" where regexp_matches(line, '{pattern.replace(chr(39), chr(39) * 2).replace('{', '{{').replace('}', '}}')}')"
         for place, (rule, pattern) in enumerate(LINT)
     )
     + ") group by script",
+    "lost": """select script, string_agg(ref, ',' order by ref) as names from (select distinct script, unnest(regexp_extract_all(text, 'ref\\([\\s]*[\\x22\\x27]([A-Za-z0-9_]+)[\\x22\\x27][\\s]*\\)', 1)) as ref
+        from {catalog_scripts}) where ref not in (select script from {catalog_scripts}) group by script""",
 }
 
 
 @query(
     "script_catalog",
-    """select c.script, c.clean, c.flags, coalesce(t.names, '') as targets, coalesce(f.names, '') as sources, coalesce(l.hits, '') as lint
-       from {cleaned} c left join {to_names} t using (script) left join {from_names} f using (script) left join {lint_names} l using (script)""",
+    """select c.script, c.clean, c.flags, coalesce(t.names, '') as targets, coalesce(f.names, '') as sources, coalesce(l.hits, '') as lint, coalesce(m.names, '') as missing
+       from {cleaned} c left join {to_names} t using (script) left join {from_names} f using (script) left join {lint_names} l using (script) left join {lost} m using (script)""",
     **L_CATALOG,
 )
 def script_catalog(dom):
-    out = scripts.script_catalog(dom.scripts).drop("removed")
-    return out.withColumns({"flags": F.array_join("flags", "\n"), **{n: F.array_join(n, ",") for n in ("targets", "sources", "lint")}})
+    out = scripts.script_catalog(dom.catalog_scripts).drop("removed")
+    return out.withColumns({"flags": F.array_join("flags", "\n"), **{n: F.array_join(n, ",") for n in ("targets", "sources", "lint", "missing")}})
 
 
 # --------------------------------------------------------------------------- model references

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimspark.session import delete_folder
+from claimspark.sinks.load import clustered
 
 #: One row for each partition of a version, and one with no values for the version as a whole, which holds the schema.
 MANIFEST = T.StructType(
@@ -112,9 +113,10 @@ class VersionedTable:
         rows += [(version, list(p), load, n, None, None) for p, (load, n) in parts.items()]
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
 
-    def replace(self, df: DataFrame) -> int:
-        """Make these rows the table; returns how many they are."""
+    def replace(self, df: DataFrame, cluster_by: Sequence[str] = ()) -> int:
+        """Make these rows the table, laid out by ``cluster_by`` if given; returns how many they are."""
         version = self.version() + 1
+        df = clustered(df, cluster_by) if cluster_by else df
         load, counts = self._write(df, [])
         self._switch(version, df.schema, [], {p: (load, n) for p, n in counts.items()})
         return sum(counts.values())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +36,8 @@ def read_mappings(spark: SparkSession, path: str | None) -> DataFrame:
         raise
     # a multi-line file is one split, so ids rise along it; files come in the order of their names
     rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    # a row for each file, so the file list alone is numbered in one place
     files = rows.groupBy("_file").agg(F.min("_row").alias("_first"))
-    before = files.select(F.col("_file").alias("_other"))
-    order = files.join(before, F.col("_other") < F.col("_file"), "left").groupBy("_file", "_first").agg(F.count("_other").alias("_place"))
+    order = files.withColumn("_place", F.row_number().over(Window.orderBy("_file")) - 1)
     placed = rows.join(order, "_file")
     return placed.select(*FIELDS, (F.col("_place") * F.lit(1 << 33) + F.col("_row") - F.col("_first")).alias("pos"))

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +33,37 @@ def test_overwrite_and_append_count_rows(spark, tmp_path):
     assert overwrite(spark.range(1), path) == 1
 
 
+def test_clustered_files_let_a_filter_pass_over_row_groups(spark, tmp_path):
+    rows = spark.range(60_000).select(F.pmod(F.xxhash64("id"), F.lit(5000)).alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows = rows.withColumn("key", F.when(F.col("key") > 10, F.col("key")))
+
+    def groups(path):
+        """Row groups in all, and those that may hold key 777."""
+        found = []
+        for f in os.listdir(path):
+            if f.endswith(".parquet"):
+                meta = pq.ParquetFile(f"{path}/{f}").metadata
+                found += [meta.row_group(i).column(0).statistics for i in range(meta.num_row_groups)]
+        return len(found), sum(x.has_min_max and x.min <= 777 <= x.max for x in found)
+
+    plain, laid = str(tmp_path / "plain"), str(tmp_path / "laid")
+    small = {"parquet.block.size": "65536", "parquet.page.row.count.limit": "500", "parquet.block.size.row.check.min": "100"}
+    assert overwrite(rows.repartition(6), plain, **small) == overwrite(rows, laid, ["key"], **small) == 60_000
+    (n, hit), (m, laid_hit) = groups(plain), groups(laid)
+    assert hit == n >= 6 and m >= 4 and laid_hit <= 2
+    assert spark.read.parquet(laid).where("key = 777").count() == rows.where("key = 777").count()
+    assert sorted(map(str, spark.read.parquet(laid).collect())) == sorted(map(str, rows.collect()))
+    table = VersionedTable(spark, str(tmp_path / "v"))
+    assert table.replace(rows, ["key"]) == 60_000
+
+
+def test_mapping_files_are_ordered_without_a_nested_loop(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"m{i}.csv").write_text("source_schema\ns\n")
+    plan = read_mappings(spark, str(tmp_path / "*.csv"))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_run_log_isolates_failures(spark, tmp_path):
     ticks = iter(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i) for i in range(100))
     log = JobLog(spark, str(tmp_path), "CAT", clock=lambda: next(ticks))

@@ -222,3 +222,20 @@ def test_apply_mapping(spark):
     out, unmapped = mapping_job.apply_mapping(spark.createDataFrame([(1, 2)], "NDC int, q int"), {"ndc": "ndc_code"})
     assert out.columns == ["ndc_code", "q"] and unmapped == ["q"]
     assert out.select(F.col("ndc_code")).first()[0] == 1
+
+
+def test_catalog_of_mixed_dialects(spark):
+    rows = [
+        ("p", "plsql", "set define off;\nINSERT INTO a.t SELECT nvl(x) FROM b\n/* kept */"),
+        ("s", "sas", "proc export data=a; run;\n/* gone */ select 1 from lib.x;\nset define off;"),
+        ("m", "Model", "select * from ref('p') join ref(\"lost\") join ref('m') join ref('also_lost')\n\n\n\nx"),
+        ("n", None, "show errors;\nupdate q set z = 1"), ("e", "sas", None),
+    ]
+    out = {r["script"]: r for r in scripts.script_catalog(spark.createDataFrame(rows, "script string, kind string, text string")).collect()}
+    assert set(out) == {"p", "s", "m", "n", "e"}
+    assert "set define" not in out["p"]["clean"] and "kept" in out["p"]["clean"] and out["p"]["targets"] == ["a.t"] and out["p"]["sources"] == [".b"]
+    assert "export" not in out["s"]["clean"] and "gone" not in out["s"]["clean"] and "set define off" in out["s"]["clean"] and out["s"]["sources"] == ["lib.x"]
+    assert out["m"]["missing"] == ["also_lost", "lost"] and out["p"]["missing"] == [] and out["m"]["clean"].endswith("\n\nx")
+    assert len(out["n"]["flags"]) == 1 and out["n"]["targets"] == [".q"]
+    plain = spark.createDataFrame([(r[0], r[2]) for r in rows if r[1] == "plsql"], "script string, text string")
+    assert scripts.script_catalog(plain).first() == out["p"]
