@@ -15,6 +15,8 @@ All of it is DataFrame functions; nothing leaves the JVM.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +27,6 @@ SKETCH_LANES = 64
 LOW32 = 0xFFFFFFFF
 #: Sentences end at a full stop, exclamation or question mark that white space follows.
 SENTENCE_END = r"(?<=[.!?])\s+"
-#: Buckets of the document order; each is one sorted group of a window.
-MOST_BUCKETS = 2_000
 _SKETCH_SALT = 97
 
 
@@ -116,6 +116,17 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return vectors(rows, ["row", "doc_id"], "text").select("doc_id", "count", "exact", "sketch", as_text(F.col("count"), F.col("exact"), F.col("sketch")).alias("fingerprint"))
 
 
+def _bucket(value: Column, cuts: list[int]) -> Column:
+    """How many of the cuts are less than a value, 0 for NULL; found among every so many of them first, then between two of those."""
+    step = max(1, math.isqrt(len(cuts)))
+    blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    longs = lambda xs: F.array(*(F.lit(int(x)) for x in xs)).cast("array<long>")
+    below = lambda xs: F.size(F.filter(xs, lambda c: c < value))
+    block = below(longs(b[-1] for b in blocks))  # all cuts of these blocks are less
+    inside = F.get(F.array(*(longs(b) for b in blocks), longs([])), block)
+    return F.when(value.isNull(), 0).otherwise(block * step + below(inside)).cast("int")
+
+
 def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (bucket, place, doc_id, text, next_text): the next text by ascending id; after the last comes the first.
 
@@ -124,11 +135,10 @@ def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     rows = texts(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    n = min(shuffle_width(spark), MOST_BUCKETS)
-    cuts = rows.agg(F.percentile_approx("doc_id", F.array(*(F.lit(k / n) for k in range(1, n))) if n > 1 else F.array(F.lit(1.0)), 10_000)).first()[0]
-    bounds = F.array(*(F.lit(int(c)) for c in sorted(set(cuts or [])))).cast("array<long>")
-    bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda c: c < F.col("doc_id"))))
-    rows = rows.withColumn("bucket", bucket)
+    n = shuffle_width(spark)
+    shares = [k / n for k in range(1, n)] or [1.0]
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * n))).first()[0]
+    rows = rows.withColumn("bucket", _bucket(F.col("doc_id"), sorted(set(cuts or []))))
     order = Window.partitionBy("bucket").orderBy(F.asc_nulls_first("doc_id"), "text")
     held = rows.withColumn("place", F.row_number().over(order)).withColumn("after", F.lead("text").over(order))
     # the first text of each bucket, fetched by its id: as many ids as buckets reach the driver

@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import map_batches, row_texts, steps, texts
+from claimspark.llm.common import map_batches, row_texts, steps, texts, written
 
 TRAIN_DOCUMENTS = 2_000
+#: N-grams of a language that the filters hold, the most frequent ones of the sample: it bounds what every task is sent.
 GRAMS_A_LANGUAGE = 40_000
 ORDERS = (1, 2, 3, 4)
 SHARE_OF_MOST = 0.15
@@ -147,8 +148,10 @@ def train(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS) -> Filters:
         return pa.record_batch(columns, ["lang", "gram", "seen"])
 
     counted = map_batches(chosen, count, "lang int, gram long, seen long").groupBy("lang", "gram").agg(F.sum("seen").alias("seen"))
+    counted = written(counted, "grams")
+    totals = counted.groupBy("lang").agg(F.sum("seen").alias("total"))  # a row for each language
     by_lang, by_gram = Window.partitionBy("lang"), Window.partitionBy("gram")
-    counted = counted.withColumn("share", F.col("seen") / F.sum("seen").over(by_lang))
+    counted = counted.join(F.broadcast(totals), "lang").withColumn("share", F.col("seen") / F.col("total"))
     counted = counted.withColumn("most", F.max("share").over(by_gram))
     own = counted.where((F.col("share") >= SHARE_OF_MOST * F.col("most")) & (F.col("seen") >= LEAST_SEEN))
     top = own.withColumn("place", F.row_number().over(by_lang.orderBy(F.desc("seen"), "gram"))).where(F.col("place") <= GRAMS_A_LANGUAGE)
@@ -192,8 +195,15 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
-    """The documents, all columns unchanged, whose text has a letter and is known to some learned language."""
-    sent = docs.sparkSession.sparkContext.broadcast(learn(docs))
+    """The documents, all columns unchanged, whose text has a letter and is known to some learned language.
+
+    If no row is labelled there is nothing to judge by, and all documents stay. Else documents with a NULL or empty text go, and
+    repeated rows stay or go together. An empty table gives no rows.
+    """
+    filters = learn(docs)
+    if not filters.languages:
+        return docs
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     @F.pandas_udf("boolean")
     def known(column):

@@ -3,10 +3,16 @@
 Rules decide the urls they fit. The others are judged by the templates of their host: the rules' decisions are the labels,
 and a template is rejected if its smoothed share of blocked pages is too high.
 
-The tree is grown level by level over the distinct typed paths of each host (segments with digits or long hex are replaced by
-their type at once, so there are far fewer than pages). At a node, literal children become one wildcard if they are many
-and each is rare; the rest are merged with those siblings from whose pooled rate of blocked pages they do not differ
-significantly. A node is compared with the pool, never with each sibling.
+The tree is grown branching by branching over the distinct typed paths of each host (segments with digits or long hex are
+replaced by their type at once, so there are far fewer than pages); what all paths of a node have in common is taken in one
+step, so paths may be of any depth. At a node, literal children become one wildcard if they are many and each is rare; the
+rest are merged with those siblings from whose pooled rate of blocked pages they do not differ significantly. A node is
+compared with the pool, never with each sibling.
+
+Labels are pooled where a host has none. A child without labels is compared by those that its name has at this depth on all
+hosts. These counts also make the prior of each path: from name to name it moves towards the rate that pages with this name
+at this depth have. A template's own labels are smoothed towards the prior of its paths, so that a template without labels is
+rejected if pages under the same names are blocked on other hosts.
 """
 
 from __future__ import annotations
@@ -18,8 +24,6 @@ from pyspark.sql import functions as F
 
 from claimspark.llm.common import written
 
-#: Segments below this depth are one tail.
-MAX_DEPTH = 5
 MANY_CHILDREN = 16
 RARE_VISITS = 4.0
 #: A rate further than this many standard errors from the siblings' pooled rate is different.
@@ -72,7 +76,7 @@ def by_rules(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Colum
 
 
 def typed(path: Column) -> Column:
-    """Segments of a path, those with digits or long hex by type, all below the last depth as one tail."""
+    """Segments of a path, those with digits or long hex by type."""
 
     def one(s: Column) -> Column:
         stem = F.regexp_replace(s, r"\.[A-Za-z]{1,5}$", "")
@@ -87,38 +91,80 @@ def typed(path: Column) -> Column:
         )
         return F.concat(kind, ending)
 
-    all_ = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), one)
-    tail = F.when(F.size(all_) > MAX_DEPTH, F.array(F.lit("{tail}"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(all_, 1, MAX_DEPTH), tail)
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), one)
+
+
+def smoothed(blocked: Column, labelled: Column, prior: Column) -> Column:
+    return (blocked + PRIOR_WEIGHT * prior) / (labelled + PRIOR_WEIGHT)
+
+
+def _common_taken(rows: DataFrame) -> DataFrame:
+    """Each node goes down by the segments that all its paths have in common."""
+    rest = F.slice("parts", F.col("depth") + 1, F.size("parts"))
+    ends = rows.groupBy("host", "node").agg(F.min(rest).alias("low"), F.max(rest).alias("high"))
+    apart = F.array_position(F.zip_with("low", "high", lambda x, y: F.coalesce(x == y, F.lit(False))), F.lit(False))
+    ends = ends.select("host", "node", F.when(apart == 0, F.size("low")).otherwise(apart - 1).cast("int").alias("common"))
+    down = rows.join(ends.where("common > 0"), ["host", "node"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    taken = F.concat(F.lit("/"), F.array_join(F.slice("parts", F.col("depth") + 1, F.col("common")), "/"))
+    return down.withColumns({"node": F.when(F.col("common") > 0, F.concat("node", taken)).otherwise(F.col("node")), "depth": F.col("depth") + F.col("common")}).drop("common")
+
+
+def _names(paths: DataFrame) -> DataFrame:
+    """Rows (at, name, all_labelled, all_blocked): the labels of each literal segment at its depth on all hosts."""
+    each = paths.select("labelled", "blocked", F.posexplode("parts").alias("at", "name")).where(~F.col("name").contains("{"))
+    return each.groupBy("at", "name").agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
+
+
+def _with_prior(paths: DataFrame, names: DataFrame) -> DataFrame:
+    """The rate that the names on each path lead to, one after the other, from ``PRIOR_RATE`` on."""
+    each = paths.select("host", "parts", F.posexplode("parts").alias("at", "name")).join(names, ["at", "name"])
+    held = each.groupBy("host", "parts").agg(F.array_sort(F.collect_list(F.struct("at", "all_labelled", "all_blocked"))).alias("held"))
+    rate = F.aggregate(F.coalesce("held", F.array().cast("array<struct<at:int,all_labelled:long,all_blocked:long>>")), F.lit(PRIOR_RATE), lambda p, x: smoothed(x["all_blocked"], x["all_labelled"], p))
+    return paths.join(held, ["host", "parts"], "left").withColumn("prior", rate).drop("held")
+
+
+def _branched(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Each node gives its children, like ones as one, and the rows go down to them."""
+    rows = rows.withColumn("child", F.get("parts", F.col("depth")))
+    children = rows.where(F.col("child").isNotNull()).groupBy("host", "node", "child", "depth").agg(*(F.sum(c).alias(c) for c in ("visits", "labelled", "blocked")))
+    children = written(children.withColumn("literal", ~F.col("child").contains("{")), "children")
+    named = (F.col("child") == F.col("name")) & (F.col("depth") == F.col("at"))
+    children = children.join(names, named, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("all_labelled", "all_blocked")})
+    nodes = children.groupBy("host", "node").agg(
+        F.count_if("literal").alias("literals"),
+        F.sum(F.when(F.col("literal"), F.col("visits")).otherwise(0)).alias("literal_visits"),
+        (F.sum("blocked") / F.greatest(F.sum("labelled"), F.lit(1))).alias("pool"),
+        (F.sum("all_blocked") / F.greatest(F.sum("all_labelled"), F.lit(1))).alias("all_pool"),
+    )
+    many = (F.col("literals") >= MANY_CHILDREN) & (F.col("literal_visits") < RARE_VISITS * F.col("literals"))
+    own = F.col("labelled") > 0
+    n, k, pool = (F.when(own, F.col(c)).otherwise(F.col(f"all_{c}")) for c in ("labelled", "blocked", "pool"))
+    error = F.sqrt(F.greatest(pool * (1 - pool), F.lit(0.01)) / F.nullif(n, F.lit(0)))
+    apart = (k / F.nullif(n, F.lit(0)) - pool) / error
+    like = (
+        F.when(n == 0, "{unlabelled}")
+        .when(F.abs(apart) <= SIGNIFICANT, F.when(own, "{pooled}").otherwise("{pooled elsewhere}"))
+        .when(apart > 0, F.concat(F.lit("{worse:"), "child", F.lit("}")))
+        .otherwise(F.concat(F.lit("{better:"), "child", F.lit("}")))
+    )
+    step = F.when(~F.col("literal"), F.col("child")).when(many, "{*}").otherwise(like)
+    steps = children.join(nodes, ["host", "node"]).select("host", "node", "child", step.alias("step"))
+    went = F.col("step").isNotNull()
+    down = rows.join(steps, ["host", "node", "child"], "left")
+    node = F.when(went, F.concat("node", F.lit("/"), "step")).otherwise(F.col("node"))
+    return down.withColumns({"node": node, "depth": F.col("depth") + went.cast("int")}).drop("step", "child")
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """Rows (host, parts, template, labelled, blocked) for rows (host, parts, visits, labelled, blocked), one for each typed path."""
-    rows = written(paths.withColumn("node", F.lit("")), "paths")
-    deepest = rows.agg(F.max(F.size("parts"))).first()[0] or 0
-    for depth in range(deepest):
-        rows = rows.withColumn("child", F.get("parts", F.lit(depth)))
-        children = rows.where(F.col("child").isNotNull()).groupBy("host", "node", "child").agg(*(F.sum(c).alias(c) for c in ("visits", "labelled", "blocked")))
-        children = written(children.withColumn("literal", ~F.col("child").contains("{")), "children")
-        nodes = children.groupBy("host", "node").agg(
-            F.count_if("literal").alias("literals"),
-            F.sum(F.when(F.col("literal"), F.col("visits")).otherwise(0)).alias("literal_visits"),
-            (F.sum("blocked") / F.greatest(F.sum("labelled"), F.lit(1))).alias("pool"),
-        )
-        many = (F.col("literals") >= MANY_CHILDREN) & (F.col("literal_visits") < RARE_VISITS * F.col("literals"))
-        error = F.sqrt(F.greatest(F.col("pool") * (1 - F.col("pool")), F.lit(0.01)) / F.col("labelled"))
-        apart = (F.col("blocked") / F.col("labelled") - F.col("pool")) / error
-        like = (
-            F.when(F.col("labelled") == 0, "{unlabelled}")
-            .when(F.abs(apart) <= SIGNIFICANT, "{pooled}")
-            .when(apart > 0, F.concat(F.lit("{worse:"), "child", F.lit("}")))
-            .otherwise(F.concat(F.lit("{better:"), "child", F.lit("}")))
-        )
-        step = F.when(~F.col("literal"), F.col("child")).when(many, "{*}").otherwise(like)
-        steps = children.join(nodes, ["host", "node"]).select("host", "node", "child", step.alias("step"))
-        grown = F.when(F.col("step").isNotNull(), F.concat("node", F.lit("/"), "step")).otherwise(F.col("node"))
-        rows = written(rows.join(steps, ["host", "node", "child"], "left").withColumn("node", grown).drop("step", "child"), "paths")
-    per = rows.groupBy("host", "node").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    """Rows (host, parts, template, labelled, blocked, prior) for rows (host, parts, visits, labelled, blocked), one for each typed path."""
+    paths = written(paths, "paths")
+    names = written(_names(paths), "names")
+    rows = written(_with_prior(paths, names).withColumns({"node": F.lit(""), "depth": F.lit(0)}), "paths")
+    while rows.where(F.size("parts") > F.col("depth")).limit(1).count():
+        taken = written(_common_taken(rows), "paths")
+        rows = written(_branched(taken, names), "paths")
+    prior = F.sum(F.col("prior") * F.col("visits")) / F.sum("visits")
+    per = rows.groupBy("host", "node").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"), prior.alias("prior"))
     return rows.select("host", "parts", "node").join(per, ["host", "node"]).withColumnRenamed("node", "template")
 
 
@@ -126,7 +172,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page
     """Rows (page_id, host, path, rule, verdict, template, blocked_rate): one for each page.
 
     The verdict is the longest rule's that fits (among equals the last in order), else it is ``block`` if the template's
-    smoothed share of blocked pages reaches ``REJECT_RATE``, else ``allow``; a template without labels has the prior rate.
+    smoothed share of blocked pages reaches ``REJECT_RATE``, else ``allow``; without labels on any host it is the prior rate.
     A NULL url, or one without ``://``, has an empty host and path and is judged like any other. Ids may be NULL; repeated
     rows count as often as they are given. Other columns are left aside. An empty table gives no rows.
     """
@@ -139,7 +185,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page
         F.count("*").alias("visits"), F.count_if(is_labelled).alias("labelled"), F.count_if(F.col("ruled") == "block").alias("blocked")
     )
     found = written(templates(paths), "templates")
-    rate = (F.col("blocked") + PRIOR_WEIGHT * PRIOR_RATE) / (F.col("labelled") + PRIOR_WEIGHT)
+    rate = smoothed(F.col("blocked"), F.col("labelled"), F.col("prior"))
     return rows.join(found, ["host", "parts"]).select(
         "page_id",
         "host",

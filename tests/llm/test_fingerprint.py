@@ -61,3 +61,25 @@ def test_empty_and_single(make_docs):
     assert fp.edited_pairs(make_docs([])).collect() == []
     (only,) = fp.edited_pairs(make_docs([(1, "abcdefgh")])).collect()
     assert only["near_next"] == 1.0 and only["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
+
+
+def test_buckets_of_any_number(spark):
+    import bisect
+
+    for cuts in ([], [5], [1, 4, 4, 9], list(range(0, 700, 7))):
+        cuts = sorted(set(cuts))
+        values = [None, -(2**63), *range(-3, 720), 2**63 - 1]
+        df = spark.createDataFrame([(v,) for v in values], "v long")
+        got = [r["b"] for r in df.select(fp._bucket(F.col("v"), cuts).alias("b")).collect()]
+        assert got == [0 if v is None else bisect.bisect_left(cuts, v) for v in values]
+
+
+def test_more_buckets_than_documents(spark, make_docs):
+    rows = [(i, f"text {i}. " * (i % 7 + 1)) for i in range(60)] + [(None, "x"), (None, "y"), (7, "again")]
+    want = sorted(map(str, fp.edited_pairs(make_docs(rows)).drop("x").collect()))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        assert sorted(map(str, fp.edited_pairs(make_docs(rows)).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)

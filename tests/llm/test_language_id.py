@@ -86,3 +86,10 @@ def test_shares_against_brute_force(make_docs):
     for i, text in enumerate(whole):
         for k, lang in enumerate(filters.languages):
             assert abs(shares[i, k] - brute_share(filters, text, lang)) < 1e-9
+
+
+def test_without_labels_all_documents_stay(make_docs):
+    rows = [(1, "some words here", None), (2, None, None), (3, "", None), (3, "12", None)]
+    docs = make_docs(rows)
+    assert li.keep_known(docs).collect() == docs.collect() and li.keep_known(docs).columns == docs.columns
+    assert li.keep_known(make_docs([])).collect() == []

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -55,7 +56,7 @@ def test_templates_carry_labels_to_unruled_pages(pages):
     got = {r["page_id"]: r for r in uf.judge(pages(rows), rules).collect()}
     assert got[0]["verdict"] == "block" and got[100]["verdict"] == "allow"
     assert got[300]["verdict"] == "allow" and got[300]["blocked_rate"] == uf.PRIOR_RATE
-    assert got[301]["rule"] is None and got[301]["verdict"] == "allow"  # labels stay with their host
+    assert got[301]["rule"] is None and got[301]["verdict"] == "block"  # rejected by what the name has on another host
     assert got[0]["template"] == got[29]["template"] != got[100]["template"]
 
 
@@ -75,5 +76,101 @@ def test_branches_with_other_rates_stay_apart(pages):
     assert "worse" in got[0] and got[100] != got[0] and got[200] != got[0]
 
 
+def brute(rows, rules):
+    """Verdicts of the tree by plain Python over the distinct typed paths: rows (id, host, parts, verdict or None)."""
+    paths = {}
+    for _, host, parts, verdict in rows:
+        p = paths.setdefault((host, parts), {"visits": 0, "labelled": 0, "blocked": 0, "node": (), "depth": 0, "prior": uf.PRIOR_RATE})
+        p["visits"] += 1
+        p["labelled"] += verdict is not None
+        p["blocked"] += verdict == "block"
+    named = {}
+    for (_, parts), p in paths.items():
+        for key in [(c, d) for d, c in enumerate(parts) if "{" not in c]:
+            named[key] = [x + y for x, y in zip(named.get(key, [0, 0, 0]), (p["visits"], p["labelled"], p["blocked"]))]
+    for (_, parts), p in paths.items():
+        for d, c in enumerate(parts):
+            if "{" not in c:
+                p["prior"] = (named[c, d][2] + uf.PRIOR_WEIGHT * p["prior"]) / (named[c, d][1] + uf.PRIOR_WEIGHT)
+    add = lambda to, key, p: [to.setdefault(key, [0, 0, 0]).__setitem__(i, to[key][i] + p[c]) for i, c in enumerate(("visits", "labelled", "blocked"))]
+    while any(len(parts) > p["depth"] for (_, parts), p in paths.items()):
+        nodes = {}
+        for (host, parts), p in paths.items():
+            nodes.setdefault((host, p["node"]), []).append((parts, p))
+        for members in nodes.values():
+            rest = [parts[p["depth"] :] for parts, p in members]
+            n = 0
+            while all(len(r) > n and r[n] == rest[0][n] for r in rest):
+                n += 1
+            for r, (_, p) in zip(rest, members):
+                p["node"] += r[:n]
+                p["depth"] += n
+        children = {}
+        for (host, parts), p in paths.items():
+            if len(parts) > p["depth"]:
+                child = parts[p["depth"]]
+                add(children.setdefault((host, p["node"]), {}), (child, p["depth"]), p)
+        for (host, parts), p in paths.items():
+            if len(parts) <= p["depth"]:
+                continue
+            child, siblings = parts[p["depth"]], children[host, p["node"]]
+            everywhere = {c: named.get(c, [0, 0, 0]) for c in siblings}
+            literal = [c for c in siblings if "{" not in c[0]]
+            mine, all_ = siblings[child, p["depth"]], everywhere[child, p["depth"]]
+            own = mine[1] > 0
+            evidence, pooled = (mine, siblings) if own else (all_, everywhere)
+            pool = sum(x[2] for x in pooled.values()) / max(1, sum(x[1] for x in pooled.values()))
+            if "{" in child:
+                step = child
+            elif len(literal) >= uf.MANY_CHILDREN and sum(siblings[c][0] for c in literal) < uf.RARE_VISITS * len(literal):
+                step = "{*}"
+            elif not evidence[1]:
+                step = "{unlabelled}"
+            else:
+                apart = (evidence[2] / evidence[1] - pool) / (max(pool * (1 - pool), 0.01) / evidence[1]) ** 0.5
+                step = ("{pooled}" if own else "{elsewhere}") if abs(apart) <= uf.SIGNIFICANT else ("+" if apart > 0 else "-") + child
+            p["next"] = p["node"] + (step,)
+        for p in paths.values():
+            if "next" in p:
+                p["node"] = p.pop("next")
+                p["depth"] += 1
+    sums = {}
+    for (host, _), p in paths.items():
+        t = sums.setdefault((host, p["node"]), [0, 0, 0, 0.0])
+        for i, v in enumerate((p["visits"], p["labelled"], p["blocked"], p["prior"] * p["visits"])):
+            t[i] += v
+    out = {}
+    for i, host, parts, verdict in rows:
+        n, labelled, blocked, prior = sums[host, paths[host, parts]["node"]]
+        rate = (blocked + uf.PRIOR_WEIGHT * prior / n) / (labelled + uf.PRIOR_WEIGHT)
+        out[i] = (verdict or ("block" if rate >= uf.REJECT_RATE else "allow"), round(rate, 9))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_tree_against_brute_force(pages, seed):
+    rng = random.Random(seed)
+    words = ["news", "shop", "es", "fr", "item", "a", "b"] + [f"{x}{y}" for x in "pqrs" for y in "aeiou"]
+    rules = (uf.Rule("block", "net/es/"), uf.Rule("block", "shop.net/item/"), uf.Rule("allow", "com/"), uf.Rule("block", "x.com/fr/a/"))
+    urls = []
+    for i in range(700):
+        host = rng.choice(["shop.net", "a.net", "x.com", "y.com", "k.org", "m.org", "m.org"])
+        deep = rng.choice([0, 1, 2, 2, 3, 4, 9])
+        parts = [rng.choice(words[: rng.choice([3, 7, 27])] + ["12", "v2"]) for _ in range(deep)]
+        urls.append((i, f"http://{host}/" + "/".join(parts) + rng.choice(["", "/"])))
+    urls += [(900 + i, "http://deep.org/" + "/".join(f"s{chr(97 + k % 26)}" for k in range(40)) + f"/{w}") for i, w in enumerate(["es", "fr", "fr"])]
+    got = {r["page_id"]: r for r in uf.judge(pages(urls), rules).collect()}
+    rows = []
+    for i, url in urls:
+        host, path = got[i]["host"], got[i]["path"]
+        parts = tuple(re.sub(r"\d+", "{n}", s) for s in path.split("/") if s)
+        best = max(((len(r.text), r.text, r.verdict) for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)), default=None)
+        rows.append((i, host, parts, best and best[2]))
+    want = brute(rows, rules)
+    assert {i: (r["verdict"], round(r["blocked_rate"], 9)) for i, r in got.items()} == want
+    unruled = {i for i, _, _, v in rows if v is None}
+    assert {want[i][0] for i in unruled} == {"allow", "block"}
+
+
 def test_empty(pages):
     assert uf.judge(pages([])).collect() == []
