@@ -1,7 +1,7 @@
 """Name matching: longest-common-block similarity and best match above a cutoff.
 
 Score: twice the matched characters over both lengths, matched by repeatedly taking the longest common block (the standard
-library's ``SequenceMatcher``). Names meet on pairs of characters that they must share to reach the cutoff; of those that meet,
+library's ``SequenceMatcher``). Names meet on characters of which they must share one to reach the cutoff; of those that meet,
 the characters they have in common bound the score. A word's most promising name is scored first, and then only those names
 whose bound reaches that score. Scores are computed for whole Arrow batches at once.
 """
@@ -117,41 +117,38 @@ def _ordered(df: DataFrame, by: Sequence[str], text: str, seen: DataFrame) -> Da
     return ranked.groupBy(*by, text).agg(F.array_sort(F.collect_list(place)).alias("_all"))
 
 
-def _keys(df: DataFrame, text: str, cutoff: float) -> DataFrame:
-    """One row for each pair of leading characters of which any partner that reaches the cutoff shares one.
+def _prefix(df: DataFrame, text: str, cutoff: float) -> DataFrame:
+    """One row for each leading character of which one must be shared by any partner that reaches the cutoff.
 
-    A partner needs at least ``ceil(n * c / (2 - c))`` shared characters with a name of length n, so that two of them are among
-    all but so many less two of its characters. One shared character is enough only for names of one or two, which meet on
-    single ones too.
+    A partner needs at least ``ceil(n * c / (2 - c))`` shared characters with a name of length n.
     """
     n = F.length(text)
-    need = F.greatest(F.ceil(n * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)), F.lit(2))
-    head = F.slice("_all", F.lit(1), F.greatest(n - need + 2, F.lit(0)).cast("int"))
-    pairs = F.flatten(F.transform(head, lambda x, i: F.transform(F.slice(head, i + 2, F.length(text)), lambda y: F.concat(x, y))))
-    return df.withColumn("_token", F.explode(F.when(n <= 2, F.concat(pairs, "_all")).otherwise(pairs)))
+    need = F.greatest(F.ceil(n * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)), F.lit(1))
+    return df.withColumn("_token", F.explode(F.slice("_all", F.lit(1), (n - need + 1).cast("int"))))
 
 
 def candidate_pairs(words: DataFrame, names: DataFrame, cutoff: float, by: Sequence[str] = ()) -> DataFrame:
     """Every (word, name) pair, within equal ``by``, that can reach the cutoff, once, with ``most``, a bound on its score.
 
-    Names meet on two leading characters, the rarest first; only at the first two that they share are the exact bounds tested:
-    the lengths, and the number of characters in common.
+    Names meet on a shared leading character, the rarest first; only at the first one they share are the exact bounds
+    tested: the lengths, and the number of characters in common.
     """
     either = names.select(F.explode(_characters(F.col("name"))).alias("_ch"))
     seen = stored(either.groupBy("_ch").agg(F.count(F.lit(1)).alias("_seen")), "characters")
-    left = _keys(_ordered(words, by, "word", seen), "word", cutoff)
-    right = _keys(_ordered(names, by, "name", seen), "name", cutoff)
+    left = _prefix(_ordered(words, by, "word", seen), "word", cutoff)
+    right = _prefix(_ordered(names, by, "name", seen), "name", cutoff)
     right = right.select(*(F.col(k).alias(f"_r_{k}") for k in by), "name", F.col("_all").alias("_rall"), F.col("_token").alias("_rtoken"))
     lw, ln = F.length("word"), F.length("name")
     fits = 2.0 * F.least(lw, ln) / (lw + ln) >= F.lit(cutoff - 1e-9)
-    shared = F.array_intersect("_all", "_rall")
-    first = F.when(F.size(shared) == 1, F.get(shared, F.lit(0))).otherwise(F.concat(F.get(shared, F.lit(0)), F.get(shared, F.lit(1))))
-    most = 2.0 * F.size(shared) / (lw + ln)
-    reach = (most >= F.lit(cutoff - 1e-9)) & (first == F.col("_token"))
     same = F.col("_token") == F.col("_rtoken")
     for k in by:
         same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(right, same & fits & reach).select(*by, "word", "name", most.alias("most"))
+    met = left.join(right, same & fits)
+    # the row number keeps the filter behind this step, so that the common characters are worked out once for each row
+    met = met.select(*by, "word", "name", "_token", F.array_intersect("_all", "_rall").alias("_shared"), F.monotonically_increasing_id().alias("_row"))
+    most = 2.0 * F.size("_shared") / (lw + ln)
+    reach = (most >= F.lit(cutoff - 1e-9)) & (F.get("_shared", F.lit(0)) == F.col("_token"))
+    return met.where(reach).select(*by, "word", "name", most.alias("most"))
 
 
 def scored_pairs(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
