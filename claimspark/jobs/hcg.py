@@ -123,7 +123,7 @@ def claim_variants(src: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
 def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
     """The extract over one family of source tables."""
     lines = rank_claim_lines(src["fact_service"])
-    variants = bucketed(claim_variants(src, src["fact_service"].where(F.col("member_id") != codes.SENTINEL_MEMBER)), CLAIM_KEY, "claim_variants")
+    variants = bucketed(claim_variants(src, src["fact_service"].where(F.col("member_id") != codes.SENTINEL_MEMBER)), CLAIM_KEY, "claim_variants", placed=True)
     sizes = variants.where(F.col("nth") == 1).select(*CLAIM_KEY, (F.col("n_lines") * F.col("variants")).alias("size"))
     order = [F.col(c).asc_nulls_last() for c in ("member_id", "claim_id")]
     starts = bucketed(running_starts(sizes, ["payer", "lob"], order, "size", "start").drop("size"), CLAIM_KEY, "claim_starts")

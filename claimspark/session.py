@@ -77,18 +77,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, keys: Sequence[str], label: str, buckets: int | None = None) -> DataFrame:
+def bucketed(df: DataFrame, keys: Sequence[str], label: str, buckets: int | None = None, placed: bool = False) -> DataFrame:
     """The rows as a table in buckets of ``keys``, one file a bucket.
 
     Tables with the same keys and number of buckets meet, group and rank on these keys (and any further ones) where they lie:
-    without a shuffle. ``buckets`` is the session's shuffle width unless given.
+    without a shuffle. ``buckets`` is the session's shuffle width unless given. Rows that the last step of ``df`` has put
+    together by these keys are ``placed``: they are written as they lie.
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.sql(f"create database if not exists {SCRATCH} location '{shared_folder(spark)}/{SCRATCH}'")
     name = f"{SCRATCH}.{label}_{uuid.uuid4().hex}"
     _noted("table", name)
-    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+    rows = df if placed else df.repartition(n, *keys)
+    rows.write.bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
     return spark.table(name)
 
 
