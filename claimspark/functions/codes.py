@@ -8,14 +8,11 @@ from pyspark.sql import functions as F
 from claimspark.functions.compat import pad_if, recode
 
 # --- fixed values -----------------------------------------------------------
-PLACE_CODES = (
-    [f"{n:02d}" for n in range(1, 10)]
-    + [str(n) for n in range(11, 27)]
-    + [str(n) for n in range(31, 36)]
-    + ["41", "42"]
-    + [str(n) for n in range(49, 58)]
-    + ["60", "61", "62", "65", "71", "72", "81", "99"]
-)
+PLACE_CODES = [
+    "01", "02", "03", "04", "05", "06", "07", "08", "09", "11", "12", "13", "14", "15", "16", "17", "18", "19", "20", "21", "22", "23",
+    "24", "25", "26", "31", "32", "33", "34", "35", "41", "42", "49", "50", "51", "52", "53", "54", "55", "56", "57", "60", "61", "62",
+    "65", "71", "72", "81", "99",
+]
 GENDERS = {"M": "M", "MALE": "M", "F": "F", "FEMALE": "F"}
 DRG_VERSIONS = {"DRG - AP": "AP", "DRG - APR": "APR", "DRG - MS": "MS"}
 ADMIT_TYPES = {
