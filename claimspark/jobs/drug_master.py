@@ -96,7 +96,7 @@ def price_columns(prices: DataFrame) -> DataFrame:
         ["npt_pricex", "npt_type"],
     )
     ful = _latest(prices.where(F.col("npt_type") == FUL), {"npt_pricex": "ful_unit_price{}", "_day": "ful_effective_date{}"}, ["npt_pricex"])
-    return wac.join(nadac, "ndc", "full").join(ful, "ndc", "full")
+    return wac.join(nadac.hint("merge"), "ndc", "full").join(ful.hint("merge"), "ndc", "full")
 
 
 def attr_rank(attributes: DataFrame, n: int = 2) -> DataFrame:
@@ -105,29 +105,47 @@ def attr_rank(attributes: DataFrame, n: int = 2) -> DataFrame:
     return top_n(dates, ["ndc"], [F.col("ndc_attribute_value").asc_nulls_last()], n)
 
 
-def _join(df: DataFrame, dim: DataFrame, key: str, cols: Mapping[str, str], left: Column | None = None, where: Column | None = None) -> DataFrame:
-    """Left join a reference table filtered beforehand, under its output names."""
+def _join(
+    df: DataFrame, dim: DataFrame, key: str, cols: Mapping[str, str], left: Column | None = None, where: Column | None = None, grows: bool = False
+) -> DataFrame:
+    """Left join a reference table filtered beforehand, under its output names.
+
+    A table that ``grows`` with the drugs is shuffled, whatever its files' size: compressed, it seems small enough to broadcast,
+    and a dozen such tables would be built in the driver at once.
+    """
     rows = dim if where is None else dim.where(where)
     rows = rows.select(F.col(key).alias("_key"), *[F.col(c).alias(out) for c, out in cols.items()])
+    rows = rows.hint("merge") if grows else rows
     return df.join(rows, (F.col(key) if left is None else left) == F.col("_key"), "left").drop("_key")
 
 
-def product_names(df: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
-    df = _join(df, t["ndc_medid"], "ndc", {"medid": "medid"})
+def _med_names(t: Mapping[str, DataFrame]) -> DataFrame:
+    """The names along the chain of medication ids, per NDC; narrow rows, so that the master is not shuffled for each link."""
+    df = t["ndc_medid"].select("ndc", "medid")
     med = {"med_medid_desc": "med_medid_desc", "med_strength_uom": "med_strength_uom", "routed_dosage_form_med_id": "_rdf", "generic_medid": "_generic_medid"}
-    df = _join(df, t["med"], "medid", med)
-    df = _join(df, t["routed_df_med"], "routed_dosage_form_med_id", {"med_routed_df_med_id_desc": "routed_dosage_form_medid_desc", "routed_med_id": "_routed_med"}, F.col("_rdf"))
-    df = _join(df, t["routed_med"], "routed_med_id", {"med_routed_med_id_desc": "med_routed_med_id_desc"}, F.col("_routed_med"))
-    df = _join(df, t["routed_gen_ndc"], "ndc", {"routed_gen_id": "_routed_gen"})
-    df = _join(df, t["routed_gen"], "routed_gen_id", {"routed_gen_desc": "routed_gen_desc"}, F.col("_routed_gen"))
+    df = _join(df, t["med"], "medid", med, grows=True)
+    rdf = {"med_routed_df_med_id_desc": "routed_dosage_form_medid_desc", "routed_med_id": "_routed_med"}
+    df = _join(df, t["routed_df_med"], "routed_dosage_form_med_id", rdf, F.col("_rdf"), grows=True)
+    return _join(df, t["routed_med"], "routed_med_id", {"med_routed_med_id_desc": "med_routed_med_id_desc"}, F.col("_routed_med"), grows=True)
+
+
+def product_names(df: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
+    """Names by NDC."""
+    names = _med_names(t)
+    df = _join(df, names, "ndc", {c: c for c in names.columns if c != "ndc"}, grows=True)
+    routed = t["routed_gen_ndc"].select("ndc", F.col("routed_gen_id").alias("_routed_gen"))
+    routed = _join(routed, t["routed_gen"], "routed_gen_id", {"routed_gen_desc": "routed_gen_desc"}, F.col("_routed_gen"), grows=True)
+    df = _join(df, routed, "ndc", {"_routed_gen": "_routed_gen", "routed_gen_desc": "routed_gen_desc"}, grows=True)
     return _join(df, t["labeler"], "lblrid", {"mfg": "manufacturer", "lblrind": "labeler_ind"})
 
 
 def formulation(df: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
-    df = _join(df, t["gcn_link"], "gcn_seqno", {"gcn": "_gcn"})
+    """What the clinical formulation, by ``gcn_seqno``, says of strength, dose and route."""
+    df = _join(df, t["gcn_link"], "gcn_seqno", {"gcn": "_gcn"}, grows=True)
     master = {c: f"_{c}" for c in ("tc", "hic3", "hicl_seqno", "gtc", "gcdf", "gcrt", "str", "str60", "dcc")}
-    df = _join(df, t["gcn_master"], "gcn_seqno", master)
-    df = _join(df, t["hicl"], "hicl_seqno", {"gnn60": "generic_name"}, F.col("_hicl_seqno"))
+    named = t["gcn_master"].select("gcn_seqno", *[F.col(c).alias(out) for c, out in master.items()])
+    named = _join(named, t["hicl"], "hicl_seqno", {"gnn60": "generic_name"}, F.col("_hicl_seqno"), grows=True)
+    df = _join(df, named, "gcn_seqno", {c: c for c in named.columns if c != "gcn_seqno"}, grows=True)
     df = _join(df, t["strength"], "str60", {"strnum": "strength_number", "strun50": "strength_unit", "volnum": "volume_number", "volun50": "volume_unit"}, F.col("_str60"))
     df = _join(df, t["dose"], "gcdf", {"gcdf_desc": "dose_form_desc", "dose": "dose"}, F.col("_gcdf"))
     df = _join(df, t["route"], "gcrt", {"rt": "route", "gcrt_desc": "route_desc"}, F.col("_gcrt"))
@@ -135,36 +153,42 @@ def formulation(df: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def classes(df: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
-    df = _join(df, t["atc_link"], "gcn_seqno", {"atc": "_atc"})
+    """Therapeutic classes of the clinical formulation; ``formulation`` comes before."""
+    df = _join(df, t["atc_link"], "gcn_seqno", {"atc": "_atc"}, grows=True)
     df = _join(df, t["atc_desc"], "atc", {"atc_desc": "_atc_desc"}, F.col("_atc"))
     df = _join(df, t["gtc"], "gtc", {"gtc_desc": "generic_tx_class_desc"}, F.col("_gtc"))
     df = _join(df, t["tc"], "tc", {"tc_desc": "standard_tc_desc"}, F.col("_tc"))
     df = _join(df, t["hic3"], "hic3", {"hic3_desc": "specific_tc_desc"}, F.col("_hic3"))
-    df = _join(df, t["ahfs_link"], "gcn_seqno", {"ahfs8": "_ahfs8"}, where=F.col("ahfs_rel") == 1)
+    df = _join(df, t["ahfs_link"], "gcn_seqno", {"ahfs8": "_ahfs8"}, where=F.col("ahfs_rel") == 1, grows=True)
     df = _join(df, t["ahfs_desc"], "ahfs8", {"ahfs_desc": "ahfs_desc"}, F.col("_ahfs8"))
     family = F.concat(F.substring(lpad_code(F.col("_ahfs8"), 8), 1, 6), F.lit("00"))
-    df = _join(df, t["ahfs_desc"], "ahfs8", {"ahfs_desc": "ahfs6_desc"}, family)
-    df = _join(df, t["etc_ndc"], "ndc", {"etc_id": "_etc"}, where=F.col("etc_common_use_ind") == 1)
-    return _join(df, t["etc"], "etc_id", {"etc_name": "etc_name"}, F.col("_etc"))
+    return _join(df, t["ahfs_desc"], "ahfs8", {"ahfs_desc": "ahfs6_desc"}, family)
 
 
 def attributes(df: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
+    """Classes, approvals, status and license dates by NDC."""
+    df = _join(df, t["etc_ndc"], "ndc", {"etc_id": "_etc"}, where=F.col("etc_common_use_ind") == 1, grows=True)
+    df = _join(df, t["etc"], "etc_id", {"etc_name": "etc_name"}, F.col("_etc"))
     df = _join(df, t["obc"], "obc", {"obc_desc": "orange_book_desc"}, where=F.col("obc_sn") == 1)
     df = _join(df, t["obc"], "obc", {"obc_desc": "orange_book_desc2"}, where=F.col("obc_sn") == 2)
-    df = _join(df, t["fda_link"], "ndc", {c: c for c in ("nda_ind", "anda_ind", "listing_seq_no", "tradename")})
+    df = _join(df, t["fda_link"], "ndc", {c: c for c in ("nda_ind", "anda_ind", "listing_seq_no", "tradename")}, grows=True)
     bla = spread(attr_rank(t["ndc_attribute"]), ["ndc"], F.col("rn"), (1, 2), {"ndc_attribute_value": "_bla{}"})
-    df = _join(df, bla, "ndc", {"_bla1": "_bla1", "_bla2": "_bla2"})
+    df = _join(df, bla, "ndc", {"_bla1": "_bla1", "_bla2": "_bla2"}, grows=True)
     kind = F.col("ndc_attribute_type_cd")
-    df = _join(df, t["ndc_attribute"], "ndc", {"ndc_attribute_value": "cod_status_code"}, where=kind == COD_TYPE)
+    df = _join(df, t["ndc_attribute"], "ndc", {"ndc_attribute_value": "cod_status_code"}, where=kind == COD_TYPE, grows=True)
     df = _join(df, t["ndc_attribute_desc"], "ndc_attribute_value", {"ndc_attribute_value_dsc": "cod_status_desc"}, F.col("cod_status_code"), kind == COD_TYPE)
-    return _join(df, t["ndc_attribute"], "ndc", {"ndc_attribute_value": "_cod_date"}, where=kind == COD_DATE_TYPE)
+    return _join(df, t["ndc_attribute"], "ndc", {"ndc_attribute_value": "_cod_date"}, where=kind == COD_DATE_TYPE, grows=True)
 
 
 def drug_master(t: Mapping[str, DataFrame], as_of: dt.date | str | None = None) -> DataFrame:
-    """The wide drug table over the 29 reference tables in ``t``, stamped with the load date."""
-    df = attributes(classes(formulation(product_names(t["ndc_master"], t), t), t), t)
+    """The wide drug table over the 29 reference tables in ``t``, stamped with the load date.
+
+    What is found by NDC comes first and what is found by formulation last, so the wide rows are shuffled once for each.
+    """
+    df = attributes(product_names(t["ndc_master"], t), t)
     prices = price_columns(t["ndc_price"])
-    df = df.join(prices, "ndc", "left")
+    df = df.join(prices.hint("merge"), "ndc", "left")
+    df = classes(formulation(df, t), t)
     indicator, rule = derived_generic()
     df = df.withColumns({"derived_generic_pricing_ind": indicator, "derived_gpi_rule": rule})
     c = F.col

@@ -76,7 +76,7 @@ RULE = CASCADE.format(*[f"'{i}'" for i in range(1, 8)])
 )
 def rule_cascade(dom):
     value, rule = drug_master.derived_generic()
-    df = dom.ndc_master.join(dom.fda_link, "ndc", "left")
+    df = dom.ndc_master.join(dom.fda_link.hint("merge"), "ndc", "left")
     return df.select("ndc", value.alias("derived_generic_pricing_ind"), rule.alias("derived_gpi_rule"))
 
 
