@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from claimspark.llm.common import map_batches, row_texts, texts
+from claimspark.llm.common import ROW_BYTES, map_batches, row_texts, texts
 
 CACHE_WORDS = 150_000
 CACHE_PAIRS = 500_000
@@ -228,7 +228,7 @@ def encode(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col:
         ids = pa.array([bpe.encode(t) for t in row_texts(rows.column(1))], pa.list_(pa.int32()))
         return pa.record_batch([rows.column(0), ids], ["doc_id", "ids"])
 
-    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, ids array<int>")
+    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, ids array<int>", ROW_BYTES)
 
 
 def decode(encoded: DataFrame, vocabulary: bytes, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -239,7 +239,7 @@ def decode(encoded: DataFrame, vocabulary: bytes, id_col: str = "doc_id", ids_co
         out = pa.array([bpe.decode(ids or []) for ids in rows.column(1).to_pylist()], pa.string())
         return pa.record_batch([rows.column(0), out], ["doc_id", "text"])
 
-    return map_batches(encoded.select(encoded[id_col].alias("doc_id"), encoded[ids_col].alias("ids")), batch, "doc_id long, text string")
+    return map_batches(encoded.select(encoded[id_col].alias("doc_id"), encoded[ids_col].alias("ids")), batch, "doc_id long, text string", ROW_BYTES)
 
 
 def round_trip(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,7 +260,7 @@ def round_trip(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_
         return pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(texts(docs, id_col, text_col), batch, schema)
+    return map_batches(texts(docs, id_col, text_col), batch, schema, ROW_BYTES)
 
 
 def token_rows(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,4 +281,4 @@ def token_rows(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
         return pa.record_batch([rows.column(0), pa.array(counts, pa.int64()), lists, pa.array(digests, pa.string())], ["doc_id", "n_tokens", "ids", "decoded_sha256"])
 
-    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
+    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string", ROW_BYTES)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import hex64, map_batches, row_bytes, texts, written
+from claimspark.llm.common import ROW_BYTES, hex64, map_batches, row_bytes, texts, written
 from claimspark.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -29,20 +29,28 @@ _STEP = 1 << 14
 SYNDROME_MASKS = tuple(sum(1 << (p - 1) for p in range(1, BLOCK + 1) if p >> j & 1) for j in range(5))
 
 
-def simhash(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
-    """64-bit SimHash of the whole text over its word shingles, repeats included; 0 for a text without words."""
+def shingle_hashes(text: bytes, shingle_words: int) -> np.ndarray:
+    """Hashes of the word shingles in order, repeats included; a text of fewer words is one shingle, without words none."""
     words = text.lower().split()
     if not words:
-        return 0
-    if len(words) < shingle_words:
-        shingles, n = iter([tuple(words)]), 1
-    else:
-        shingles, n = zip(*(islice(words, k, None) for k in range(shingle_words))), len(words) - shingle_words + 1
-    ones, join, digest = np.zeros(64, np.int64), b" ".join, xxhash.xxh64_intdigest
-    for start in range(0, n, _STEP):
-        hashes = np.array([digest(join(s), SEED) for s in islice(shingles, _STEP)], dtype=">u8")
-        ones += np.unpackbits(hashes.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+        return np.zeros(0, np.uint64)
+    shingles = iter([tuple(words)]) if len(words) < shingle_words else zip(*(islice(words, k, None) for k in range(shingle_words)))
+    join, digest = b" ".join, xxhash.xxh64_intdigest
+    return np.fromiter((digest(join(s), SEED) for s in shingles), np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes."""
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), _STEP):
+        bits = np.unpackbits(hashes[start : start + _STEP].astype(">u8").view(np.uint8))
+        ones += bits.reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
+def simhash(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
+    """64-bit SimHash of the whole text over its word shingles, repeats included; 0 for a text without words."""
+    return majority(shingle_hashes(text, shingle_words))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -52,7 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         prints = np.array([simhash(t, shingle_words) for t in row_bytes(rows.column(1))], np.uint64).view(np.int64)
         return pa.record_batch([rows.column(0), pa.array(prints)], ["doc_id", "fp"])
 
-    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, fp long")
+    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, fp long", ROW_BYTES)
 
 
 def _halves(prints: DataFrame) -> DataFrame:
