@@ -55,6 +55,9 @@ TARGET_PATTERNS = (
     r'(?im)\bDELETE\s+FROM\s+([A-Z0-9_$."`]+)',
 )
 SOURCE_PATTERNS = (r'(?im)\bFROM\s+([A-Z0-9_$."`]+)', r'(?im)\bJOIN\s+([A-Z0-9_$."`]+)')
+#: Lower-case literals that a match of each pattern contains; without i, k and s, which have other letters of the same upper case.
+TARGET_NEEDLES = (("ert", "nto"), ("merge", "nto"), ("update",), ("truncate",), ("delete",))
+SOURCE_NEEDLES = (("from",), ("jo",))
 NOT_TABLES = ("dual", "select")
 PREVIEW_CHARS = 120
 # -----------------------------------------------------------------------------
@@ -123,19 +126,22 @@ def _strip_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], kind: st
     With ``where`` only the scripts that it holds for are looked at.
     """
     chosen = F.lit(True) if where is None else where
+    df = df.withColumn("_low", F.lower("clean"))
     for pattern, label in patterns:
         rx = java_flags(pattern)
         needle = NEEDLES.get(label)
-        present = chosen & F.lower("clean").contains(needle) if needle else chosen
-        hits = F.when(present, F.regexp_extract_all("clean", F.lit(rx), F.lit(0))).otherwise(F.array().cast("array<string>"))
+        present = chosen & F.col("_low").contains(needle) if needle else chosen
+        # each step is a column of its own: an expression inside a lambda or a condition would be worked out again at each use
+        df = df.withColumn("_hits", F.when(present, F.regexp_extract_all("clean", F.lit(rx), F.lit(0))).otherwise(F.array().cast("array<string>")))
         if preview is None:
-            made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(m)))
+            made = F.transform("_hits", lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(m)))
         else:
-            made = F.transform(hits, lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(F.substring(m, 1, preview)), F.lit("...")))
-        df = df.withColumns({"flags": F.concat("flags", made), "removed": F.concat("removed", hits)}).withColumn(
-            "clean", F.when(present, F.regexp_replace("clean", rx, "")).otherwise(F.col("clean"))
-        )
-    return df
+            made = F.transform("_hits", lambda m: F.concat(F.lit(f"[{kind} - {label}]: "), strip(F.substring(m, 1, preview)), F.lit("...")))
+        any_hit = F.size("_hits") > 0
+        cut = F.when(any_hit, F.regexp_replace("clean", rx, "")).otherwise(F.col("clean"))
+        df = df.withColumns({"flags": F.concat("flags", made), "removed": F.concat("removed", "_hits"), "clean": cut})
+        df = df.withColumn("_low", F.when(any_hit, F.lower("clean")).otherwise(F.col("_low")))
+    return df.drop("_hits", "_low")
 
 
 def _dealt(scripts: DataFrame) -> DataFrame:
@@ -178,15 +184,22 @@ def _split_name(raw: Column) -> tuple[Column, Column]:
     return schema, F.element_at(parts, -1)
 
 
-def _named(scripts: DataFrame, patterns: Sequence[str], text: str) -> DataFrame:
+def _captured(text: str, low: Column, pattern: str, needles: Sequence[str]) -> Column:
+    """The names that a pattern captures in a text; ``low`` is the text in lower case."""
+    present = reduce(lambda a, b: a & b, [low.contains(n) for n in needles])
+    hits = F.regexp_extract_all(text, F.lit(java_flags(pattern)), F.lit(1))
+    return F.when(present | low.isNull(), hits).otherwise(F.array().cast("array<string>"))
+
+
+def _named(scripts: DataFrame, patterns: Sequence[str], needles: Sequence[Sequence[str]], text: str) -> DataFrame:
     """Every captured name with its place: pattern order first, then position in the text."""
+    low = scripts.select("script", text, F.lower(text).alias("_low"))
+    low = low.select("script", *[_captured(text, F.col("_low"), p, n).alias(f"_hits{k}") for k, (p, n) in enumerate(zip(patterns, needles))])
 
-    def captures(number: int, pattern: str) -> Column:
-        hits = F.regexp_extract_all(text, F.lit(java_flags(pattern)), F.lit(1))
-        return F.transform(hits, lambda m, i: F.struct(F.lit(number).alias("pattern"), i.alias("at"), m.alias("raw")))
+    def captures(number: int) -> Column:
+        return F.transform(f"_hits{number}", lambda m, i: F.struct(F.lit(number).alias("pattern"), i.alias("at"), m.alias("raw")))
 
-    found = [captures(k, p) for k, p in enumerate(patterns)]
-    rows = scripts.select("script", F.inline(F.concat(*found)))
+    rows = low.select("script", F.inline(F.concat(*[captures(k) for k in range(len(patterns))])))
     schema, table = _split_name(F.col("raw"))
     return rows.withColumns({"schema_name": schema, "table_name": table})
 
@@ -199,13 +212,13 @@ def extract_table_refs(scripts: DataFrame, text: str = "text") -> DataFrame:
     scripts = _dealt(scripts)
     first = F.min_by(F.struct("schema_name", "table_name"), F.struct("pattern", "at")).alias("_first")
     targets = (
-        _named(scripts, TARGET_PATTERNS, text)
+        _named(scripts, TARGET_PATTERNS, TARGET_NEEDLES, text)
         .groupBy("script", F.lower("raw").alias("_key"))
         .agg(first)
         .select("script", F.lit("target").alias("role"), "_first.schema_name", "_first.table_name")
     )
     written = targets.select("script", F.lower("table_name").alias("_table")).distinct()
-    named = _named(scripts, SOURCE_PATTERNS, text).where((F.col("table_name") != "") & ~F.lower("table_name").isin(*NOT_TABLES))
+    named = _named(scripts, SOURCE_PATTERNS, SOURCE_NEEDLES, text).where((F.col("table_name") != "") & ~F.lower("table_name").isin(*NOT_TABLES))
     full = F.when(F.col("schema_name") != "", F.concat_ws(".", "schema_name", "table_name")).otherwise(F.col("table_name"))
     sources = (
         named.groupBy("script", F.lower(full).alias("_key"))
@@ -218,17 +231,21 @@ def extract_table_refs(scripts: DataFrame, text: str = "text") -> DataFrame:
     return targets.unionByName(sources)
 
 
-def _lint_hits(line: Column, rules: Sequence[tuple]) -> Column:
-    """The rules that fire on a line, as one array: not a join."""
-    lower = F.lower(line)
+def _may_fire(low: Column, rules: Sequence[tuple]) -> Column:
+    """For each rule whether a text, given in lower case, holds one of its literals at all."""
+    return F.array(*[reduce(lambda a, b: a | b, [low.contains(n) for n in needles]) for *_, needles in rules])
+
+
+def _lint_hits(line: Column, may: Column, rules: Sequence[tuple]) -> Column:
+    """The rules that fire on a line, as one array: not a join. ``may`` tells of the whole text which rules can."""
     return F.array_compact(
         F.array(
             *[
                 F.when(
-                    reduce(lambda a, b: a | b, [lower.contains(n) for n in needles]) & line.rlike(pattern),
+                    may[k] & line.rlike(pattern),
                     F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.lit(advice).alias("fix_suggestion")),
                 )
-                for rule, pattern, severity, advice, needles in rules
+                for k, (rule, pattern, severity, advice, _) in enumerate(rules)
             ]
         )
     )
@@ -236,13 +253,18 @@ def _lint_hits(line: Column, rules: Sequence[tuple]) -> Column:
 
 def lint_scripts(scripts: DataFrame, rules: Sequence[tuple] = LINT_RULES) -> DataFrame:
     """One row per line and rule that fires."""
-    lines = _dealt(scripts).select("script", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.select("script", (F.col("line_no") + 1).alias("line_no"), "line", F.inline(_lint_hits(F.col("line"), rules)))
+    may = _may_fire(F.lower("text"), rules).alias("_may")
+    lines = _dealt(scripts).select("script", "text", may).select("script", "_may", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("script", (F.col("line_no") + 1).alias("line_no"), "line", F.inline(_lint_hits(F.col("line"), F.col("_may"), rules)))
+
 
+def _raw_names(text: str, low: Column, patterns: Sequence[str], needles: Sequence[Sequence[str]]) -> Column:
+    """Captured names in order of pattern and place."""
+    return F.concat(*(_captured(text, low, p, n) for p, n in zip(patterns, needles)))
 
-def _distinct_names(patterns: Sequence[str], text: str, by_raw: bool) -> Column:
-    """Captured names in order of pattern and place, the first spelling of each: structs of key, schema and table."""
-    found = F.concat(*(F.regexp_extract_all(text, F.lit(java_flags(p)), F.lit(1)) for p in patterns))
+
+def _distinct_names(found: str, by_raw: bool) -> Column:
+    """Captured names as structs of key, schema and table, in their order."""
 
     def one(raw: Column) -> Column:
         schema, table = _split_name(raw)
@@ -273,12 +295,18 @@ def script_catalog(scripts: DataFrame) -> DataFrame:
     df = _strip_patterns(df, SAS_REPORTING, "REPORTING", PREVIEW_CHARS, sas)
     bare = F.when(sas, F.regexp_replace("clean", java_flags(BLOCK_COMMENT), "")).otherwise(F.col("clean"))
     df = df.withColumn("clean", strip(F.regexp_replace(bare, r"\n{3,}", "\n\n")))
-    df = df.withColumns({"_to": _distinct_names(TARGET_PATTERNS, "clean", True), "_from": _distinct_names(SOURCE_PATTERNS, "clean", False)})
-    written = F.transform("_to", lambda n: F.lower(n["table_name"]))
-    usable = F.filter("_from", lambda n: (n["table_name"] != "") & ~F.lower(n["table_name"]).isin(*NOT_TABLES) & ~F.array_contains(written, F.lower(n["table_name"])))
+    df = df.withColumns({"_low": F.lower("clean"), "_may": _may_fire(F.lower("text"), LINT_RULES)})
+    low = F.col("_low")
+    df = df.withColumns({"_to": _raw_names("clean", low, TARGET_PATTERNS, TARGET_NEEDLES), "_from": _raw_names("clean", low, SOURCE_PATTERNS, SOURCE_NEEDLES)})
+    df = df.withColumns({"_to": _distinct_names("_to", True), "_from": _distinct_names("_from", False)})
+    df = df.withColumn("_written", F.transform("_to", lambda n: F.lower(n["table_name"])))
+    usable = F.filter(
+        "_from",
+        lambda n: (n["table_name"] != "") & ~F.lower(n["table_name"]).isin(*NOT_TABLES) & ~F.array_contains(F.col("_written"), F.lower(n["table_name"])),
+    )
     dotted = lambda names: F.transform(names, lambda n: F.concat_ws(".", n["schema_name"], n["table_name"]))
     per_line = F.transform(
-        F.split("text", "\n"), lambda line, i: F.transform(_lint_hits(line, LINT_RULES), lambda h: F.concat_ws(":", (i + 1).cast("string"), h["rule"]))
+        F.split("text", "\n"), lambda line, i: F.transform(_lint_hits(line, F.col("_may"), LINT_RULES), lambda h: F.concat_ws(":", (i + 1).cast("string"), h["rule"]))
     )
     made = df.select("script", "clean", "flags", "removed", dotted(_firsts(F.col("_to"))).alias("targets"), dotted(_firsts(usable)).alias("sources"), F.flatten(per_line).alias("lint"))
     dangling = missing_refs(scripts.select(F.col("script").alias("model"), "text").where(F.col("text").contains("ref(")), names=scripts.select(F.col("script").alias("model")))

@@ -3,6 +3,7 @@
 import re
 
 import __spark_entry__ as entry_point
+from claimspark.operators import scripts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -24,3 +25,19 @@ def broadcast_tables(df):
 def test_drug_master_broadcasts_code_tables_only(spark):
     # part and lineitem grow with the drugs; compressed, they look small enough to broadcast
     assert broadcast_tables(entry_point.queries()["drug_master"](spark, FOLDER)) <= {"nation", "region"}
+
+
+def test_each_block_pattern_is_searched_once(spark):
+    # inside a lambda or a condition an expression is worked out anew, and these are regexes over whole texts
+    rows = spark.createDataFrame([("a", "x 'ls';\nproc append base=a data=b; run;\nkept")], "script string, text string")
+    out = scripts.clean_sas(rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == len(scripts.SAS_INGESTION) + len(scripts.SAS_REPORTING)
+    row = out.first()
+    assert row["clean"] == "kept" and [f.split("]")[0] for f in row["flags"]] == ["[INGESTION - shell command", "[INGESTION - PROC APPEND"]
+
+
+def test_names_behind_letters_that_equal_ascii_ones_in_upper_case(spark):
+    rows = spark.createDataFrame([("a", "ınſert into s.t select 1 from r joın q"), ("b", None)], "script string, text string")
+    got = {(r["script"], r["role"], r["schema_name"], r["table_name"]) for r in scripts.extract_table_refs(rows).collect()}
+    assert got == {("a", "target", "s", "t"), ("a", "source", "", "r"), ("a", "source", "", "q")}
