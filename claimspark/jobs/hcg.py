@@ -3,7 +3,8 @@
 Lines, headers and codes are kept in buckets of the claim key, so they rank, group and join where they lie. Everything that a
 claim's lines have in common is put together once a claim: its variants, one for each ICD version, product and group. A line
 meets the variants of its claim, and its sequence number follows from the claim's start, its rank and the variant's number, so
-that only a row for each claim is sorted over the payer and LOB and the wide rows are never shuffled.
+that only a row for each claim is sorted over the payer and LOB and the wide rows are never shuffled. Codes by slot are maps until
+the last step, and a claim meets its codes after its look-ups by member and provider, so that these move narrow rows.
 """
 
 from __future__ import annotations
@@ -17,13 +18,17 @@ from pyspark.sql import functions as F
 from claimspark.functions import codes
 from claimspark.functions.compat import keep_if_len, lpad_code, pad_if, typed_null
 from claimspark.functions.dates import as_date, los_days
+from claimspark.operators.joins import spread_nulls
 from claimspark.operators.project import stack
 from claimspark.operators.ranking import rank_rows, running_starts
-from claimspark.operators.reshape import dx_wide, primary_taxonomy, px_wide
+from claimspark.operators.reshape import dx_slots, primary_taxonomy, px_slots
 from claimspark.session import bucketed, stored
 
 MEMBER_KEY = ["payer", "lob", "member_id"]
 CLAIM_KEY = [*MEMBER_KEY, "claim_id"]
+# The same keys for sorts, joins and buckets: Spark sorts by the first bytes of the first column, which tell claims apart.
+MEMBER_SORT = MEMBER_KEY[::-1]
+CLAIM_SORT = CLAIM_KEY[::-1]
 SLOTS = 30
 
 # --- fixed values -----------------------------------------------------------
@@ -53,7 +58,7 @@ def line_order(lines: DataFrame) -> list[Column]:
 def rank_claim_lines(lines: DataFrame) -> DataFrame:
     """Rank of each line in its claim; the placeholder member is left out."""
     kept = lines.where(F.col("member_id") != codes.SENTINEL_MEMBER)
-    return rank_rows(kept, CLAIM_KEY, line_order(lines), "rn")
+    return rank_rows(kept, CLAIM_SORT, line_order(lines), "rn")
 
 
 def header_pays(payer: Column) -> Column:
@@ -84,7 +89,7 @@ def bucket_facts(family: Mapping[str, DataFrame], buckets: int | None = None, pa
     def chosen(name: str) -> DataFrame:
         return family[name] if pairs is None else family[name].join(pairs.select("payer", "lob"), ["payer", "lob"], "left_semi")
 
-    return {**family, **{name: bucketed(chosen(name), CLAIM_KEY, name, buckets) for name in CLAIM_FACTS}}
+    return {**family, **{name: bucketed(chosen(name), CLAIM_SORT, name, buckets) for name in CLAIM_FACTS}}
 
 
 def claim_variants(src: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
@@ -92,30 +97,29 @@ def claim_variants(src: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
 
     ``nth`` numbers a claim's variants and ``variants`` counts them; ``n_lines``, ``from_date`` and ``to_date`` are the claim's.
     """
-    claims = lines.groupBy(*CLAIM_KEY).agg(
+    claims = lines.groupBy(*CLAIM_SORT).agg(
         F.count(F.lit(1)).alias("n_lines"), F.min("service_dt").alias("from_date"), F.max("service_dt").alias("to_date")
     )
     header = src["claim_header"].select(
-        *CLAIM_KEY, "admit_date", "discharge_date", "paid_date", "drg", "drg_desc", "claim_type", "servicing_npi",
+        *CLAIM_SORT, "admit_date", "discharge_date", "paid_date", "drg", "drg_desc", "claim_type", "servicing_npi",
         "bill_code_ub", "ip_admit_type", "discharge_disposition", "paid_status", "tcc_paid",
     )
     taxonomy = primary_taxonomy(src["nppes"], src["taxonomy_xwalk"]).join(src["specialty_xwalk"], "taxonomy_code", "left")
     taxonomy = taxonomy.select(
-        F.col("npi").alias("servicing_npi"),
+        "npi",
         F.substring("specialization", 1, 28).alias("src_specialty"),
         "milliman_specialty",
         F.substring("zip_code", 1, 5).alias("provider_zip"),
     )
-    joined = (
-        claims.join(header, CLAIM_KEY, "left")
-        .join(dx_wide(src["fact_dxpx"], CLAIM_KEY, SLOTS), CLAIM_KEY, "left")
-        .join(px_wide(src["fact_dxpx"], CLAIM_KEY, SLOTS), CLAIM_KEY, "left")
-        .join(src["member"].select(*MEMBER_KEY, "dob", "gender", "zip"), MEMBER_KEY, "left")
-        .join(member_facts(src["fact_member"], "Member Coverage", "Product", "product"), MEMBER_KEY, "left")
-        .join(member_facts(src["fact_member"], "Group Identifiers", "Group Number", "group_id"), MEMBER_KEY, "left")
-        .join(taxonomy, "servicing_npi", "left")
+    narrow = (
+        claims.join(header, CLAIM_SORT, "left")
+        .join(src["member"].select(*MEMBER_SORT, "dob", codes.gender_code(F.col("gender")).alias("gender"), "zip"), MEMBER_SORT, "left")
+        .join(member_facts(src["fact_member"], "Member Coverage", "Product", "product"), MEMBER_SORT, "left")
+        .join(member_facts(src["fact_member"], "Group Identifiers", "Group Number", "group_id"), MEMBER_SORT, "left")
     )
-    claim = Window.partitionBy(*CLAIM_KEY)
+    narrow = narrow.join(taxonomy, spread_nulls(F.col("servicing_npi"), F.col("claim_id")) == F.col("npi"), "left").drop("npi")
+    joined = narrow.join(dx_slots(src["fact_dxpx"], CLAIM_SORT), CLAIM_SORT, "left").join(px_slots(src["fact_dxpx"], CLAIM_SORT), CLAIM_SORT, "left")
+    claim = Window.partitionBy(*CLAIM_SORT)
     order = [F.col(c).asc_nulls_last() for c in ("icd_version", "product", "group_id")]
     return joined.withColumns({"nth": F.row_number().over(claim.orderBy(*order)), "variants": F.count(F.lit(1)).over(claim)})
 
@@ -123,14 +127,14 @@ def claim_variants(src: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
 def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
     """The extract over one family of source tables."""
     lines = rank_claim_lines(src["fact_service"])
-    variants = bucketed(claim_variants(src, src["fact_service"].where(F.col("member_id") != codes.SENTINEL_MEMBER)), CLAIM_KEY, "claim_variants", placed=True)
-    sizes = variants.where(F.col("nth") == 1).select(*CLAIM_KEY, (F.col("n_lines") * F.col("variants")).alias("size"))
+    variants = bucketed(claim_variants(src, src["fact_service"].where(F.col("member_id") != codes.SENTINEL_MEMBER)), CLAIM_SORT, "claim_variants", placed=True)
+    sizes = variants.where(F.col("nth") == 1).select(*CLAIM_SORT, (F.col("n_lines") * F.col("variants")).alias("size"))
     order = [F.col(c).asc_nulls_last() for c in ("member_id", "claim_id")]
-    starts = bucketed(running_starts(sizes, ["payer", "lob"], order, "size", "start").drop("size"), CLAIM_KEY, "claim_starts")
+    starts = bucketed(running_starts(sizes, ["payer", "lob"], order, "size", "start").drop("size"), CLAIM_SORT, "claim_starts")
 
     def numbered(named: bool) -> DataFrame:
         """Lines of claims with an id meet on the claim key; those without one are a claim of their member."""
-        key, has_id = (CLAIM_KEY, F.col("claim_id").isNotNull()) if named else (MEMBER_KEY, F.col("claim_id").isNull())
+        key, has_id = (CLAIM_SORT, F.col("claim_id").isNotNull()) if named else (MEMBER_SORT, F.col("claim_id").isNull())
         drop = [] if named else ["claim_id"]
         return (
             lines.where(has_id)
@@ -154,7 +158,7 @@ def _extract_columns(df: DataFrame, as_of: dt.date | str) -> DataFrame:
         "contractid": c("member_id"),
         "memberid": c("member_id"),
         "dob": c("dob"),
-        "gender": codes.gender_code(c("gender")),
+        "gender": c("gender"),
         "fromdate": c("from_date"),
         "todate": c("to_date"),
         "admitdate": c("admit_date"),
@@ -190,9 +194,9 @@ def _extract_columns(df: DataFrame, as_of: dt.date | str) -> DataFrame:
         "dischargestatus": c("discharge_disposition"),
         "icdversion": c("icd_version"),
         "admitdiag": blank,
-        **{f"icddiag{i}": c(f"D{i}_D") for i in range(1, SLOTS + 1)},
-        **{f"poa{i}": c(f"D{i}_P") for i in range(1, SLOTS + 1)},
-        **{f"icdproc{i}": c(f"D{i}_PR") for i in range(1, SLOTS + 1)},
+        **{f"icddiag{i}": c("dx")[i]["code"] for i in range(1, SLOTS + 1)},
+        **{f"poa{i}": c("dx")[i]["poa"] for i in range(1, SLOTS + 1)},
+        **{f"icdproc{i}": c("px")[i]["code"] for i in range(1, SLOTS + 1)},
         "riskpool": blank,
         "oon": blank,
         "claimlinestatus": codes.paid_status(c("paid_status")),

@@ -52,6 +52,27 @@ def px_wide(dxpx: DataFrame, keys: Sequence[str], n: int = 30) -> DataFrame:
     return spread(codes, keys, try_int(F.col("prmry_ind")), range(1, n + 1), {"code": "D{}_PR"})
 
 
+def slots_map(df: DataFrame, keys: Sequence[str], cols: Sequence[str], out: str) -> DataFrame:
+    """The largest values of ``cols`` by slot as one map a key; narrow where ``spread`` has a column for each slot.
+
+    A key whose rows have no slot keeps an empty map.
+    """
+    each = df.groupBy(*keys, "slot").agg(*[F.max(c).alias(c) for c in cols])
+    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", F.struct(*cols)))
+    return each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias(out))
+
+
+def dx_slots(dxpx: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dx_wide`` as a map from the slot to its code and flag."""
+    return slots_map(dx_codes(dxpx, keys), [*keys, "icd_version"], ["code", "poa"], "dx")
+
+
+def px_slots(dxpx: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``px_wide`` as a map from the slot to its code."""
+    codes = dxpx.where(F.col("code_desc").like("PX%")).withColumn("slot", try_int(F.col("prmry_ind")))
+    return slots_map(codes, keys, ["code"], "px")
+
+
 def taxonomy_long(
     nppes: DataFrame,
     ids: Sequence[str],

@@ -90,7 +90,8 @@ def bucketed(df: DataFrame, keys: Sequence[str], label: str, buckets: int | None
     name = f"{SCRATCH}.{label}_{uuid.uuid4().hex}"
     _noted("table", name)
     rows = df if placed else df.repartition(n, *keys)
-    rows.write.bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+    # not sorted by the keys: Spark does not rely on the order of the files that it reads
+    rows.write.bucketBy(n, *keys).saveAsTable(name)
     return spark.table(name)
 
 

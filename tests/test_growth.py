@@ -3,7 +3,8 @@
 import re
 
 import __spark_entry__ as entry_point
-from claimspark.operators import scripts
+from claimspark.jobs import hcg
+from claimspark.operators import reshape, scripts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -41,3 +42,18 @@ def test_names_behind_letters_that_equal_ascii_ones_in_upper_case(spark):
     rows = spark.createDataFrame([("a", "ınſert into s.t select 1 from r joın q"), ("b", None)], "script string, text string")
     got = {(r["script"], r["role"], r["schema_name"], r["table_name"]) for r in scripts.extract_table_refs(rows).collect()}
     assert got == {("a", "target", "s", "t"), ("a", "source", "", "r"), ("a", "source", "", "q")}
+
+
+def test_codes_by_slot_are_no_columns_before_the_last_step(spark):
+    # 90 columns for each claim went through three shuffles and out of compiled code
+    rows = [("P", "L", "M", "1", "A", "DXICD10", "Y", "2"), ("P", "L", "M", "1", "B", "DXICD10", "N", "2"), ("P", "L", "M", "1", "C", "DXICD9", None, "x"), ("P", "L", "M", "1", "E", "PXICD10", None, "31")]
+    facts = spark.createDataFrame(rows, [*hcg.CLAIM_KEY, "code", "code_desc", "poa", "prmry_ind"])
+    got = {r["icd_version"]: {k: tuple(v) for k, v in r["dx"].items()} for r in reshape.dx_slots(facts, hcg.CLAIM_SORT).collect()}
+    assert got == {"10": {2: ("B", "Y")}, "09": {}}
+    assert [r["px"][31]["code"] for r in reshape.px_slots(facts, hcg.CLAIM_SORT).collect()] == ["E"]
+
+
+def test_lines_of_a_claim_are_sorted_by_what_tells_claims_apart(spark):
+    # Spark compares the first bytes of the first column; by payer first, all other columns are compared again and again
+    plan = entry_point.queries()["claim_line_rank"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Sort \[claim_id#", plan)
