@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from claimspark.functions import codes
 from claimspark.functions.compat import after_first, nvl, oracle_concat
 from claimspark.functions.dates import as_date, to_effper
-from claimspark.operators.joins import flag_exists, join_role, spread_nulls
+from claimspark.operators.joins import flag_exists, join_role, spread_nulls, within_key
 from claimspark.operators.project import id_bridge, stack
 from claimspark.operators.ranking import keep_first
 
@@ -46,7 +46,7 @@ def member_months(raw: DataFrame) -> DataFrame:
     """One row per payer, LOB, member and month: most months first; NPI and TIN settle ties."""
     return keep_first(
         raw,
-        [*MEMBER_KEY, "effper_dt"],
+        [*MEMBER_KEY[::-1], "effper_dt"],
         [
             F.col("member_months").desc_nulls_last(),
             F.col("attributed_pcp_npi").asc_nulls_last(),
@@ -222,18 +222,25 @@ def _yes(cond: Column) -> Column:
 def attribute_visits(
     base: DataFrame, months: DataFrame, providers: DataFrame, practices: DataFrame, ext: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
-    """Add historical, current and servicing provider attributes and the attribution flags."""
+    """Add historical, current and servicing provider attributes and the attribution flags.
+
+    What goes by member, its current provider and month included, is put together once a member, and historical providers
+    once a member and month, so the visits move twice: by servicing provider while they are narrow, and by member.
+    """
     c = F.col
     pcols = ["lvl2_emp_status", "lvl3_subgroup", "lvl4_practice", "full_name", "pcp_spc", "cms_pcp_spc"]
+    key = ["member_id", "lob", "_payer"]
     month_cols = months.select(
         c("payer").alias("_payer"),
         "lob",
         "member_id",
-        "effper",
+        c("effper").alias("_effper"),
         c("attributed_pcp_npi").alias("historical_pcp_npi"),
         c("attributed_pcp_tax_id").alias("historical_pcp_tin"),
         "member_months",
     )
+    month_cols = join_role(month_cols, providers, c("historical_pcp_npi"), "npi", "h", pcols, "member_id")
+    month_cols = join_role(month_cols, practices, c("h_lvl4_practice"), "lvl4_practice", "h", ["epic_status"], "member_id")
     ext_cols = ext.select(
         c("payer").alias("_payer"),
         "lob",
@@ -251,18 +258,15 @@ def attribute_visits(
         c("effper").alias("latest_active_month"),
         c("attributed_pcp_tax_id").alias("current_pcp_tin"),
     )
+    ext_cols = ext_cols.join(current_month, [*key, "latest_active_month"], "left").drop("latest_active_month")
+    ext_cols = join_role(ext_cols, providers, c("ext_npi"), "npi", "c", pcols, "member_id")
+    ext_cols = join_role(ext_cols, practices, c("pcp_lvl4_practice"), "lvl4_practice", "c", ["epic_status"], "member_id")
     # visits without a member, provider or practice are common, and must not gather in one task
     salt = "encounter_id"
-    key = ["_payer", "lob", "member_id"]
     df = base.withColumn("_payer", spread_nulls(c("payer"), c(salt)))
-    df = df.join(month_cols, [*key, "effper"], "left").join(ext_cols, key, "left")
-    df = df.join(current_month, [*key, "latest_active_month"], "left")
-    df = join_role(df, providers, c("historical_pcp_npi"), "npi", "h", pcols, salt)
-    df = join_role(df, providers, c("ext_npi"), "npi", "c", pcols, salt)
     df = join_role(df, providers, c("servicing_pcp_npi"), "npi", "s", pcols, salt)
-    df = join_role(df, practices, c("h_lvl4_practice"), "lvl4_practice", "h", ["epic_status"], salt)
-    df = join_role(df, practices, c("pcp_lvl4_practice"), "lvl4_practice", "c", ["epic_status"], salt)
     df = join_role(df, practices, c("s_lvl4_practice"), "lvl4_practice", "s", ["epic_status"], salt)
+    df = within_key(df.join(ext_cols, key, "left"), month_cols, key, "effper", "_effper")
     current_npi = F.when(c("currently_active") == "Y", c("ext_npi"))
 
     def role(prefix: str, out: str) -> dict[str, Column]:
@@ -295,7 +299,8 @@ def attribute_visits(
         "visit_with_any_cms_spc_pcp": _yes(c("s_cms_pcp_spc") == "PCP"),
         "load_dt": as_date(as_of),
     }
-    return df.select(*[made[n].alias(n) if n in made else c(n) for n in VISIT_COLS])
+    # with the spread payer: the rows lie by member, and it lets a distinct find them there
+    return df.select("_payer", *[made[n].alias(n) if n in made else c(n) for n in VISIT_COLS])
 
 
 def unified_visits(t: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
@@ -306,7 +311,8 @@ def unified_visits(t: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFram
     active = active_members(t["active_members"], t["id_xwalk"], only_active=True)
     claims = attribute_visits(claim_visits(t["claim_header"], t["fact_service"]), months, providers, practices, everyone, as_of)
     scheduled = stack([appointment_visits(t), ryan_visits(t)])
-    return stack([claims, attribute_visits(scheduled, months, providers, practices, active, as_of).distinct()])
+    seen = attribute_visits(scheduled, months, providers, practices, active, as_of).distinct()
+    return stack([claims, seen]).drop("_payer")
 
 
 def legacy_visits(visits: DataFrame) -> DataFrame:

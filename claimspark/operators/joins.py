@@ -31,6 +31,18 @@ def join_role(
     return df.join(role, left == F.col(f"_{prefix}_key"), "left").drop(f"_{prefix}_key")
 
 
+def within_key(df: DataFrame, other: DataFrame, keys: Sequence[str], col: str, other_col: str) -> DataFrame:
+    """Left join on ``keys`` and ``col = other_col``, for ``other`` with few rows a key, such as a member's months.
+
+    ``col`` is compared among the rows of a key. As a join key, it would have rows that lie by ``keys`` dealt anew.
+    """
+    renamed = other.select(*[F.col(c).alias(f"_w_{c}") if c in keys else F.col(c) for c in other.columns])
+    cond = (F.col(col) >= F.col(other_col)) & (F.col(col) <= F.col(other_col))
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"_w_{k}"))
+    return df.join(renamed, cond, "left").drop(other_col, *[f"_w_{k}" for k in keys])
+
+
 def null_tolerant_join(
     left: DataFrame, right: DataFrame, keys: Mapping[str, str], how: str = "left", never_on_null: Sequence[str] = ()
 ) -> DataFrame:
