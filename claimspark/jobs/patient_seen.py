@@ -12,7 +12,7 @@ from claimspark.functions.codes import valid_member
 from claimspark.functions.compat import is_flag, to_id, typed_null
 from claimspark.functions.dates import as_date
 from claimspark.jobs.visits import VISIT_COLS
-from claimspark.operators.joins import join_role, semi_filter, spread_nulls
+from claimspark.operators.joins import join_role, semi_filter, spread_nulls, within_key
 from claimspark.operators.ranking import keep_best, keep_first, latest_by
 
 # --- fixed values -----------------------------------------------------------
@@ -142,28 +142,32 @@ def claim_detail(t: Mapping[str, DataFrame]) -> DataFrame:
 def patient_seen_all(visits: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
     """Appointments with encounter detail, scheduling rows without, claims with procedure detail.
 
-    One pass over the visits: each row looks up the detail of its own source only, by a key that is spread for all others.
+    One pass over the visits: each row looks up the detail of its own source only, in one table for all sources, by a key that
+    is spread for rows without detail.
     """
     c = F.col
     of_mv, of_claims = c("source") == MV, c("source") == CLAIMS
     of_ryan = (c("source") == RYAN) & c("visit_status_type").isin("SCHEDULED", "ARRIVED")
     rows = linkable(visits).where(of_mv | of_ryan | of_claims)
-    detail = encounter_detail(t)
-    detail = detail.select(c("_enc_id").cast("string").alias("_enc_id"), *[c(n).alias(f"_e_{n}") for n in (*DETAIL_TEXT, *CHECK_COLS)])
-    coded = claim_detail(t)
-    coded = coded.select(*[c(n).alias(f"_c_{n}") for n in coded.columns])
-    encounter = spread_nulls(F.when(of_mv, to_id(c("encounter_id")).cast("string")), c("encounter_id"))
-    claim = spread_nulls(F.when(of_claims, c("encounter_id")), c("encounter_id"))
-    same_claim = claim == c("_c_claim_id")
-    for name in ("payer", "lob", "member_id"):
-        same_claim = same_claim & (c(name) == c(f"_c_{name}"))
-    joined = rows.join(detail, encounter == c("_enc_id"), "left").join(coded, same_claim, "left")
-    not_excluded = is_flag(c("_c_excl_code").isNull())
+    member = ("member_id", "lob", "payer")
+    # one table of both kinds of detail: an encounter goes by its id alone, a claim by its member too
+    encounters = encounter_detail(t).withColumns({"_id": F.concat(F.lit("E"), c("_enc_id").cast("string")), **{f"_d_{n}": F.lit("") for n in member}})
+    coded = claim_detail(t).select(
+        F.concat(F.lit("C"), "claim_id").alias("_id"), *[c(n).alias(f"_d_{n}") for n in member], "enc_type_pos", "proc_code", "proc_code_desc", "excl_code"
+    )
+    detail = encounters.drop("_enc_id").unionByName(coded, allowMissingColumns=True)
+    detail = detail.select("_id", *[f"_d_{n}" for n in member], "excl_code", *[c(n).alias(f"_e_{n}") for n in (*DETAIL_TEXT, *CHECK_COLS)])
+    wanted = F.when(of_mv, F.concat(F.lit("E"), to_id(c("encounter_id")).cast("string"))).when(of_claims, F.concat(F.lit("C"), "encounter_id"))
+    same = spread_nulls(wanted, c("encounter_id")) == c("_id")
+    for name in member:
+        same = same & (F.when(of_claims, c(name)).otherwise("") == c(f"_d_{name}"))
+    joined = rows.join(detail, same, "left")
+    not_excluded = is_flag(c("excl_code").isNull())
     # visits without an encounter have no checks, but the conjunction is 0 for them
     encounters = {n: c(f"_e_{n}") for n in (*DETAIL_TEXT, *CHECK_COLS)}
     encounters["pc_visit_all_match_yn"] = F.coalesce("_e_pc_visit_all_match_yn", F.lit(0))
     claims = {
-        **{n: c(f"_c_{n}") for n in ("enc_type_pos", "proc_code", "proc_code_desc")},
+        **{n: c(f"_e_{n}") for n in ("enc_type_pos", "proc_code", "proc_code_desc")},
         "appt_status": F.lit("Completed"),
         "enc_closed_yn": F.lit("Y"),
         "pc_visit_cmplt_close_yn": F.lit(1),
@@ -352,8 +356,20 @@ def mart_rows(seen: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str)
         & (c("effyear").try_cast("int") >= SEEN_FROM_YEAR)
     ).withColumnRenamed("mrn", "pri_mrn")
     reporting = t["management_reporting"]
+    provider = t["provider"].select(
+        "npi",
+        "lvl4_practice",
+        "full_name",
+        c("lvl3_subgroup").alias("pod"),
+        c("lvl5_prac_emp_status").alias("prac_emp_status"),
+    )
+
+    def with_provider(rows: DataFrame, side: str, salt: str) -> DataFrame:
+        return join_role(rows, provider, c(f"{side}_npi"), "npi", side, ["lvl4_practice", "full_name", "pod", "prac_emp_status"], salt)
+
+    # providers are looked up once a member, member and month, or MRN, not once a visit
     effper = reporting.where(c("effyear") >= SEEN_FROM_YEAR).select(
-        *key, "effper", "prac_emp_status", "pcp_emp_status", "crnt_pyr", "vbc_flag", c("npi").alias("payer_effper_npi")
+        *key, c("effper").alias("_effper"), "prac_emp_status", "pcp_emp_status", "crnt_pyr", "vbc_flag", c("npi").alias("payer_effper_npi")
     )
     ties = [F.col(n).asc_nulls_last() for n in ("npi", "prac_emp_status")]
     current = latest_by(reporting.select(*key, "effper", "npi", "prac_emp_status"), key, "effper", ties).select(
@@ -361,22 +377,14 @@ def mart_rows(seen: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date | str)
     )
     epic = t["epic_pcp"].select(c("mrn").alias("_mrn"), c("npi").alias("epic_npi"))
     death = t["member"].select(*key, "death_dt")
+    # the joins by member come last: the rows then lie where the ranks of ``dedup_encounters`` need them
     df = (
-        base.join(effper, [*key, "effper"], "left")
-        .join(current, key, "left")
-        .join(death, key, "left")
-        .join(epic, spread_nulls(c("pri_mrn"), c("encounter_id")) == c("_mrn"), "left")
+        base.join(with_provider(epic, "epic", "_mrn"), spread_nulls(c("pri_mrn"), c("encounter_id")) == c("_mrn"), "left")
         .drop("_mrn")
+        .join(with_provider(current, "payer_current", "member_id"), key, "left")
+        .join(death, key, "left")
     )
-    provider = t["provider"].select(
-        "npi",
-        "lvl4_practice",
-        "full_name",
-        c("lvl3_subgroup").alias("pod"),
-        c("lvl5_prac_emp_status").alias("prac_emp_status"),
-    )
-    for side in ("payer_effper", "payer_current", "epic"):
-        df = join_role(df, provider, c(f"{side}_npi"), "npi", side, ["lvl4_practice", "full_name", "pod", "prac_emp_status"], "encounter_id")
+    df = within_key(df, with_provider(effper, "payer_effper", "member_id"), key, "effper", "_effper")
     return schedule_flags(exclusion_flags(match_flags(df)), as_of).withColumns(
         {
             "effmonth": F.substring("effper", 6, 7),

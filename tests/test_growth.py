@@ -4,7 +4,7 @@ import re
 
 import __spark_entry__ as entry_point
 from claimspark.jobs import hcg
-from claimspark.operators import reshape, scripts
+from claimspark.operators import joins, reshape, scripts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -57,3 +57,33 @@ def test_lines_of_a_claim_are_sorted_by_what_tells_claims_apart(spark):
     # Spark compares the first bytes of the first column; by payer first, all other columns are compared again and again
     plan = entry_point.queries()["claim_line_rank"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Sort \[claim_id#", plan)
+
+
+def plan_lines(spark, name):
+    """The plan as it is where no table is small enough to broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        return entry_point.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_distinct_visits_are_found_where_they_lie(spark):
+    # a shuffle by all 46 columns
+    assert not [line for line in plan_lines(spark, "unified_visits") if "Exchange hashpartitioning" in line and "more fields" in line]
+
+
+def test_mart_ranks_rows_where_the_joins_by_member_left_them(spark):
+    lines = plan_lines(spark, "patient_seen_mart")
+    first = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert any("Window" in line for line in lines[:first])
+    assert not [line for line in lines[:first] if "Exchange" in line]
+
+
+def test_month_is_compared_within_the_member(spark):
+    left = spark.createDataFrame([("a", "1", 1), ("a", None, 2), (None, "1", 3), ("b", "9", 4)], "k string, m string, id int")
+    right = spark.createDataFrame([("a", "1", "x"), ("a", "1", "y"), ("a", "2", "z"), (None, "1", "n"), ("a", None, "o")], "k string, _m string, v string")
+    got = sorted((r["id"], r["v"] or "") for r in joins.within_key(left, right, ["k"], "m", "_m").collect())
+    assert got == [(1, "x"), (1, "y"), (2, ""), (3, ""), (4, "")]
