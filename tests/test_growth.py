@@ -5,6 +5,7 @@ import re
 import __spark_entry__ as entry_point
 from claimspark.jobs import hcg
 from claimspark.operators import joins, reshape, scripts
+from claimspark.plans import domain
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -87,3 +88,31 @@ def test_month_is_compared_within_the_member(spark):
     right = spark.createDataFrame([("a", "1", "x"), ("a", "1", "y"), ("a", "2", "z"), (None, "1", "n"), ("a", None, "o")], "k string, _m string, v string")
     got = sorted((r["id"], r["v"] or "") for r in joins.within_key(left, right, ["k"], "m", "_m").collect())
     assert got == [(1, "x"), (1, "y"), (2, ""), (3, ""), (4, "")]
+
+
+def shuffles_above(lines, table):
+    """How often the rows of a base table's scan are shuffled on their way to the result, for each scan."""
+    depth = [len(re.match(r"[\s:+\-*(\d)]*", line)[0]) for line in lines]
+    counts = []
+    for i, line in enumerate(lines):
+        if f"/{table}.parquet" in line:
+            at, n = depth[i], 0
+            for j in range(i - 1, -1, -1):
+                if depth[j] < at:
+                    at, n = depth[j], n + ("Exchange hashpartitioning" in lines[j])
+            counts.append(n)
+    return counts
+
+
+def test_lines_move_once_and_rank_where_they_lie_by_claim(spark):
+    # they moved for their orders, for the members and, at their widest, by claim
+    assert shuffles_above(plan_lines(spark, "claim_line_rank"), "lineitem") == [1]
+
+
+def test_lines_by_claim_are_the_rows_of_the_checked_join(spark):
+    dom = domain.Domain(spark, FOLDER)
+    for name in ("fact_service", "fact_dxpx"):
+        sql = domain.TABLES[name]
+        checked = spark.sql(sql, **{r: dom.table(r) for r in domain._refs(sql)})
+        assert checked.columns == dom.table(name).columns
+        assert checked.exceptAll(dom.table(name)).isEmpty() and dom.table(name).exceptAll(checked).isEmpty()
