@@ -83,7 +83,7 @@ def claim_line_rank(dom):
 )
 def allocate_header_paid(dom):
     header = dom.claim_header.select(*hcg.CLAIM_KEY, "claim_type", "tcc_paid")
-    joined = _ranked(dom).join(header, hcg.CLAIM_KEY, "left")
+    joined = _ranked(dom).join(header, hcg.CLAIM_SORT, "left")
     paid = hcg.allocate_header_paid(F.col("payer"), F.col("claim_type"), F.col("rn"), F.col("tcc_paid"), F.col("paid_amount"))
     return joined.select(*hcg.CLAIM_KEY, "rn", "claim_type", paid.alias("paid"))
 

@@ -116,3 +116,11 @@ def test_lines_by_claim_are_the_rows_of_the_checked_join(spark):
         checked = spark.sql(sql, **{r: dom.table(r) for r in domain._refs(sql)})
         assert checked.columns == dom.table(name).columns
         assert checked.exceptAll(dom.table(name)).isEmpty() and dom.table(name).exceptAll(checked).isEmpty()
+
+
+def test_lines_move_again_for_their_headers_only_when_ranked(spark):
+    # for the headers a line takes its key, rank and amount along; by claim it took all the columns of the order
+    lines = plan_lines(spark, "allocate_header_paid")
+    assert shuffles_above(lines, "lineitem") == [2]
+    window = next(i for i, line in enumerate(lines) if "Window [" in line)
+    assert "Exchange hashpartitioning(claim_id" in "".join(lines[:window])
