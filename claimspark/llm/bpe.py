@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from claimspark.llm.common import ROW_BYTES, map_batches, row_texts, texts
+from claimspark.llm.common import ROW_BYTES, cached, map_batches, row_texts, texts
 
 CACHE_WORDS = 150_000
 CACHE_PAIRS = 500_000
@@ -213,7 +213,8 @@ def read_vocabulary(path: str) -> bytes:
 
 @lru_cache(maxsize=2)
 def load(raw: bytes) -> WordBpe:
-    """The vocabulary of a tokenizer file, made once in each Python worker."""
+    """The vocabulary of a tokenizer file, made once in each Python worker, until it goes on to another operator."""
+    cached(load.cache_clear)
     return WordBpe(raw)
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import map_batches, row_texts, steps, texts, written
+from claimspark.llm.common import ROW_BYTES, begin, map_batches, parts, release, row_texts, steps, texts, written
 
 WINDOW = 5
 COVERAGE = 0.8
@@ -164,10 +164,9 @@ def _window_table(rows: DataFrame, only=None, whole: bool = False, lines: bool =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         sought = only.value if only is not None else None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in chain.from_iterable(parts(b, ROW_BYTES) for b in batches):
             part: list[tuple] = []
             texts_ = row_texts(batch.column(1))
             for found in chain(_found(texts_, sought, whole), _found_lines(texts_, sought) if lines else ()):
@@ -178,7 +177,7 @@ def _window_table(rows: DataFrame, only=None, whole: bool = False, lines: bool =
             if part:
                 yield packed(batch, part)
         _coded.clear()  # workers serve other operators after this one
-        pa.default_memory_pool().release_unused()
+        release()
 
     def packed(batch: pa.RecordBatch, part: list[tuple]) -> pa.RecordBatch:
         row, pos, h, tokens, slots, windows = zip(*part)

@@ -11,6 +11,7 @@ of its share in the language that has most of it, so that stray passages in anot
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import map_batches, row_texts, steps, texts
+from claimspark.llm.common import ROW_BYTES, begin, map_batches, parts, release, row_texts, steps, texts
 
 TRAIN_DOCUMENTS = 2_000
 #: N-grams of a language that the filters hold, the most frequent ones of the sample: it bounds what every task is sent.
@@ -26,6 +27,8 @@ GRAMS_A_LANGUAGE = 40_000
 ORDERS = (1, 2, 3, 4)
 SHARE_OF_MOST = 0.15
 LEAST_SEEN = 2
+#: Texts whose n-grams are counted together, in bytes.
+COUNT_BYTES = 1 << 20
 SLOTS_LOG2 = 20
 UNKNOWN = "und"
 #: A text of which less than this share is known in the best language is rejected by the pipeline.
@@ -38,7 +41,7 @@ _LETTERS: list[np.ndarray] = []
 def _letters() -> np.ndarray:
     """Whether each code point is a letter; made once in each worker."""
     if not _LETTERS:
-        _LETTERS.append(np.array([chr(c).isalpha() for c in range(0x110000)]))
+        _LETTERS.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
     return _LETTERS[0]
 
 
@@ -139,11 +142,12 @@ def train(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS) -> Filters:
         out = []
         for lang in np.unique(langs):
             own = [t for t, k in zip(whole, langs) if k == lang]
-            for a, b in steps([len(t) for t in own], 1 << 22):
+            for a, b in steps([len(t) for t in own], COUNT_BYTES):
                 codes, _, _ = _prepared(own[a:b])
-                hashes = [h[ok] for h, ok in (_grams(codes, order) for order in ORDERS)]
-                grams, seen = np.unique(np.concatenate(hashes), return_counts=True)
-                out.append((np.full(len(grams), lang, np.int32), grams.view(np.int64), seen.astype(np.int64)))
+                for order in ORDERS:  # one after the other: their hashes are eight times the text each, and sorted
+                    hashes, counts = _grams(codes, order)
+                    grams, seen = np.unique(hashes[counts], return_counts=True)
+                    out.append((np.full(len(grams), lang, np.int32), grams.view(np.int64), seen.astype(np.int64)))
         columns = [pa.array(np.concatenate([x[k] for x in out])) for k in range(3)]
         return pa.record_batch(columns, ["lang", "gram", "seen"])
 
@@ -179,7 +183,7 @@ def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col:
             found += sent.value.predict(whole[a:b])
         return pa.record_batch([rows.column(0), pa.array([x[0] for x in found]), pa.array([x[1] for x in found])], ["doc_id", "lang_pred", "score"])
 
-    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, lang_pred string, score double")
+    return map_batches(texts(docs, id_col, text_col), batch, "doc_id long, lang_pred string, score double", ROW_BYTES)
 
 
 def learn(docs: DataFrame) -> Filters:
@@ -203,13 +207,16 @@ def keep_known(docs: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
         return docs
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 
-    @F.pandas_udf("boolean")
-    def known(column):
-        import pandas as pd
-
-        whole, out = [t or "" for t in column], []
-        for a, b in steps([len(t) for t in whole]):
-            out += [lang != UNKNOWN and score >= least for lang, score in sent.value.predict(whole[a:b])]
-        return pd.Series(out, dtype="bool")
+    @F.arrow_udf("boolean")
+    def known(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin(__name__)
+        for column in columns:
+            out: list[bool] = []
+            for part in parts(pa.record_batch([column], ["text"]), ROW_BYTES):
+                whole = row_texts(part.column(0))
+                for a, b in steps([len(t) for t in whole]):
+                    out += [lang != UNKNOWN and score >= least for lang, score in sent.value.predict(whole[a:b])]
+            yield pa.array(out, pa.bool_())
+        release()
 
     return docs.where(known(docs["text"]))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimspark.llm.bpe import WordBpe, WordCache, load
-from claimspark.llm.common import map_batches, row_texts, texts
+from claimspark.llm.common import begin, map_batches, row_texts, texts
 
 FREQUENT_WORDS = 16_384
 SAMPLE_DOCUMENTS = 4_000
@@ -29,6 +29,7 @@ def frequent_lengths(docs: DataFrame, vocabulary: bytes, words: int = FREQUENT_W
     share = min(1.0, sample / max(1, rows.count()))
 
     def most(batches):
+        begin(__name__)
         bpe, seen = load(vocabulary), Counter()
         for batch in batches:
             for text in row_texts(batch.column(0)):

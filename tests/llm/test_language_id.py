@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 import zlib
 
+import cloudpickle_by_value
 import numpy as np
 
 from claimspark.llm import language_id as li
@@ -59,6 +61,28 @@ def test_a_text_scores_the_same_alone_and_among_others(make_docs):
     assert [filters.predict([t])[0] for t in whole] == together
 
 
+def test_small_parts_give_the_same(make_docs, monkeypatch):
+    docs = make_docs(made(300) + [(1000, None), (1001, ""), (1002, "12"), (1003, "qqq www"), (1004, "ka" * 3_000)]).coalesce(1)
+    whole, kept, found = li.learn(docs), li.keep_known(docs).collect(), li.predict(docs, li.learn(docs)).collect()
+    monkeypatch.setattr(li, "ROW_BYTES", 500)
+    monkeypatch.setattr(li, "COUNT_BYTES", 200)
+    with cloudpickle_by_value.of(li):
+        cut = li.learn(docs)
+        assert cut.languages == whole.languages and np.array_equal(cut.slots, whole.slots)
+        assert li.keep_known(docs).collect() == kept and li.predict(docs, cut).collect() == found
+    assert 300 <= len(kept) < 305
+
+
+def test_letters_take_no_more_than_their_table(monkeypatch):
+    monkeypatch.setattr(li, "_LETTERS", [])
+    tracemalloc.start()
+    try:
+        assert li._letters().sum() == sum(chr(c).isalpha() for c in range(0x110000))
+        assert tracemalloc.get_traced_memory()[1] < 2 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def brute_share(filters, text, lang):
     """Corrected share over n-grams taken one by one."""
     clean = "".join(c if c.isalpha() else " " for c in text.lower())
