@@ -55,6 +55,7 @@ class WordBpe:
         self._read_rules(spec)
         self._read_merges(model["merges"])
         self._read_offsets({**self.vocab, **special})
+        del self.vocab, self._names  # each worker holds what encoding and decoding need, no more
         self._pairs: dict[tuple[int, int], bool] = {}
         self.words = WordCache(lambda w: (w,) if isinstance(w, int) else self.encode_word(w))
 
@@ -76,8 +77,8 @@ class WordBpe:
             spelled[self.vocab[plain[b]]] = self._symbols[b]
             spelled[self.vocab[plain[b] + self.suffix]] = self._ends[b]
         self._rank: dict[tuple[int, int], int] = {}
-        self._right_spine = {t: [(t, _NEVER)] for t in spelled}
-        self._left_spine = {t: [(t, _NEVER)] for t in spelled}
+        self._made: dict[int, tuple[int, int, int]] = {}
+        self._names = {i: t for t, i in self.vocab.items()}
         usable = set(spelled)
         for rank, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in merges):
             left, right = self.vocab[a], self.vocab[b]
@@ -88,23 +89,27 @@ class WordBpe:
                 continue
             spelled[token] = spelled[left] + spelled[right]
             usable.add(token)
-            # what stands at the right (left) edge while the token is made, and the rank of the merge that takes it up
-            self._right_spine[token] = [(token, _NEVER), *((t, min(p, rank)) for t, p in self._right_spine[right])]
-            self._left_spine[token] = [(token, _NEVER), *((t, min(p, rank)) for t, p in self._left_spine[left])]
+            self._made[token] = left, right, rank
         self._tokens = ahocorasick.Automaton()
         for token, text in spelled.items():
             self._tokens.add_word(text, (len(text), token))
         self._tokens.make_automaton()
 
     def _name(self, left: int, right: int) -> str:
-        if not hasattr(self, "_names"):
-            self._names = {i: t for t, i in self.vocab.items()}
         return self._names[left] + self._names[right]
 
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """What stands at the left (0) or right (1) edge while the token is made, and the rank of the merge that takes it up."""
+        out, until = [(token, _NEVER)], _NEVER
+        while made := self._made.get(token):
+            token, until = made[side], min(until, made[2])
+            out.append((token, until))
+        return out
+
     def _border_merges(self, left: int, right: int, own: int | None = None) -> bool:
         """Whether a merge other than ``own`` joins the border of two tokens before they are complete."""
-        rank, spine = self._rank, self._left_spine[right]
-        for a, until_a in self._right_spine[left]:
+        rank, spine = self._rank, self._edge(right, 0)
+        for a, until_a in self._edge(left, 1):
             for b, until_b in spine:
                 r = rank.get((a, b))
                 # of equal ranks the leftmost goes first: the left token's own merge, then the border, then the right's

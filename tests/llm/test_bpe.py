@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -28,6 +29,16 @@ def test_encoder_against_the_library(alphabet):
         assert own.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
+def test_a_loaded_vocabulary_is_small():
+    tracemalloc.start()
+    try:
+        held = bpe.WordBpe(RAW)
+        assert tracemalloc.get_traced_memory()[0] < 32_000_000
+    finally:
+        tracemalloc.stop()
+    assert held.encode("unrelated words") == library_ids("unrelated words")
+
+
 def rows():
     rng = random.Random(9)
     out = [(i, " ".join("".join(rng.choice("thandere ") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(0, 80)))) for i in range(60)]
