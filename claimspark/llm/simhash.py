@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import ROW_BYTES, hex64, map_batches, row_bytes, texts, written
+from claimspark.llm.common import ROW_BYTES, hex64, map_batches, row_bytes, shuffled, texts, written
 from claimspark.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -105,7 +105,7 @@ def links(prints: DataFrame) -> DataFrame:
     free = F.when(F.col("step") == BLOCK + 1, F.col("free").bitwiseXOR(1)).otherwise(F.col("free"))
     near = moves.select(_anchor(word, free).alias("anchor"), F.col("fp").alias("b"))
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
-    return home.join(near, "anchor").where(close).select("a", "b")
+    return home.join(shuffled(near), "anchor").where(close).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
