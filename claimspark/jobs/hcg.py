@@ -111,19 +111,34 @@ def claim_variants(src: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
         "milliman_specialty",
         F.substring("zip_code", 1, 5).alias("provider_zip"),
     )
+    # what is looked up by member and provider are the claims and their providers alone; the headers meet them where they lie
     narrow = (
-        claims.join(header, CLAIM_SORT, "left")
+        claims.join(header.select(*CLAIM_SORT, "servicing_npi").distinct(), CLAIM_SORT, "left")
         .join(src["member"].select(*MEMBER_SORT, "dob", codes.gender_code(F.col("gender")).alias("gender"), "zip"), MEMBER_SORT, "left")
         .join(member_facts(src["fact_member"], "Member Coverage", "Product", "product"), MEMBER_SORT, "left")
         .join(member_facts(src["fact_member"], "Group Identifiers", "Group Number", "group_id"), MEMBER_SORT, "left")
     )
     narrow = narrow.join(taxonomy, spread_nulls(F.col("servicing_npi"), F.col("claim_id")) == F.col("npi"), "left").drop("npi")
+    narrow = _with_headers(narrow, header)
     joined = narrow.join(dx_slots(src["fact_dxpx"], CLAIM_SORT), CLAIM_SORT, "left").join(px_slots(src["fact_dxpx"], CLAIM_SORT), CLAIM_SORT, "left")
     claim = Window.partitionBy(*CLAIM_SORT)
     order = [F.col(c).asc_nulls_last() for c in ("icd_version", "product", "group_id")]
     return joined.withColumns({"nth": F.row_number().over(claim.orderBy(*order)), "variants": F.count(F.lit(1)).over(claim)})
 
 
+def _with_headers(claims: DataFrame, header: DataFrame) -> DataFrame:
+    """Rows of a claim and a provider with each header of theirs.
+
+    The provider is compared within the claim (see ``within_key``); as a join key, it would have both sides dealt anew.
+    """
+    renamed = header.select(*[F.col(c).alias(f"_h_{c}") if c in (*CLAIM_SORT, "servicing_npi") else F.col(c) for c in header.columns])
+    mine, theirs = F.col("servicing_npi"), F.col("_h_servicing_npi")
+    cond = ((mine >= theirs) & (mine <= theirs)) | (mine.isNull() & theirs.isNull())
+    for k in CLAIM_SORT:
+        cond = cond & (F.col(k) == F.col(f"_h_{k}"))
+    return claims.join(renamed, cond, "left").drop(*[f"_h_{k}" for k in (*CLAIM_SORT, "servicing_npi")])
+
+
 def hcg_claims(src: Mapping[str, DataFrame], as_of: dt.date | str) -> DataFrame:
     """The extract over one family of source tables."""
     lines = rank_claim_lines(src["fact_service"])
